@@ -1,0 +1,50 @@
+"""Repeatable random draws.
+
+A draw is a function of the row's own key, not of a generator state. The same row therefore gets
+the same values on one executor or a thousand, and again after a lost task is repeated.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: A digest holds this many independent draws of 32 bits.
+DRAWS_PER_DIGEST = 4
+
+
+def digest(salt: str, *keys: Column) -> Column:
+    """Hash of the row key under a salt; take up to four draws from it."""
+    return F.md5(F.concat_ws(":", F.lit(salt), *[k.cast("string") for k in keys]))
+
+
+def draw(hashed: Column, index: int) -> Column:
+    """Uniform number in [0, 1) from one quarter of a digest."""
+    bits = F.conv(F.substring(hashed, 1 + 8 * index, 8), 16, 10).cast("double")
+    return bits / 4294967296.0
+
+
+def between(u: Column, low: float, high: float) -> Column:
+    return F.lit(low) + F.lit(high - low) * u
+
+
+def whole(u: Column, n: int | Column) -> Column:
+    """Uniform whole number from 0 to n - 1."""
+    return F.floor(u * n).cast("int")
+
+
+def choose(u: Column, values: Sequence[object]) -> Column:
+    """One of the values, all equally likely; repeat a value to make it more likely."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), whole(u, len(values)) + 1)
+
+
+def choose_weighted(u: Column, values: Sequence[object], weights: Sequence[float]) -> Column:
+    """One of the values with the given weights."""
+    total, reached, chosen = float(sum(weights)), 0.0, None
+    for value, weight in zip(values[:-1], weights[:-1]):
+        reached += weight
+        below = u < reached / total
+        chosen = F.when(below, F.lit(value)) if chosen is None else chosen.when(below, F.lit(value))
+    return F.lit(values[-1]) if chosen is None else chosen.otherwise(F.lit(values[-1]))

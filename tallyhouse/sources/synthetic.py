@@ -1,0 +1,469 @@
+"""A synthetic shop of any size, generated by Spark.
+
+Every row is a function of its own key (see ``functions.draws``): the tables come out the same for
+any number of partitions, and nothing is generated on the driver. ``scale`` repeats the catalogue
+and multiplies customers and order volume.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyhouse.functions.draws import between, choose, choose_weighted, digest, draw, whole
+
+# ---------------------------------------------------------------------------------------------
+# Calendar, catalogue, demand, promotions, name lists, campaign returns, weights.
+# Brand words are left out of the product names.
+# ---------------------------------------------------------------------------------------------
+START = date(2024, 1, 1)
+END = date(2025, 6, 30)
+CUSTOMERS = 1800
+ORDERS_PER_DAY = 22
+
+CATALOGUE = (
+    ("Classic Hoodie", "Outerwear", "Hoodie", "65.00", "29.00"),
+    ("Zip-Up Hoodie", "Outerwear", "Hoodie", "72.00", "33.00"),
+    ("Fleece Jacket", "Outerwear", "Jacket", "95.00", "44.00"),
+    ("Bomber Jacket", "Outerwear", "Jacket", "110.00", "53.00"),
+    ("Logo Tee", "T-Shirts & Tops", "T-Shirt", "28.00", "9.00"),
+    ("Powered By Tee", "T-Shirts & Tops", "T-Shirt", "30.00", "10.00"),
+    ("Long-Sleeve", "T-Shirts & Tops", "Long-Sleeve", "38.00", "14.00"),
+    ("Performance Polo", "T-Shirts & Tops", "Polo", "45.00", "18.00"),
+    ("Dad Cap", "Headwear", "Cap", "26.00", "9.00"),
+    ("Knit Beanie", "Headwear", "Beanie", "24.00", "8.00"),
+    ("Snapback", "Headwear", "Cap", "30.00", "11.00"),
+    ("Crew Socks", "Accessories", "Socks", "14.00", "4.50"),
+    ("Sticker Pack", "Accessories", "Stickers", "8.00", "1.50"),
+    ("Canvas Tote", "Accessories", "Bag", "18.00", "6.00"),
+    ("Laptop Sleeve", "Accessories", "Bag", "32.00", "12.00"),
+    ("Steel Water Bottle", "Drinkware", "Bottle", "28.00", "9.00"),
+    ("Ceramic Mug", "Drinkware", "Mug", "16.00", "5.00"),
+    ("Travel Tumbler", "Drinkware", "Tumbler", "34.00", "12.00"),
+)
+
+
+@dataclass(frozen=True)
+class Demand:
+    """How a category sells and what its campaigns return."""
+
+    weight: float
+    monthly_growth: float
+    season: tuple[float, ...]
+    promo_months: tuple[tuple[int, int], ...]
+    run_probability: float
+    return_on_spend: float
+
+
+DEMAND = {
+    "Outerwear": Demand(
+        1.00, 0.055, (1.25, 1.15, 0.95, 0.80, 0.70, 0.65, 0.65, 0.75, 0.95, 1.20, 1.45, 1.55),
+        ((2024, 11), (2024, 12), (2025, 3)), 0.9, 4.6),
+    "T-Shirts & Tops": Demand(
+        1.85, 0.004, (0.90, 0.90, 1.00, 1.10, 1.20, 1.25, 1.25, 1.15, 1.00, 0.95, 0.90, 0.90),
+        ((2024, 6), (2024, 7), (2025, 5)), 0.9, 2.6),
+    "Headwear": Demand(
+        0.85, 0.020, (0.95, 0.95, 1.00, 1.05, 1.05, 1.05, 1.05, 1.05, 1.00, 1.10, 1.25, 1.30),
+        ((2024, 12), (2025, 4)), 0.7, 3.4),
+    "Accessories": Demand(
+        1.55, 0.005, (1.00, 1.00, 1.00, 1.00, 1.00, 1.00, 1.00, 1.00, 1.00, 1.05, 1.10, 1.15),
+        ((2024, 11), (2025, 1)), 0.9, 1.8),
+    "Drinkware": Demand(
+        0.80, 0.012, (1.05, 0.95, 0.95, 0.95, 0.95, 0.95, 0.95, 0.95, 1.00, 1.10, 1.20, 1.25),
+        ((2024, 12), (2025, 2)), 0.7, 3.0),
+}
+CATEGORY_NAMES = tuple(DEMAND)
+
+#: Monday to Sunday.
+WEEKDAY_FACTOR = (1.05, 1.08, 1.10, 1.08, 1.02, 0.85, 0.80)
+#: Volume grows by this share over the calendar.
+VOLUME_GROWTH = 0.9
+VOLUME_GROWTH_MONTHS = 17.0
+
+ORDER_CHANNELS = ("Web", "Web", "Web", "Mobile App", "Mobile App", "Marketplace")
+PLACES = (
+    ("AMER", "United States"), ("AMER", "United States"), ("AMER", "Canada"),
+    ("EMEA", "United Kingdom"), ("EMEA", "Germany"), ("EMEA", "France"),
+    ("APAC", "Australia"), ("APAC", "India"), ("APAC", "Japan"),
+)
+SEGMENTS = ("Consumer", "Consumer", "Consumer", "Developer", "Enterprise Gift")
+FIRST_NAMES = (
+    "Alex", "Sam", "Jordan", "Taylor", "Morgan", "Casey", "Riley", "Jamie", "Avery", "Quinn",
+    "Devon", "Skyler", "Reese", "Cameron", "Rowan", "Priya", "Wei", "Yuki", "Liam", "Noah", "Emma",
+    "Olivia", "Sofia",
+)
+LAST_NAMES = (
+    "Chen", "Patel", "Garcia", "Smith", "Muller", "Dubois", "Tanaka", "Kim", "Nguyen", "Johnson",
+    "Brown", "Silva", "Rossi", "Kowalski", "Andersson", "Okafor", "Haddad", "Ivanov", "Costa",
+    "Nakamura",
+)
+LINES_PER_ORDER = ((1, 2, 3, 4), (52, 30, 13, 5))
+LINE_QUANTITY = ((1, 2, 3), (75, 20, 5))
+PROMO_DISCOUNTS = ("0.10", "0.15", "0.20", "0.25")
+USUAL_DISCOUNTS = (("0.00", "0.05", "0.10"), (70, 20, 10))
+ORDER_STATUS = (("COMPLETED", "RETURNED", "CANCELLED"), (94, 4, 2))
+FREE_SHIPPING_FROM = 75
+SHIPPING_FEES = ("4.99", "6.99", "8.99")
+CAMPAIGN_CHANNELS = ("Paid Search", "Paid Social", "Email", "Display")
+PROMO_SPEND_FACTOR = 1.6
+
+# First ids of the tables, less one.
+PRODUCT_BASE, CUSTOMER_BASE, ORDER_BASE, ITEM_BASE, CAMPAIGN_BASE, FORECAST_BASE = (
+    1000, 5000, 90_000, 700_000, 300, 8000)
+# ---------------------------------------------------------------------------------------------
+
+#: Orders of one day are generated in blocks of at most this many, so a busy day is many tasks.
+BLOCK = 20_000
+
+_TEMPLATES = len(CATALOGUE)
+
+
+def popularity(template: int) -> float:
+    """Weight of a catalogue entry inside its category, 0.7 to 1.4."""
+    head = hashlib.md5(f"popularity:{template}".encode()).hexdigest()[:8]
+    return 0.7 + 0.7 * int(head, 16) / 4294967296.0
+
+
+def _entry(index: Column, position: int, cast: str = "string") -> Column:
+    values = F.array(*[F.lit(row[position]).cast(cast) for row in CATALOGUE])
+    return F.element_at(values, (index + 1).cast("int"))
+
+
+def gen_products(ids: DataFrame) -> DataFrame:
+    """One product per row of ``ids`` (column ``n`` from 0); the catalogue repeats with numbered names."""
+    n = F.col("n")
+    template, cycle = n % _TEMPLATES, F.floor(n / _TEMPLATES)
+    name = F.when(cycle == 0, _entry(template, 0)).otherwise(
+        F.concat_ws(" ", _entry(template, 0), (cycle + 1).cast("string")))
+    days_before = 120 + whole(draw(digest("product", n), 0), 481)
+    return ids.select(
+        (n + PRODUCT_BASE + 1).alias("product_id"),
+        name.alias("product_name"),
+        _entry(template, 1).alias("category"),
+        _entry(template, 2).alias("subcategory"),
+        _entry(template, 3, "decimal(10,2)").alias("list_price"),
+        _entry(template, 4, "decimal(10,2)").alias("unit_cost"),
+        F.date_sub(F.lit(START), days_before).alias("launch_date"),
+        F.lit(True).alias("is_active"),
+    )
+
+
+def gen_customers(ids: DataFrame) -> DataFrame:
+    """One customer per row of ``ids`` (column ``n`` from 0)."""
+    n = F.col("n")
+    who, where = digest("person", n), digest("place", n)
+    rows = ids.select(
+        n,
+        choose(draw(who, 0), FIRST_NAMES).alias("first_name"),
+        choose(draw(who, 1), LAST_NAMES).alias("last_name"),
+        choose(draw(who, 2), SEGMENTS).alias("customer_segment"),
+        whole(draw(who, 3), 901).alias("_days"),
+        whole(draw(where, 0), len(PLACES)).alias("_place"),
+    )
+    region = F.array(*[F.lit(r) for r, _ in PLACES])
+    country = F.array(*[F.lit(c) for _, c in PLACES])
+    mailbox = F.concat(F.lower("first_name"), F.lit("."), F.lower("last_name"),
+                       (n + 1).cast("string"), F.lit("@example.com"))
+    return rows.select(
+        (n + CUSTOMER_BASE + 1).alias("customer_id"),
+        "first_name", "last_name",
+        mailbox.alias("email"),
+        F.element_at(region, F.col("_place") + 1).alias("region"),
+        F.element_at(country, F.col("_place") + 1).alias("country"),
+        "customer_segment",
+        F.date_sub(F.lit(START), F.col("_days")).alias("signup_date"),
+    )
+
+
+def month_number(day: Column) -> Column:
+    """Months since the first month of the calendar."""
+    return (F.year(day) - START.year) * 12 + F.month(day) - START.month
+
+
+def _on_promo(demand: Demand, day: Column) -> Column:
+    months = [year * 12 + month for year, month in demand.promo_months]
+    return (F.year(day) * 12 + F.month(day)).isin(months)
+
+
+def calendar(spark: SparkSession, start: date = START, end: date = END) -> DataFrame:
+    """One row per day."""
+    return spark.range(1).select(
+        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("order_date"))
+
+
+def category_weights(days: DataFrame) -> DataFrame:
+    """Demand weight of every category on every day: popularity, compound growth, season."""
+    day = F.col("order_date")
+    shares = [
+        F.struct(F.lit(name).alias("category"), _demand_weight(d, day).alias("weight"))
+        for name, d in DEMAND.items()
+    ]
+    return days.select(day, F.inline(F.array(*shares)))
+
+
+def gen_days(days: DataFrame, base: float | Column = ORDERS_PER_DAY) -> DataFrame:
+    """Order volume per day and the number of orders before it.
+
+    Base volume, linear growth, weekday and noise; at least one order. The running total is over
+    one row per calendar day.
+    """
+    day = F.col("order_date")
+    trend = F.lit(1.0) + VOLUME_GROWTH * (month_number(day) / VOLUME_GROWTH_MONTHS)
+    weekday = F.element_at(F.array(*[F.lit(w) for w in WEEKDAY_FACTOR]), F.weekday(day) + 1)
+    noise = between(draw(digest("day", day), 0), 0.80, 1.20)
+    base = base if isinstance(base, Column) else F.lit(float(base))
+    volume = F.greatest(F.lit(1), F.round(base * trend * weekday * noise)).cast("bigint")
+    counted = days.select(day, volume.alias("n_orders"))
+    before = F.coalesce(F.expr("sum(n_orders) over (order by order_date rows between unbounded "
+                               "preceding and 1 preceding)"), F.lit(0))
+    return counted.withColumn("orders_before", before)
+
+
+def _demand_weight(demand: Demand, day: Column) -> Column:
+    season = F.element_at(F.array(*[F.lit(s) for s in demand.season]), F.month(day))
+    return F.lit(demand.weight) * F.pow(F.lit(1 + demand.monthly_growth), month_number(day)) * season
+
+
+def _order_keys(volumes: DataFrame, tasks: int) -> DataFrame:
+    """One row per order with its id, its date and the cumulative demand shares of that day.
+
+    Days are split into blocks first and the blocks spread over the cluster; each block then unfolds
+    in place, so no task depends on how busy a day is. The number of tasks is given, since the
+    blocks are tiny until they unfold and adaptive coalescing would put them all together.
+    """
+    day = F.col("order_date")
+    weights = [_demand_weight(d, day) for d in DEMAND.values()]
+    reached = [sum(weights[1:k], start=weights[0]) for k in range(1, len(weights) + 1)]
+    blocks = volumes.select(
+        "order_date", "n_orders", "orders_before",
+        F.explode(F.sequence(F.lit(0), F.floor((F.col("n_orders") - 1) / BLOCK))).alias("_block"),
+    ).repartition(tasks, "order_date", "_block")
+    first = F.col("_block") * BLOCK
+    size = F.least(F.lit(BLOCK), F.col("n_orders") - first)
+    return blocks.select(
+        "order_date",
+        *[(r / reached[-1]).alias(f"_share{k}") for k, r in enumerate(reached[:-1])],
+        F.explode(F.sequence(F.lit(1), size)).alias("_i"),
+        (F.col("orders_before") + first).alias("_before"),
+    ).withColumn("order_id", F.col("_before") + F.col("_i") + ORDER_BASE)
+
+
+def _at_or_above(u: Column, borders: Sequence[Column]) -> Column:
+    """How many of the borders u has reached."""
+    steps = [(u >= border).cast("int") for border in borders]
+    return sum(steps[1:], start=steps[0])
+
+
+def _pools() -> tuple[Column, list[Column]]:
+    """By category number: its first catalogue entry, and the popularity borders between its entries."""
+    entries = [[i for i, row in enumerate(CATALOGUE) if row[1] == name] for name in CATEGORY_NAMES]
+    longest = max(map(len, entries))
+    columns: list[list[float]] = [[] for _ in range(longest - 1)]
+    for pool in entries:
+        weights = [popularity(i) for i in pool]
+        for k in range(1, longest):
+            columns[k - 1].append(sum(weights[:k]) / sum(weights) if k < len(pool) else 2.0)
+    first = F.array(*[F.lit(pool[0]) for pool in entries])
+    return first, [F.array(*[F.lit(v) for v in column]) for column in columns]
+
+
+#: (month, category) cells with a promotion, as one number each.
+_PROMO_CELLS = [
+    (year * 12 + month) * len(DEMAND) + k
+    for k, demand in enumerate(DEMAND.values()) for year, month in demand.promo_months
+]
+_SLOTS = LINES_PER_ORDER[0]
+
+
+def gen_baskets(volumes: DataFrame, cycles: int | Column = 1, tasks: int | None = None) -> DataFrame:
+    """Orders with their lines side by side in one row.
+
+    Keeping the lines of an order in its row means that a repeated product is dropped and the basket
+    is totalled without a shuffle. ``tasks`` defaults to four per core.
+    """
+    tasks = tasks or 4 * volumes.sparkSession.sparkContext.defaultParallelism
+    cycles = cycles if isinstance(cycles, Column) else F.lit(cycles)
+    order = F.col("order_id")
+    first, pool_borders = _pools()
+    shares = [F.col(f"_share{k}") for k in range(len(DEMAND) - 1)]
+    month_code = F.year("order_date") * 12 + F.month("order_date")
+
+    def each(build) -> dict[str, Column]:
+        columns: dict[str, Column] = {}
+        for i in _SLOTS:
+            columns.update({f"{name}{i}": value for name, value in build(i).items()})
+        return columns
+
+    def slot(name: str, i: int) -> Column:
+        return F.col(f"{name}{i}")
+
+    def category(i: int) -> dict[str, Column]:
+        return {"category": _at_or_above(draw(slot("what", i), 0), shares)}
+
+    def entry(i: int) -> dict[str, Column]:
+        number = slot("category", i) + 1
+        borders = [F.element_at(b, number) for b in pool_borders]
+        return {"entry": F.element_at(first, number) + _at_or_above(draw(slot("what", i), 1), borders)}
+
+    def product(i: int) -> dict[str, Column]:
+        cycle = whole(draw(slot("what", i), 2), cycles).cast("bigint")
+        promo = (month_code * len(DEMAND) + slot("category", i)).isin(_PROMO_CELLS)
+        u = draw(digest("price", order, F.lit(i)), 0)
+        off = F.when(promo, choose(u, PROMO_DISCOUNTS)).otherwise(choose_weighted(u, *USUAL_DISCOUNTS))
+        listed = _entry(slot("entry", i), 3, "decimal(10,2)")
+        return {
+            "product": F.lit(PRODUCT_BASE + 1) + cycle * _TEMPLATES + slot("entry", i),
+            "quantity": choose_weighted(draw(slot("what", i), 3), *LINE_QUANTITY),
+            "listed": listed,
+            "price": F.round(listed * (1 - off.cast("decimal(3,2)")), 2).cast("decimal(10,2)"),
+        }
+
+    def kept(i: int) -> dict[str, Column]:
+        new = slot("what", i).isNotNull()
+        for earlier in range(1, i):
+            new = new & (slot("product", i) != slot("product", earlier))
+        return {"kept": new}
+
+    baskets = _order_keys(volumes, tasks).withColumn(
+        "_lines", choose_weighted(draw(digest("order", order), 2), *LINES_PER_ORDER))
+    baskets = baskets.withColumns(each(
+        lambda i: {"what": F.when(F.col("_lines") >= i, digest("line", order, F.lit(i)))}))
+    for step in (category, entry, product, kept):
+        baskets = baskets.withColumns(each(step))
+    names = ("kept", "product", "quantity", "listed", "price")
+    return baskets.select("order_id", "order_date", *[f"{n}{i}" for i in _SLOTS for n in names])
+
+
+def orders_of(baskets: DataFrame, customers: int | Column = CUSTOMERS) -> DataFrame:
+    """Order headers of the baskets; shipping is free from a certain basket value."""
+    order = F.col("order_id")
+    head, detail = digest("order", order), digest("moment", order)
+    clock = F.format_string("%02d:%02d:%02d", whole(draw(detail, 0), 24), whole(draw(detail, 1), 60),
+                            whole(draw(detail, 2), 60))
+    amounts = [
+        F.when(F.col(f"kept{i}"), F.col(f"quantity{i}") * F.col(f"price{i}")).otherwise(F.lit(0))
+        for i in _SLOTS
+    ]
+    gross = sum(amounts[1:], start=amounts[0])
+    fee = F.when(gross >= FREE_SHIPPING_FROM, F.lit("0.00")).otherwise(choose(draw(detail, 3), SHIPPING_FEES))
+    customers = customers if isinstance(customers, Column) else F.lit(customers)
+    return baskets.select(
+        order,
+        (F.lit(CUSTOMER_BASE + 1) + whole(draw(head, 0), customers)).alias("customer_id"),
+        "order_date",
+        F.concat_ws(" ", F.col("order_date").cast("string"), clock).cast("timestamp").alias("order_ts"),
+        choose(draw(head, 1), ORDER_CHANNELS).alias("channel"),
+        choose_weighted(draw(head, 3), *ORDER_STATUS).alias("order_status"),
+        fee.cast("decimal(10,2)").alias("shipping_cost"),
+    )
+
+
+def items_of(baskets: DataFrame) -> DataFrame:
+    """Order lines of the baskets. Item ids are unique but leave gaps for lines that were not used."""
+    lines = F.array(*[
+        F.struct(
+            F.lit(i).alias("line"), F.col(f"kept{i}").alias("kept"), F.col(f"product{i}").alias("product_id"),
+            F.col(f"quantity{i}").alias("quantity"), F.col(f"listed{i}").alias("listed"),
+            F.col(f"price{i}").alias("unit_price"))
+        for i in _SLOTS
+    ])
+    item = (F.col("order_id") - ORDER_BASE - 1) * len(_SLOTS) + F.col("line") + ITEM_BASE
+    saved = (F.col("listed") - F.col("unit_price")) * F.col("quantity")
+    return baskets.select("order_id", F.inline(lines)).filter("kept").select(
+        item.alias("order_item_id"), "order_id", "product_id", "quantity", "unit_price",
+        saved.cast("decimal(10,2)").alias("discount_amount"),
+    )
+
+
+def gen_campaigns(markets: DataFrame, start: date = START, end: date = END) -> DataFrame:
+    """Monthly campaigns per category for every market (column ``n`` from 0).
+
+    A category does not run every month, except in its promotion months, when it also spends more.
+    """
+    demands = list(DEMAND.items())
+    months = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 month"))
+    n_months = (end.year - start.year) * 12 + end.month - start.month + 1
+    grid = markets.select("n", F.explode(months).alias("start_date")).select(
+        "n", "start_date",
+        F.inline(F.array(*[
+            F.struct(F.lit(k).alias("_k"), F.lit(name).alias("category"),
+                     _on_promo(d, F.col("start_date")).alias("_promo"),
+                     F.lit(d.run_probability).alias("_runs"), F.lit(d.return_on_spend).alias("_return"))
+            for k, (name, d) in enumerate(demands)])),
+    )
+    plan = digest("campaign", F.col("n"), F.col("start_date"), F.col("_k"))
+    reach = digest("reach", F.col("n"), F.col("start_date"), F.col("_k"))
+    cell = F.col("n") * (n_months * len(demands)) + month_number(F.col("start_date")) * len(demands) + F.col("_k")
+    spend = between(draw(plan, 2), 1500.0, 6000.0) * F.when(F.col("_promo"), PROMO_SPEND_FACTOR).otherwise(1.0)
+    running = grid.filter(F.col("_promo") | (draw(plan, 0) <= F.col("_runs"))).select(
+        (cell + CAMPAIGN_BASE + 1).alias("campaign_id"), "category", "start_date", "_return",
+        choose(draw(plan, 1), CAMPAIGN_CHANNELS).alias("channel"),
+        F.round(spend, 2).alias("_spend"),
+        draw(plan, 3).alias("_u_return"),
+        draw(reach, 0).alias("_u_seen"), draw(reach, 1).alias("_u_click"), draw(reach, 2).alias("_u_buy"),
+    )
+    seen = running.withColumn("impressions", F.floor(F.col("_spend") * between(F.col("_u_seen"), 180.0, 320.0)))
+    clicked = seen.withColumn("clicks", F.floor(F.col("impressions") * between(F.col("_u_click"), 0.008, 0.025)))
+    name = F.concat_ws(" ", F.element_at(F.split("category", " "), 1),
+                       F.date_format("start_date", "MMM yyyy"), "channel")
+    earned = F.round(F.col("_spend") * F.col("_return") * between(F.col("_u_return"), 0.85, 1.15), 2)
+    bought = F.floor(F.col("clicks") * between(F.col("_u_buy"), 0.02, 0.06))
+    return clicked.select(
+        "campaign_id", name.alias("campaign_name"), "category", "channel", "start_date",
+        F.last_day("start_date").alias("end_date"),
+        F.col("_spend").cast("decimal(12,2)").alias("spend_usd"),
+        "impressions", "clicks",
+        F.greatest(F.lit(1), bought).cast("int").alias("conversions"),
+        earned.cast("decimal(12,2)").alias("attributed_revenue_usd"),
+    )
+
+
+@dataclass(frozen=True)
+class Fault:
+    """A planted fault: the point as a multiple of recent actuals, the bounds as multiples of the point."""
+
+    factor: float
+    low: float
+    high: float
+
+
+def faulty_forecast(recent: DataFrame, months: Sequence[date], faults: Mapping[str, Fault],
+                    generated_on: date) -> DataFrame:
+    """A handed-off forecast that is wrong on purpose, from recent averages per category."""
+    planted = F.array(*[
+        F.struct(F.lit(k).alias("_k"), F.lit(name).alias("_name"), F.lit(f.factor).alias("_factor"),
+                 F.lit(f.low).alias("_low"), F.lit(f.high).alias("_high"))
+        for k, (name, f) in enumerate(faults.items())])
+    rows = recent.select("category", "recent_average", F.inline(planted)).filter(
+        F.col("category") == F.col("_name"))
+    rows = rows.withColumn("_point", F.round(F.col("recent_average").cast("double") * F.col("_factor"), 2))
+    when = F.posexplode(F.array(*[F.lit(m) for m in months])).alias("_m", "forecast_month")
+    amount = "decimal(18,2)"
+    return rows.select("*", when).select(
+        (F.col("_k") * len(months) + F.col("_m") + FORECAST_BASE + 1).alias("forecast_id"),
+        "category", "forecast_month",
+        F.col("_point").cast(amount).alias("forecast_revenue_usd"),
+        F.round(F.col("_point") * F.col("_low"), 2).cast(amount).alias("lower_bound_usd"),
+        F.round(F.col("_point") * F.col("_high"), 2).cast(amount).alias("upper_bound_usd"),
+        F.lit("ds_prophet_v1").alias("model_name"),
+        F.lit("data_science_team").alias("generated_by"),
+        F.lit(generated_on).alias("generated_date"),
+    )
+
+
+def generate(spark: SparkSession, scale: int = 1) -> dict[str, DataFrame]:
+    """Products, customers, orders, lines and campaigns of a shop ``scale`` times the usual size."""
+    volumes = gen_days(calendar(spark), ORDERS_PER_DAY * scale)
+    baskets = gen_baskets(volumes, cycles=scale)
+    return {
+        "dim_product": gen_products(spark.range(_TEMPLATES * scale).toDF("n")),
+        "dim_customer": gen_customers(spark.range(CUSTOMERS * scale).toDF("n")),
+        "fact_orders": orders_of(baskets, CUSTOMERS * scale),
+        "fact_order_items": items_of(baskets),
+        "fact_marketing_campaigns": gen_campaigns(spark.range(scale).toDF("n")),
+    }
