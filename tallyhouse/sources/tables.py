@@ -31,11 +31,18 @@ def write_table(df: DataFrame, name: str, comment: str | None = None,
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> DataFrame:
-    """Replace only those partitions of an existing table for which ``df`` has rows."""
+    """Replace only those partitions of an existing table for which ``df`` has rows.
+
+    ``insertInto`` takes the overwrite mode from the session, so it is set for this write only.
+    """
     spark = df.sparkSession
-    columns = spark.table(name).columns
-    (df.select(*columns).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True))
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    usual = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, usual)
     return spark.table(name)
 
 
