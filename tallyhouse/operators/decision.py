@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,13 +45,25 @@ def category_summary(sales: DataFrame, marketing: DataFrame, first: Period, last
     )
 
 
-def signal(df: DataFrame, name: str, value: str, role: str = DECISION) -> DataFrame:
-    """The category that leads on one figure; equal figures are decided by the later name."""
-    score = F.col(value).cast("double")
-    best = F.max(F.when(score.isNotNull(), F.struct(score.alias("value"), F.col("category"))))
-    return df.agg(best.alias("_best")).select(
-        F.lit(name).alias("signal"), F.lit(role).alias("role"),
-        F.col("_best.category").alias("leader"), F.col("_best.value").alias("value"))
+def _best(column: str) -> Column:
+    """Score and name of the category that leads on one figure; ties go to the later name."""
+    score = F.col(column).cast("double")
+    return F.max(F.when(score.isNotNull(), F.struct(score.alias("value"), F.col("category").alias("leader"))))
+
+
+def leading(figures: DataFrame, signals: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One row per (signal, role, column) with the category that leads on the column.
+
+    All leaders come from one aggregate, so the figures are computed once however many signals ask
+    for them.
+    """
+    best = figures.agg(*[_best(column).alias(name) for name, _, column in signals])
+    rows = F.array(*[
+        F.struct(F.lit(name).alias("signal"), F.lit(role).alias("role"),
+                 F.col(f"{name}.leader").alias("leader"), F.col(f"{name}.value").alias("value"))
+        for name, role, _ in signals
+    ])
+    return best.select(F.inline(rows))
 
 
 def decision_signals(summary: DataFrame, q4: DataFrame, outlook: DataFrame,
@@ -61,21 +74,25 @@ def decision_signals(summary: DataFrame, q4: DataFrame, outlook: DataFrame,
     is a category frame with ``forecast_revenue``. Units and margin are contrast: they are shown
     and do not vote.
     """
-    rows = [
-        signal(summary, "profit", "profit"),
-        signal(summary, "growth", "growth_pct"),
-        signal(summary, "marketing_roi", "marketing_roi"),
-        signal(q4, "q4_index", "q_index"),
-        signal(outlook.groupBy("category").agg(F.avg("forecast_revenue").alias("forecast_revenue")),
-               "forecast_outlook", "forecast_revenue"),
+    signals = [
+        ("profit", DECISION, "profit"),
+        ("growth", DECISION, "growth_pct"),
+        ("marketing_roi", DECISION, "marketing_roi"),
+        ("q4_index", DECISION, "q_index"),
+        ("forecast_outlook", DECISION, "forecast_revenue"),
+        ("units", CONTRAST, "units"),
+        ("margin", CONTRAST, "margin_pct"),
     ]
-    if research is not None:
-        rows.append(signal(research, "external_research", "next_quarter_growth_pct"))
-    rows += [
-        signal(summary, "units", "units", CONTRAST),
-        signal(summary, "margin", "margin_pct", CONTRAST),
+    frames = [
+        summary,
+        q4.select("category", "q_index"),
+        outlook.groupBy("category").agg(F.avg("forecast_revenue").alias("forecast_revenue")),
     ]
-    return reduce(DataFrame.unionByName, rows)
+    if research is not None:
+        signals.append(("external_research", DECISION, "next_quarter_growth_pct"))
+        frames.append(research.select("category", "next_quarter_growth_pct"))
+    figures = reduce(lambda left, right: left.join(right, "category", "full_outer"), frames)
+    return leading(figures, signals)
 
 
 def recommend(signals: DataFrame) -> DataFrame:
@@ -92,22 +109,18 @@ def with_market_research(summary: DataFrame, research: DataFrame) -> DataFrame:
     return summary.join(research, "category")
 
 
-def _leader_of(column: str) -> Column:
-    score = F.col(column).cast("double")
-    return F.max_by("category", F.when(score.isNotNull(), F.struct(score, F.col("category"))))
-
-
 def triangulate(internal: DataFrame, research: DataFrame) -> DataFrame:
     """Per signal, the internal and the external leader and whether they are the same.
 
     ``internal`` has category, growth, q4_index and margin.
     """
-    ours = internal.agg(*[_leader_of(name).alias(name) for name in EXTERNAL_TWIN])
-    theirs = research.agg(*[_leader_of(name).alias(name) for name in EXTERNAL_TWIN.values()])
+    figures = internal.select("category", *EXTERNAL_TWIN).join(
+        research.select("category", *EXTERNAL_TWIN.values()), "category", "full_outer")
+    best = figures.agg(*[_best(c).alias(c) for pair in EXTERNAL_TWIN.items() for c in pair])
     pairs = F.array(*[
-        F.struct(F.lit(inner).alias("signal"), F.col(inner).alias("internal_leader"),
-                 F.col(outer).alias("external_leader"))
-        for inner, outer in EXTERNAL_TWIN.items()
+        F.struct(F.lit(ours).alias("signal"), F.col(f"{ours}.leader").alias("internal_leader"),
+                 F.col(f"{theirs}.leader").alias("external_leader"))
+        for ours, theirs in EXTERNAL_TWIN.items()
     ])
-    return ours.join(F.broadcast(theirs)).select(F.inline(pairs)).withColumn(
+    return best.select(F.inline(pairs)).withColumn(
         "agrees", F.col("internal_leader") == F.col("external_leader"))

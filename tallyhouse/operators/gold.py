@@ -23,6 +23,18 @@ def sales_totals(df: DataFrame, *keys: str | Column) -> DataFrame:
     )
 
 
+def compact_sales(sales: DataFrame, *keys: str) -> DataFrame:
+    """Sales reduced to one row per key, under the same column names.
+
+    Operators that only add up revenue, profit and units accept it in place of the lines. By day and
+    category it stays small whatever the size of the shop, so it is the frame to store when several
+    results are drawn from the same sales.
+    """
+    return sales.groupBy(*keys).agg(*[
+        F.sum(name).alias(name)
+        for name in ("line_revenue", "line_profit", "quantity")])
+
+
 def add_up(totals: DataFrame, *keys: str | Column) -> DataFrame:
     """Coarser totals from finer ones made by ``sales_totals``."""
     names = ("total_revenue", "total_profit", "units_sold", "order_lines")

@@ -40,6 +40,16 @@ def pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
 
 
+def full_months(sales: DataFrame) -> DataFrame:
+    """Monthly revenue per category up to the last full month."""
+    return monthly_history(sales).filter(F.col("month") <= F.lit(LAST_FULL_MONTH))
+
+
+def handed_off_forecast(history: DataFrame) -> DataFrame:
+    """A forecast from elsewhere, with planted faults."""
+    return faulty_forecast(recent_average(history, RECENT_SINCE), FORECAST_MONTHS, FAULTS, GENERATED_ON)
+
+
 @dataclass(frozen=True)
 class Star:
     """Lazy frames over one directory of tables."""
@@ -134,14 +144,11 @@ class Star:
 
     @property
     def history(self) -> DataFrame:
-        """Monthly revenue per category up to the last full month."""
-        return monthly_history(self.sales).filter(F.col("month") <= F.lit(LAST_FULL_MONTH))
+        return full_months(self.sales)
 
     @property
     def forecasts(self) -> DataFrame:
-        """A handed-off forecast with planted faults."""
-        recent = recent_average(self.history, RECENT_SINCE)
-        return faulty_forecast(recent, FORECAST_MONTHS, FAULTS, GENERATED_ON)
+        return handed_off_forecast(self.history)
 
     @property
     def research(self) -> DataFrame:
