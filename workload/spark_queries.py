@@ -347,8 +347,7 @@ def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 def metrics_sales_flat(s: Star) -> DataFrame:
     flat = sales_metrics(s.sales).to_flat_view()
     flat = _rounded(flat, 2, "Total_Revenue", "Total_Cost", "Total_Profit")
-    return _rounded(flat.withColumn("Avg_Order_Line_Value", F.col("Avg_Order_Line_Value").cast("double")),
-                    4, "Profit_Margin_Pct", "Avg_Order_Line_Value")
+    return _rounded(flat, 4, "Profit_Margin_Pct", "Avg_Order_Line_Value")
 
 
 @query
@@ -363,8 +362,7 @@ SALES_MEASURES = ("Total Revenue", "Total Cost", "Total Profit", "Profit Margin
 def _sales_metrics(s: Star, by: list[str], **options) -> DataFrame:
     result = sales_metrics(s.sales).query(SALES_MEASURES, by=by, **options)
     result = _rounded(result, 2, "Total Revenue", "Total Cost", "Total Profit")
-    averages = result.withColumn("Avg Order Line Value", F.col("Avg Order Line Value").cast("double"))
-    return _rounded(averages, 4, "Profit Margin Pct", "Avg Order Line Value")
+    return _rounded(result, 4, "Profit Margin Pct", "Avg Order Line Value")
 
 
 @query
