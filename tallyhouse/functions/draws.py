@@ -35,9 +35,15 @@ def whole(u: Column, n: int | Column) -> Column:
     return F.floor(u * n).cast("int")
 
 
+def literals(values: Sequence[object], type_name: str = "string") -> Column:
+    """Constant array of one SQL type, built in a single expression."""
+    texts = ("'" + str(v).replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"CAST(array({', '.join(texts)}) AS array<{type_name}>)")
+
+
 def choose(u: Column, values: Sequence[object]) -> Column:
-    """One of the values, all equally likely; repeat a value to make it more likely."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), whole(u, len(values)) + 1)
+    """One of the texts, all equally likely; repeat a text to make it more likely."""
+    return F.element_at(literals(values), whole(u, len(values)) + 1)
 
 
 def choose_weighted(u: Column, values: Sequence[object], weights: Sequence[float]) -> Column:

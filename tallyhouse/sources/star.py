@@ -6,10 +6,10 @@ that the operators expect. Every function reads whole tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.silver import build_marketing, build_sales, order_lines
@@ -36,8 +36,9 @@ FAULTS = {
 }
 
 
-def pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
+def _nth(values: tuple[str, ...], index: str) -> str:
+    """SQL for the value at a zero-based index."""
+    return f"element_at(array({', '.join(repr(v) for v in values)}), CAST({index} AS INT) + 1)"
 
 
 def full_months(sales: DataFrame) -> DataFrame:
@@ -56,60 +57,50 @@ class Star:
 
     spark: SparkSession
     directory: str
+    _tables: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        """A given table; its footers are read once per star."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._tables[name]
 
     @property
     def products(self) -> DataFrame:
-        price = F.col("p_retailprice").cast("decimal(12,2)")
-        return self.table("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("subcategory"),
-            price.alias("list_price"),
-            (price * F.lit("0.60").cast("decimal(3,2)")).alias("unit_cost"),
-        )
+        return self.table("part").selectExpr(
+            "p_partkey AS product_id", "p_name AS product_name", "p_type AS category", "p_brand AS subcategory",
+            "CAST(p_retailprice AS DECIMAL(12,2)) AS list_price",
+            "CAST(p_retailprice AS DECIMAL(12,2)) * 0.60BD AS unit_cost")
 
     @property
     def customers(self) -> DataFrame:
         nations = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return self.table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("r_name").alias("region"),
-            F.col("n_name").alias("country"),
-            F.col("c_mktsegment").alias("customer_segment"),
-        )
+        return self.table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+            "c_custkey AS customer_id", "r_name AS region", "n_name AS country", "c_mktsegment AS customer_segment")
 
     @property
     def orders(self) -> DataFrame:
-        code = F.col("o_orderstatus")
-        status = F.when(code == "P", "CANCELLED").when(code == "O", "RETURNED").otherwise("COMPLETED")
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("o_orderdate").alias("order_ts"),
-            F.col("o_orderpriority").alias("channel"),
-            status.alias("order_status"),
-        )
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date",
+            "o_orderdate AS order_ts", "o_orderpriority AS channel",
+            "CASE o_orderstatus WHEN 'P' THEN 'CANCELLED' WHEN 'O' THEN 'RETURNED' ELSE 'COMPLETED' END AS order_status")
 
     @property
     def items(self) -> DataFrame:
-        """Lines priced from the part table; the source has no item key."""
-        price = F.col("p_retailprice").cast("decimal(12,2)")
-        discount = F.col("l_discount").cast("decimal(4,2)")
-        quantity = F.col("l_quantity").cast("int")
-        parts = self.table("part").select("p_partkey", "p_retailprice")
-        return self.table("lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            quantity.alias("quantity"),
-            (price * (1 - discount)).alias("unit_price"),
-            (quantity * price * discount).alias("discount_amount"),
-        )
+        """Lines priced from the part table; the source has no item key.
+
+        Prices become DECIMAL once per part and discounts through whole percents, since a cast from
+        DOUBLE to DECIMAL goes through text and would dominate a scan of the lines.
+        """
+        parts = self.table("part").selectExpr(
+            "p_partkey AS product_id", "CAST(p_retailprice AS DECIMAL(12,2)) AS price")
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id", "l_partkey AS product_id", "CAST(l_quantity AS INT) AS quantity",
+            "0.01BD * CAST(CAST(rint(100 * l_discount) AS INT) AS DECIMAL(3,0)) AS off")
+        return lines.join(parts, "product_id").selectExpr(
+            "order_id", "product_id", "quantity", "price * (1 - off) AS unit_price",
+            "quantity * price * off AS discount_amount")
 
     @property
     def lines(self) -> DataFrame:
@@ -122,21 +113,22 @@ class Star:
     @property
     def campaigns(self) -> DataFrame:
         """One campaign per category, day and channel, from web events."""
-        amount = F.col("value").cast("decimal(12,2)")
-        kind = F.col("event_type")
-        cells = self.table("events").groupBy(
-            pick(CATEGORIES, F.col("user_id") % 6).alias("category"),
-            F.col("ts").cast("date").alias("start_date"),
-            pick(CHANNELS, F.floor(F.hour("ts") / 6)).alias("channel"),
-        ).agg(
-            F.coalesce(F.sum(F.when(kind == "click", amount)), F.lit(0)).alias("spend_usd"),
-            F.count_if(kind == "view").alias("impressions"),
-            F.count_if(kind == "click").alias("clicks"),
-            F.count_if(kind == "purchase").alias("conversions"),
-            F.coalesce(F.sum(F.when(kind == "purchase", amount)), F.lit(0)).alias("attributed_revenue_usd"),
+        events = self.table("events").selectExpr(
+            f"{_nth(CATEGORIES, 'user_id % 6')} AS category",
+            "CAST(ts AS DATE) AS start_date",
+            f"{_nth(CHANNELS, 'floor(hour(ts) / 6)')} AS channel",
+            "event_type",
+            "CAST(value AS DECIMAL(12,2)) AS amount")
+        cells = events.groupBy("category", "start_date", "channel").agg(
+            F.expr("coalesce(sum(amount) FILTER (WHERE event_type = 'click'), 0)").alias("spend_usd"),
+            F.expr("count_if(event_type = 'view')").alias("impressions"),
+            F.expr("count_if(event_type = 'click')").alias("clicks"),
+            F.expr("count_if(event_type = 'purchase')").alias("conversions"),
+            F.expr("coalesce(sum(amount) FILTER (WHERE event_type = 'purchase'), 0)").alias("attributed_revenue_usd"),
         )
-        name = F.concat_ws(" ", "category", F.col("start_date").cast("string"), "channel")
-        return cells.withColumns({"campaign_name": name, "campaign_id": name})
+        return cells.selectExpr(
+            "*", "concat_ws(' ', category, CAST(start_date AS STRING), channel) AS campaign_name",
+            "concat_ws(' ', category, CAST(start_date AS STRING), channel) AS campaign_id")
 
     @property
     def marketing(self) -> DataFrame:
@@ -153,33 +145,27 @@ class Star:
     @property
     def research(self) -> DataFrame:
         """Market figures per category from the same events, standing in for an external brief."""
-        day, hour, kind = F.dayofmonth("ts"), F.hour("ts"), F.col("event_type")
-        amount = F.col("value").cast("decimal(12,2)")
-        events = self.table("events").withColumn("category", pick(CATEGORIES, F.col("user_id") % 6))
-        figures = events.groupBy("category").agg(
-            F.sum(F.when(day <= 15, amount)).alias("_early"),
-            F.sum(F.when(day > 15, amount)).alias("_late"),
-            F.sum(F.when(hour >= 18, amount)).alias("_evening"),
-            F.sum(amount).alias("_all"),
-            F.sum(F.when(kind == "purchase", amount)).alias("_bought"),
-            F.count_if(kind == "purchase").alias("_purchases"),
+        events = self.table("events").selectExpr(
+            f"{_nth(CATEGORIES, 'user_id % 6')} AS category", "user_id", "event_type",
+            "day(ts) AS day", "hour(ts) AS hour", "CAST(value AS DECIMAL(12,2)) AS amount")
+        per_user = events.groupBy("category", "user_id").agg(
+            F.expr("sum(amount)").alias("total"),
+            F.expr("sum(amount) FILTER (WHERE day <= 15)").alias("early"),
+            F.expr("sum(amount) FILTER (WHERE day > 15)").alias("late"),
+            F.expr("sum(amount) FILTER (WHERE hour >= 18)").alias("evening"),
+            F.expr("sum(amount) FILTER (WHERE event_type = 'purchase')").alias("bought"),
+            F.expr("count_if(event_type = 'purchase')").alias("purchases"),
         )
-        per_buyer = events.filter(kind == "purchase").groupBy("category", "user_id").agg(
-            F.count("*").alias("_n"))
-        loyalty = per_buyer.groupBy("category").agg(
-            F.count_if(F.col("_n") >= 2).alias("_repeat"), F.count("*").alias("_buyers"))
-
-        def share(a: str, b: str, digits: int, scale: float) -> Column:
-            quotient = F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
-            return F.round(F.lit(scale) * quotient, digits)
-
-        return figures.join(loyalty, "category").select(
-            "category",
-            F.round(F.lit(100.0) * (F.try_divide(F.col("_late").cast("double"),
-                                                 F.col("_early").cast("double")) - 1), 2)
-            .alias("next_quarter_growth_pct"),
-            share("_evening", "_all", 1, 400.0).alias("q4_demand_index"),
-            share("_bought", "_purchases", 2, 1.0).alias("willingness_to_pay"),
-            share("_bought", "_all", 2, 100.0).alias("typical_margin_pct"),
-            share("_repeat", "_buyers", 2, 100.0).alias("repeat_rate_pct"),
+        sums = per_user.groupBy("category").agg(
+            *[F.expr(f"CAST(sum({c}) AS DOUBLE)").alias(c)
+              for c in ("total", "early", "late", "evening", "bought", "purchases")],
+            F.expr("CAST(count_if(purchases >= 2) AS DOUBLE)").alias("repeat_buyers"),
+            F.expr("CAST(count_if(purchases >= 1) AS DOUBLE)").alias("buyers"),
         )
+        return sums.selectExpr(
+            "category",
+            "round(100d * (try_divide(late, early) - 1), 2) AS next_quarter_growth_pct",
+            "round(400d * try_divide(evening, total), 1) AS q4_demand_index",
+            "round(try_divide(bought, purchases), 2) AS willingness_to_pay",
+            "round(100d * try_divide(bought, total), 2) AS typical_margin_pct",
+            "round(100d * try_divide(repeat_buyers, buyers), 2) AS repeat_rate_pct")

@@ -15,7 +15,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.draws import between, choose, choose_weighted, digest, draw, whole
+from tallyhouse.functions.draws import between, choose, choose_weighted, digest, draw, literals, whole
 
 # ---------------------------------------------------------------------------------------------
 # Calendar, catalogue, demand, promotions, name lists, campaign returns, weights.
@@ -130,8 +130,7 @@ def popularity(template: int) -> float:
 
 
 def _entry(index: Column, position: int, cast: str = "string") -> Column:
-    values = F.array(*[F.lit(row[position]).cast(cast) for row in CATALOGUE])
-    return F.element_at(values, (index + 1).cast("int"))
+    return F.element_at(literals([row[position] for row in CATALOGUE], cast), (index + 1).cast("int"))
 
 
 def gen_products(ids: DataFrame) -> DataFrame:
@@ -165,8 +164,7 @@ def gen_customers(ids: DataFrame) -> DataFrame:
         whole(draw(who, 3), 901).alias("_days"),
         whole(draw(where, 0), len(PLACES)).alias("_place"),
     )
-    region = F.array(*[F.lit(r) for r, _ in PLACES])
-    country = F.array(*[F.lit(c) for _, c in PLACES])
+    region, country = (literals(names) for names in zip(*PLACES))
     mailbox = F.concat(F.lower("first_name"), F.lit("."), F.lower("last_name"),
                        (n + 1).cast("string"), F.lit("@example.com"))
     return rows.select(
@@ -214,7 +212,7 @@ def gen_days(days: DataFrame, base: float | Column = ORDERS_PER_DAY) -> DataFram
     """
     day = F.col("order_date")
     trend = F.lit(1.0) + VOLUME_GROWTH * (month_number(day) / VOLUME_GROWTH_MONTHS)
-    weekday = F.element_at(F.array(*[F.lit(w) for w in WEEKDAY_FACTOR]), F.weekday(day) + 1)
+    weekday = F.element_at(literals(WEEKDAY_FACTOR, "double"), F.weekday(day) + 1)
     noise = between(draw(digest("day", day), 0), 0.80, 1.20)
     base = base if isinstance(base, Column) else F.lit(float(base))
     volume = F.greatest(F.lit(1), F.round(base * trend * weekday * noise)).cast("bigint")
@@ -225,7 +223,7 @@ def gen_days(days: DataFrame, base: float | Column = ORDERS_PER_DAY) -> DataFram
 
 
 def _demand_weight(demand: Demand, day: Column) -> Column:
-    season = F.element_at(F.array(*[F.lit(s) for s in demand.season]), F.month(day))
+    season = F.element_at(literals(demand.season, "double"), F.month(day))
     return F.lit(demand.weight) * F.pow(F.lit(1 + demand.monthly_growth), month_number(day)) * season
 
 
@@ -268,8 +266,7 @@ def _pools() -> tuple[Column, list[Column]]:
         weights = [popularity(i) for i in pool]
         for k in range(1, longest):
             columns[k - 1].append(sum(weights[:k]) / sum(weights) if k < len(pool) else 2.0)
-    first = F.array(*[F.lit(pool[0]) for pool in entries])
-    return first, [F.array(*[F.lit(v) for v in column]) for column in columns]
+    return literals([pool[0] for pool in entries], "int"), [literals(column, "double") for column in columns]
 
 
 #: (month, category) cells with a promotion, as one number each.

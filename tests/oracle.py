@@ -29,6 +29,17 @@ def canonical(names, rows):
     return sorted(tuple(normal(row[n]) for n in sorted(names)) for row in rows)
 
 
+# How the comparison expects Spark types to show in DuckDB.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "boolean": "BOOLEAN"}
+
+
+def type_differences(df, con, text):
+    theirs = {name: str(kind) for name, kind, *_ in con.execute("DESCRIBE " + text).fetchall()}
+    ours = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    return {n: (ours[n], theirs.get(n)) for n in ours if ours[n] != theirs.get(n)}
+
+
 def compare(spark, con, directory, run, text):
     """None when equal, else a short description of the difference."""
     df = run(spark, directory)
