@@ -1,0 +1,81 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.operators import decision, silver
+from tallyhouse.sources import synthetic
+from tallyhouse.sources.synthetic import generate
+
+
+@pytest.fixture(scope="module")
+def shop(spark):
+    return {name: df.cache() for name, df in generate(spark).items()}
+
+
+def digest(df):
+    return df.agg(F.sum(F.xxhash64("*").cast("decimal(38,0)")), F.count("*")).first()
+
+
+def test_tables_do_not_depend_on_partitions(spark):
+    days = synthetic.calendar(spark, date(2024, 11, 25), date(2024, 12, 5))
+    volumes = synthetic.gen_days(days, 40)
+    one, many = (synthetic.gen_baskets(volumes, cycles=3, tasks=n) for n in (1, 8))
+    assert digest(synthetic.items_of(one)) == digest(synthetic.items_of(many))
+    assert digest(synthetic.orders_of(one)) == digest(synthetic.orders_of(many))
+    people = [synthetic.gen_customers(spark.range(0, 500, 1, n).toDF("n")) for n in (1, 8)]
+    assert digest(people[0]) == digest(people[1])
+
+
+def test_busy_days_are_split_without_losing_orders(spark, monkeypatch):
+    volumes = synthetic.gen_days(synthetic.calendar(spark, date(2024, 1, 1), date(2024, 1, 4)), 500)
+    whole = digest(synthetic.items_of(synthetic.gen_baskets(volumes)))
+    monkeypatch.setattr(synthetic, "BLOCK", 7)
+    split = synthetic.gen_baskets(volumes)
+    assert digest(synthetic.items_of(split)) == whole
+    assert split.count() == volumes.agg(F.sum("n_orders")).first()[0]
+
+
+def test_keys_are_unique_and_found(shop):
+    for table, key in (("dim_product", "product_id"), ("dim_customer", "customer_id"), ("fact_orders", "order_id"),
+                       ("fact_order_items", "order_item_id"), ("fact_marketing_campaigns", "campaign_id")):
+        assert shop[table].count() == shop[table].select(key).distinct().count()
+    items = shop["fact_order_items"]
+    assert items.count() == items.select("order_id", "product_id").distinct().count()
+    assert items.join(shop["dim_product"], "product_id", "left_anti").count() == 0
+    assert items.join(shop["fact_orders"], "order_id", "left_anti").count() == 0
+    assert shop["fact_orders"].join(shop["dim_customer"], "customer_id", "left_anti").count() == 0
+
+
+def test_discounts_and_shipping(shop):
+    items = shop["fact_order_items"].join(shop["dim_product"], "product_id")
+    off = F.round(100 * (1 - F.col("unit_price") / F.col("list_price")), 0).cast("int")
+    assert {r[0] for r in items.select(off).distinct().collect()} <= {0, 4, 5, 6, 10, 15, 20, 25}
+    assert items.filter((F.col("list_price") - F.col("unit_price")) * F.col("quantity") != F.col("discount_amount")).count() == 0
+    gross = items.groupBy("order_id").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("gross"))
+    orders = shop["fact_orders"].join(gross, "order_id")
+    assert orders.filter((F.col("gross") >= 75) != (F.col("shipping_cost") == 0)).count() == 0
+
+
+def test_shares_follow_the_weights(shop):
+    status = {r.order_status: r["count"] for r in shop["fact_orders"].groupBy("order_status").count().collect()}
+    total = sum(status.values())
+    assert abs(status["COMPLETED"] / total - 0.94) < 0.01 and abs(status["CANCELLED"] / total - 0.02) < 0.01
+    assert 16_000 < total < 19_000
+
+
+def test_summary_has_the_published_order(shop):
+    sales = silver.build_sales(shop["fact_order_items"], shop["fact_orders"], shop["dim_product"])
+    marketing = silver.build_marketing(shop["fact_marketing_campaigns"])
+    summary = decision.category_summary(sales, marketing, (date(2024, 1, 1), date(2024, 3, 31)),
+                                        (date(2025, 4, 1), date(2025, 6, 30)))
+    rows = summary.orderBy(F.col("revenue").desc()).collect()
+    # Published revenue, margin and return on spend per category.
+    published = {"Outerwear": (655260, 50.7, 4.7), "T-Shirts & Tops": (338414, 62.0, 2.6), "Headwear": (135706, 63.8, 3.4),
+                 "Accessories": (135262, 66.1, 1.8), "Drinkware": (115017, 65.7, 3.0)}
+    assert [r.category for r in rows] == list(published)
+    for row in rows:
+        revenue, margin, roi = published[row.category]
+        assert abs(float(row.revenue) / revenue - 1) < 0.1
+        assert abs(row.margin_pct - margin) < 1.0
+        assert abs(row.marketing_roi - roi) < 0.3

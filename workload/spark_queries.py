@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+@lru_cache(maxsize=8)
+def _star(spark: SparkSession, directory: str) -> Star:
+    """Tables are resolved once per session, as a catalog would."""
+    return Star(spark, directory)
+
+
 def query(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
     """Register a function of the star under its own name."""
 
     def run(spark: SparkSession, directory: str) -> DataFrame:
-        df = build(Star(spark, directory))
+        df = build(_star(spark, directory))
         return df.withColumns({
             f.name: F.col(f"`{f.name}`").cast("double")
             for f in df.schema.fields if isinstance(f.dataType, DecimalType)})
