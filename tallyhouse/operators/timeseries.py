@@ -48,9 +48,9 @@ def seasonality_index(sales: DataFrame, quarter: int = 4, by: str = "category")
     day = F.col("order_date")
     quarters = sales.groupBy(by, quarter_of(day).alias("_quarter")).agg(
         F.sum("line_revenue").alias("_revenue"))
-    span = sales.agg(F.trunc(F.min(day), "MM").alias("_first"), F.trunc(F.max(day), "MM").alias("_last"))
-    full = quarters.join(F.broadcast(span)).filter(
-        (F.col("_quarter") >= F.col("_first")) & (F.add_months("_quarter", 2) <= F.col("_last")))
+    span = sales.agg(F.struct(F.trunc(F.min(day), "MM").alias("first"), F.trunc(F.max(day), "MM").alias("last"))).scalar()
+    full = quarters.withColumn("_span", span).filter(
+        (F.col("_quarter") >= F.col("_span.first")) & (F.add_months("_quarter", 2) <= F.col("_span.last")))
     wanted = F.when(F.quarter("_quarter") == quarter, F.col("_revenue"))
     return full.groupBy(by).agg(
         F.sum(wanted).alias("_in"), F.count(wanted).alias("_n_in"),

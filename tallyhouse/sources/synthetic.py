@@ -432,13 +432,11 @@ class Fault:
 def faulty_forecast(recent: DataFrame, months: Sequence[date], faults: Mapping[str, Fault],
                     generated_on: date) -> DataFrame:
     """A handed-off forecast that is wrong on purpose, from recent averages per category."""
-    planted = F.array(*[
-        F.struct(F.lit(k).alias("_k"), F.lit(name).alias("_name"), F.lit(f.factor).alias("_factor"),
-                 F.lit(f.low).alias("_low"), F.lit(f.high).alias("_high"))
-        for k, (name, f) in enumerate(faults.items())])
-    rows = recent.select("category", "recent_average", F.inline(planted)).filter(
-        F.col("category") == F.col("_name"))
-    rows = rows.withColumn("_point", F.round(F.col("recent_average").cast("double") * F.col("_factor"), 2))
+    planted = recent.sparkSession.createDataFrame(
+        [(k, name, f.factor, f.low, f.high) for k, (name, f) in enumerate(faults.items())],
+        "_k INT, category STRING, _factor DOUBLE, _low DOUBLE, _high DOUBLE")
+    rows = recent.join(planted, "category").withColumn(
+        "_point", F.round(F.col("recent_average").cast("double") * F.col("_factor"), 2))
     when = F.posexplode(F.array(*[F.lit(m) for m in months])).alias("_m", "forecast_month")
     amount = "decimal(18,2)"
     return rows.select("*", when).select(
