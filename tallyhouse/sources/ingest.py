@@ -19,20 +19,26 @@ from tallyhouse.sources.incremental import extract_since, high_water_mark, lates
 from tallyhouse.sources.schemas import MANIFEST, SourceTable
 
 BATCH = "batch_id"
+ORIGIN = "origin"
+EXTRACT = "extract"
 
 
 @dataclass(frozen=True)
 class BronzeStore:
+    """Batches are numbered per origin, so an extract and a file stream can feed the same table."""
+
     spark: SparkSession
     root: str
 
     def log_path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _marks_path(self, table: str) -> str:
-        return f"{self.root}/_marks/{table}"
+    def _marks_path(self, table: str, origin: str) -> str:
+        return f"{self.root}/_marks/{table}/{ORIGIN}={origin}"
 
-    def _read(self, path: str) -> DataFrame | None:
+    def _marks(self, entry: SourceTable, origin: str) -> DataFrame | None:
+        """One stored row per batch of an origin, or None before its first batch."""
+        path = self._marks_path(entry.name, origin)
         try:
             return self.spark.read.option("basePath", path).parquet(path)
         except AnalysisException as missing:
@@ -40,27 +46,27 @@ class BronzeStore:
                 return None
             raise
 
-    def append(self, rows: DataFrame, entry: SourceTable, batch: int) -> None:
+    def append(self, rows: DataFrame, entry: SourceTable, batch: int, origin: str = EXTRACT) -> None:
         """Write one batch and then its mark; writing the same batch again replaces it."""
-        folder = f"{self.log_path(entry.name)}/{BATCH}={batch}"
+        folder = f"{self.log_path(entry.name)}/{ORIGIN}={origin}/{BATCH}={batch}"
         rows.write.mode("overwrite").parquet(folder)
         written = self.spark.read.schema(rows.schema).parquet(folder)
         high_water_mark(written, entry.cursor).write.mode("overwrite").parquet(
-            f"{self._marks_path(entry.name)}/{BATCH}={batch}")
+            f"{self._marks_path(entry.name, origin)}/{BATCH}={batch}")
 
-    def mark(self, entry: SourceTable) -> object | None:
-        """Largest cursor value ingested so far, from one stored row per batch."""
-        marks = self._read(self._marks_path(entry.name))
+    def mark(self, entry: SourceTable, origin: str = EXTRACT) -> object | None:
+        """Largest cursor value that this origin has delivered."""
+        marks = self._marks(entry, origin)
         return None if marks is None else marks.agg(F.max("high_water_mark")).first()[0]
 
-    def next_batch(self, entry: SourceTable) -> int:
-        marks = self._read(self._marks_path(entry.name))
+    def next_batch(self, entry: SourceTable, origin: str = EXTRACT) -> int:
+        marks = self._marks(entry, origin)
         return 0 if marks is None else marks.agg(F.coalesce(F.max(BATCH), F.lit(-1)) + 1).first()[0]
 
     def current(self, entry: SourceTable) -> DataFrame:
         """The newest version of every row."""
         log = self.spark.read.option("basePath", self.log_path(entry.name)).parquet(self.log_path(entry.name))
-        return latest_per_key(log.drop(BATCH), entry.primary_key, entry.cursor)
+        return latest_per_key(log.drop(BATCH, ORIGIN), entry.primary_key, entry.cursor)
 
 
 def ingest_bronze(store: BronzeStore, source: Callable[[str], DataFrame],

@@ -100,7 +100,7 @@ class Star:
             "0.01BD * CAST(CAST(rint(100 * l_discount) AS INT) AS DECIMAL(3,0)) AS off")
         return lines.join(parts, "product_id").selectExpr(
             "order_id", "product_id", "quantity", "price * (1 - off) AS unit_price",
-            "quantity * price * off AS discount_amount")
+            "quantity * (price - price * (1 - off)) AS discount_amount")
 
     @property
     def lines(self) -> DataFrame:

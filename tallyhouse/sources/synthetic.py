@@ -310,7 +310,7 @@ def gen_baskets(volumes: DataFrame, cycles: int | Column = 1, tasks: int | None
     def product(i: int) -> dict[str, Column]:
         cycle = whole(draw(slot("what", i), 2), cycles).cast("bigint")
         promo = (month_code * len(DEMAND) + slot("category", i)).isin(_PROMO_CELLS)
-        u = draw(digest("price", order, F.lit(i)), 0)
+        u = draw(F.when(slot("what", i).isNotNull(), digest("price", order, F.lit(i))), 0)
         off = F.when(promo, choose(u, PROMO_DISCOUNTS)).otherwise(choose_weighted(u, *USUAL_DISCOUNTS))
         listed = _entry(slot("entry", i), 3, "decimal(10,2)")
         return {

@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyhouse.sources.ingest import BronzeStore
 from tallyhouse.sources.schemas import SCHEMAS, SourceTable
 
+FILES = "files"
+
 
 def read_arrivals(store: BronzeStore, entry: SourceTable, folder: str,
                   files_per_batch: int = 1000) -> DataFrame:
@@ -31,7 +33,7 @@ def ingest_arrivals(store: BronzeStore, entry: SourceTable, folder: str, checkpo
     A micro-batch that is repeated after a failure has the same id and replaces its first attempt.
     """
     def append(rows: DataFrame, batch: int) -> None:
-        store.append(rows, entry, batch)
+        store.append(rows, entry, batch, FILES)
 
     return (
         read_arrivals(store, entry, folder).writeStream

@@ -142,6 +142,17 @@ def test_streamed_files_arrive_once(spark, tmp_path):
     assert names == {1: "Tee v2", 2: "Cap"}
 
 
+def test_stream_and_extract_do_not_overwrite_each_other(spark, tmp_path):
+    store = BronzeStore(spark, str(tmp_path / "bronze"))
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "1.csv").write_text(",".join(SCHEMAS["dim_product"].names) + "\n9,Mug,Drinkware,M,16.00,5.00,,true\n")
+    ingest_arrivals(store, PRODUCTS, str(inbox), str(tmp_path / "marks")).awaitTermination()
+    one = spark.createDataFrame([(1, "Tee", "Tops", "T", None, None, None, True)], SCHEMAS["dim_product"])
+    ingest_bronze(store, lambda name: one, [PRODUCTS])
+    assert sorted(r.product_id for r in store.current(PRODUCTS).collect()) == [1, 9]
+
+
 def test_load_audit_reports_missing_tables(spark):
     write_table(spark.range(5).toDF("id"), "audit_me", "five rows")
     audit = load_audit(stored_tables(spark, ["audit_me", "not_there"]), spark)
