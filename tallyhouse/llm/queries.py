@@ -8,15 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.llm import byte_bpe, token_counts, token_files
 from tallyhouse.llm.line_rules import clean_lines
 from tallyhouse.llm.text import read
 from tallyhouse.llm.url_rules import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block"))
 
@@ -26,6 +30,27 @@ def query(run):
     return run
 
 
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, from the files that were written."""
+    manifest = token_files.write_shards(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return token_files.read_documents(manifest)
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and checksum of every document's ids, and the checksum of what they decode to."""
+    return byte_bpe.encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS),
+                                     outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histogram of encoded lengths with its suffix sums, each length taken as a context limit."""
+    lengths = token_counts.encoded_lengths(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return token_counts.length_histogram(lengths)
+
+
 @query
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
