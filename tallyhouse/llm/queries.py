@@ -12,9 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, token_counts, token_files
+from tallyhouse.llm import byte_bpe, language_id, quality_classifier, token_counts, token_files
 from tallyhouse.llm.line_rules import clean_lines
-from tallyhouse.llm.text import read
+from tallyhouse.llm.text import read, text_crc
 from tallyhouse.llm.url_rules import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,16 @@ def query(run):
     return run
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labelled rows that are not held out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = text_crc("doc_id") % 5 == 0
+    model = quality_classifier.fit(docs, labels, ~held_out)
+    return quality_classifier.score(docs, model).withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, from the files that were written."""
@@ -59,6 +69,15 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept")
 
 
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.fit(docs, text_crc("id") % 4 != 2)
+    return language_id.predict(docs, model).select(
+        "doc_id", (text_crc("doc_id") % 4 == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page."""
