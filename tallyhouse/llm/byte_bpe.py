@@ -211,8 +211,7 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text
         decode = load_ranks(path).decode
         for rows, block in blocks(batches, "text"):
             found = {name: [] for name in outputs}
-            for text in rows.column(1).to_pylist():
-                ids = encoder.encode(text or "")
+            for ids in encoder.encode_all([t or "" for t in rows.column(1).to_pylist()]):
                 if "ids" in found:
                     found["ids"].append(ids)
                 if "n_tokens" in found:

@@ -13,20 +13,26 @@ from functools import cache
 import public_tokenizers
 import regex
 
-# The same pattern for ASCII texts, where the faster matcher gives equal matches.
-_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+# The same pattern for texts of ASCII and Western European letters, where the faster matcher gives equal
+# matches. What begins with a letter can match in one way only, so that case stands first.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SPACE = r"\t-\r "
+_WESTERN = (rf" ?[{_LETTER}]++|'(?:s|t|re|ve|m|ll|d)| ?[0-9]++| ?[^{_SPACE}{_LETTER}0-9]++"
+            rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 @cache
 def _patterns(pattern: str):
     whole = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-    return whole.findall, re.compile(_ASCII, re.ASCII).findall
+    return whole.findall, re.compile(_WESTERN).findall, re.compile(rf"[\x00-\x7f{_LETTER}]*+").fullmatch
 
 
 def split(text: str, pattern: str = public_tokenizers.PATTERN) -> list[str]:
     """Matches of the pattern, which cover the text."""
-    whole, ascii_only = _patterns(pattern)
-    return ascii_only(text) if pattern == public_tokenizers.PATTERN and text.isascii() else whole(text)
+    whole, western, is_western = _patterns(pattern)
+    if pattern == public_tokenizers.PATTERN and (text.isascii() or is_western(text)):
+        return western(text)
+    return whole(text)
 
 
 class PieceEncoder:
@@ -37,18 +43,31 @@ class PieceEncoder:
     which bounds the memory and changes no result.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], capacity: int = 400_000,
+    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], capacity: int = 600_000,
                  longest: int = 64, pattern: str = public_tokenizers.PATTERN):
         self.encode_pieces, self.capacity, self.longest, self.pattern = encode_pieces, capacity, longest, pattern
         self.kept: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        parts, kept = split(text, self.pattern), self.kept
-        new = list({p for p in parts if p not in kept})
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; pieces that are new to all of them are encoded together."""
+        kept = self.kept
+        parts = [split(text, self.pattern) for text in texts]
+        new = set()
+        for some in parts:
+            new |= set(some).difference(kept)
         if not new:
-            return b"".join(map(kept.__getitem__, parts))
+            return [b"".join(map(kept.__getitem__, some)) for some in parts]
+        new = list(new)
         found = dict(zip(new, self.encode_pieces(new)))
-        if len(kept) < self.capacity:
-            kept.update((p, ids) for p, ids in found.items() if len(p) <= self.longest)
+        if len(kept) + len(new) <= self.capacity:
+            long = {p: ids for p, ids in found.items() if len(p) > self.longest}
+            kept.update(found)
+            out = [b"".join(map(kept.__getitem__, some)) for some in parts]
+            for p in long:
+                del kept[p]
+            return out
         get, other = kept.get, found.get
-        return b"".join([get(p) or other(p) for p in parts])
+        return [b"".join([get(p) or other(p) for p in some]) for some in parts]

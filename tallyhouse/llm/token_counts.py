@@ -25,7 +25,7 @@ def encoded_lengths(docs: DataFrame, path: str, id_column: str = "doc_id", text_
     def run(batches):
         encoder, _ = load_encoder(path)
         for rows, _ in blocks(batches, "text"):
-            counts = [len(encoder.encode(t or "")) // 4 for t in rows.column(1).to_pylist()]
+            counts = [len(ids) // 4 for ids in encoder.encode_all([t or "" for t in rows.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts, pa.int64())], ["id", "n_tokens"])
 
     return docs.selectExpr(f"`{id_column}` as id", f"`{text_column}` as text") \

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.pieces import PieceEncoder
+from tallyhouse.llm.text import blocks
 from tallyhouse.plans.lineage import scratch_path
 
 SEQUENCE_LENGTH = 2048
@@ -164,11 +165,11 @@ def write_shards(docs: DataFrame, path: str, folder: str | None = None, id_colum
             nonlocal writer
             writer = ShardWriter(sink, size, sequence_length, sequences_per_batch)
             end = array("I", [end_id]).tobytes()
-            for batch in chain([first], batches):
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    doc_ids.append(doc_id)
+            for some, _ in blocks(chain([first], batches), "text"):
+                doc_ids.extend(some.column(0).to_pylist())
+                for ids in encoder.encode_all(some.column(1).to_pylist()):
                     starts.append(writer.n_tokens)
-                    writer.add(np.frombuffer(encoder.encode(text.as_py()) + end, "<u4"))
+                    writer.add(np.frombuffer(ids + end, "<u4"))
             writer.close()
 
         first = next((b for b in batches if b.num_rows), None)
