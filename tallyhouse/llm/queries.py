@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, language_id, quality_classifier, token_counts, token_files
+from tallyhouse.llm import byte_bpe, decontaminate, language_id, quality_classifier, token_counts, token_files
 from tallyhouse.llm.line_rules import clean_lines
 from tallyhouse.llm.text import read, text_crc
 from tallyhouse.llm.url_rules import judge_urls
@@ -54,6 +54,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document; clean documents have no row."""
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The histogram of encoded lengths with its suffix sums, each length taken as a context limit."""
