@@ -61,3 +61,23 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict
 FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (k)
 """
+
+SQL["op5_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS g
+  FROM w),
+t AS (SELECT doc_id, unnest(g) AS token, len(g) AS n FROM s),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM t a JOIN t b ON a.token = b.token AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, c.component_id
+FROM s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = s.doc_id
+"""

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontaminate, language_id, quality_classifier, token_counts, token_files
+from tallyhouse.llm import byte_bpe, decontaminate, jaccard_join, language_id, quality_classifier, token_counts, token_files
 from tallyhouse.llm.line_rules import clean_lines
 from tallyhouse.llm.text import read, text_crc
 from tallyhouse.llm.url_rules import judge_urls
@@ -60,6 +60,12 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set and the component of its near duplicates."""
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The histogram of encoded lengths with its suffix sums, each length taken as a context limit."""

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.plans.lineage import scratch_path
+
 BLOCK_BYTES = 1 << 20
 _BASE = 0x5851F42D4C957F2D
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -182,3 +184,10 @@ def window_hashes(hashes: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.nd
     for k in range(size):
         out = out * np.uint64(_BASE) + hashes[first + k]
     return mix(out), first
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder and read from there; lost executors don't undo it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
