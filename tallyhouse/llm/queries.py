@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontaminate, jaccard_join, language_id, quality_classifier, token_counts, token_files
+from tallyhouse.llm import byte_bpe, decontaminate, jaccard_join, language_id, quality_classifier, suffix_dedup, token_counts, token_files
 from tallyhouse.llm.line_rules import clean_lines
 from tallyhouse.llm.text import read, text_crc
 from tallyhouse.llm.url_rules import judge_urls
@@ -81,6 +81,12 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept")
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document in strings of 50 bytes that also start in an earlier document."""
+    return suffix_dedup.repeat_counts(read(spark, sf_dir, "documents"))
+
+
 @query
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.text import blocks
 from tallyhouse.llm.token_files import load_encoder
 
-LENGTHS_PER_BLOCK = 1024
+LENGTHS_PER_BLOCK = 64
 
 
 def encoded_lengths(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
