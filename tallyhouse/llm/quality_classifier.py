@@ -118,23 +118,34 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "doc
 
 
 def score(docs: DataFrame, model: Model, label: int = 1, threshold: float = THRESHOLD, id_column: str = "doc_id",
-          text_column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+          text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: its id, ``score`` (probability of ``label``) and ``predicted``.
 
-    The columns named in ``keep`` are passed through. A null text counts as an empty one; repeated rows stay.
+    A null text counts as an empty one; repeated rows stay, other columns are left out.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     column = model.labels.index(label)
-    names = [id_column, *keep]
+    id_type = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
-        for rows, block in blocks(batches, "__text"):
+        for rows, block in blocks(batches, "text"):
             values = held.value.probabilities(block)[:, column].astype(float)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(i) for i in range(len(names))]
-                + [pa.array(values), pa.array((values >= threshold).astype(np.int32))],
-                [*names, "score", "predicted"])
+                [rows.column(0), pa.array(values), pa.array((values >= threshold).astype(np.int32))],
+                ["id", "score", "predicted"])
+
+    return docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text")).mapInArrow(
+        run, f"id {id_type}, score double, predicted int").withColumnRenamed("id", id_column)
+
+
+def keep_accepted(docs: DataFrame, model: Model, label: int = 1, threshold: float = THRESHOLD,
+                  text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    column = model.labels.index(label)
+
+    def run(batches):
+        for rows, block in blocks(batches, text_column):
+            yield rows.filter(pa.array(held.value.probabilities(block)[:, column] >= threshold))
 
-    schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text_column}`").alias("__text")).mapInArrow(
-        run, schema + ", score double, predicted int")
+    return docs.mapInArrow(run, docs.schema)
