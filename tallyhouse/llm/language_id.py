@@ -125,17 +125,19 @@ def fit(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column:
         buckets: int = BUCKETS) -> Model:
     """Train on the rows with text and language for which ``learn`` holds (over the column ``id``).
 
-    The rows are chosen by ranks within groups of language and hash, then within languages, so that no
-    task orders more than the winners of the groups for a language, however frequent it is.
+    Languages are counted first; of each, the rows whose hash lies in the share of the hash range that
+    should hold twice the wanted number are ranked by that hash, so the ranking has as few rows for a
+    frequent language as for a rare one.
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"),
                        F.col(f"`{lang_column}`").alias("lang")).filter(
         learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    ids = rows.select("id", "lang", F.xxhash64("text").alias("text"), F.xxhash64("id").alias("place"))
-    for group in (["lang", F.pmod("place", F.lit(64))], ["lang"]):
-        ids = ids.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy("place", "id", "text"))) \
-            .filter(F.col("rank") <= max_per_language).drop("rank")
-    chosen = ids.select("id", "lang", F.col("text").alias("hash")).distinct()
+    ids = rows.select("id", "lang", F.xxhash64("text").alias("hash"), F.xxhash64("id", "text").alias("place"))
+    share = ids.groupBy("lang").agg((F.lit(2.0 * max_per_language) / F.count(F.lit(1))).alias("share"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    near = F.col("place") <= (F.col("share") - 0.5) * F.lit(2.0 ** 64)
+    chosen = ids.join(share, "lang").filter(near).withColumn("rank", rank) \
+        .filter(F.col("rank") <= max_per_language).select("id", "lang", "hash").distinct()
     texts = rows.withColumn("hash", F.xxhash64("text")).join(chosen, ["id", "lang", "hash"], "left_semi") \
         .select("lang", _letters("text").alias("text"))
 

@@ -1,0 +1,204 @@
+"""Jaccard join, passage removal and decontamination against plain versions."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from brute import (
+    components, cut_characters, edits, least_edits, plain, repeat_row, repeated_bytes, shingle_set)
+
+from tallyhouse.llm import components as graph
+from tallyhouse.llm import decontaminate, jaccard_join, suffix_dedup
+from tallyhouse.llm.text import as_block
+
+
+def near_copies(seed, groups, size, n_words=60):
+    """Groups of texts, each a few words from its group's first or from the one before it."""
+    draw, rows = random.Random(seed), []
+    for g in range(groups):
+        words = [f"w{draw.randrange(500)}" for _ in range(n_words)]
+        for k in range(size):
+            rows.append((len(rows), " ".join(words)))
+            words = list(words)
+            for _ in range(draw.randrange(3)):
+                words[draw.randrange(n_words)] = f"v{draw.randrange(10_000)}"
+            if k % 7 == 6:
+                words = words[n_words // 3:] + [f"u{g}{k}{i}" for i in range(n_words // 3)]
+    draw.shuffle(rows)
+    return [(i, text) for i, (_, text) in enumerate(rows)]
+
+
+def expected_components(rows):
+    members, sets = components(rows)
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        ids = [rows[j][0] for j in members[i] if rows[j][0] is not None]
+        out.append((doc_id, len(sets[i]), min(ids, default=None) if sets[i] else doc_id))
+    return out
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: tuple((v is None, v or 0) for v in r))
+
+
+@pytest.mark.parametrize("piece", [3, 2000])
+def test_components_equal_all_pairs(frame, piece):
+    rows = near_copies(1, 6, 25)
+    found = jaccard_join.jaccard_components(frame(rows), piece=piece)
+    assert in_order(map(tuple, found.collect())) == in_order(expected_components(rows))
+
+
+def test_components_of_odd_rows(frame, odd_rows):
+    found = jaccard_join.jaccard_components(frame(odd_rows))
+    assert in_order(map(tuple, found.collect())) == in_order(expected_components(odd_rows))
+    assert jaccard_join.jaccard_components(frame([])).count() == 0
+
+
+def test_one_row_of_each_component_stays(frame, odd_rows):
+    rows = odd_rows + [(i + 100, t) for i, t in near_copies(2, 4, 9)]
+    docs = frame(rows)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs).collect()]
+    members, sets = components(rows)
+    assert sorted(t for _, t in kept if t and t.strip()) == sorted(
+        t for _, t in kept if shingle_set(t)) and len(kept) == len(
+        {min(members[i]) for i in range(len(rows)) if sets[i]}) + sum(not s for s in sets)
+    for i, (doc_id, text) in enumerate(rows):
+        if sets[i]:
+            ids = [rows[j][0] for j in members[i] if rows[j][0] is not None]
+            same = [k for k in kept if k[1] is not None and any(k[1] == rows[j][1] for j in members[i])
+                    and k[0] == min(ids, default=None)]
+            assert len(same) == 1
+    assert jaccard_join.keep_one(docs).columns == docs.columns
+
+
+def test_search_finds_what_reaches_the_bound():
+    draw = random.Random(3)
+    sets = [np.unique(np.array([draw.randrange(60) for _ in range(draw.randrange(1, 50))], np.uint64)) for _ in range(80)]
+    index, alive = jaccard_join.Index(sets, np.arange(len(sets))), np.ones(len(sets), bool)
+    for percent in (20, 50, 80, 100):
+        for a in sets:
+            links = [j for j, b in enumerate(sets)
+                     if 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))]
+            assert index.search(a, alive, percent).tolist() == links
+
+
+def test_components_of_a_long_chain(spark):
+    links = [(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5), (None, 3), (7, None)]
+    random.Random(5).shuffle(links)
+    found = {r.node: r.root for r in graph.connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert found == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+
+
+def passages(seed):
+    draw = random.Random(seed)
+    shared = ["".join(draw.choice("abcdé ß\n") for _ in range(draw.randrange(40, 160))) for _ in range(12)]
+    return [(i // 2 if i < 20 else i, "".join(
+        draw.choice([draw.choice(shared), "".join(draw.choice("abcd") for _ in range(draw.randrange(1, 90)))])
+        for _ in range(draw.randrange(0, 9)))) for i in range(90)]
+
+
+def test_removed_bytes_equal_all_strings(frame, odd_rows):
+    rows = passages(6) + [(i and i + 500, t if t is None or len(t) < 70_000 else t[:9000]) for i, t in odd_rows] + [
+        (700, "ab" * 400), (701, "xx" + "ab" * 300)]
+    found = suffix_dedup.repeat_counts(frame(rows))
+    expected = [(i, *repeat_row(t, gone)) for (i, t), gone in zip(rows, repeated_bytes(rows))]
+    assert in_order(map(tuple, found.collect())) == in_order(expected)
+
+
+def test_texts_stay_valid_without_their_repeats(frame):
+    rows = [(1, "é" * 60), (2, "x" + "é" * 40 + "y"), (3, None), (4, ""), (2, "x" + "é" * 40 + "y")] + passages(7)
+    docs = frame(rows)
+    kept = suffix_dedup.remove_repeats(docs)
+    assert kept.columns == docs.columns
+    expected = [(i, t and cut_characters(t, gone)) for (i, t), gone in zip(rows, repeated_bytes(rows))]
+    assert in_order([(r.doc_id, r.text and len(r.text), str(r.text)) for r in kept.collect()]) == in_order(
+        [(i, t and len(t), str(t)) for i, t in expected])
+    assert suffix_dedup.remove_repeats(frame([])).count() == 0
+
+
+def test_small_tasks_and_buckets_change_nothing(frame, monkeypatch):
+    rows = passages(8)
+    whole = in_order(map(tuple, suffix_dedup.repeat_counts(frame(rows)).collect()))
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 500)
+    assert in_order(map(tuple, suffix_dedup.repeat_counts(frame(rows)).collect())) == whole
+
+
+@pytest.mark.parametrize("match", [5, 8, 20, 50])
+def test_refinement_sorts_equal_strings_together(match):
+    draw = random.Random(9)
+    texts = [bytes(draw.choice(b"ab") for _ in range(draw.randrange(0, 90))) + b"tail" * draw.randrange(9) for _ in range(30)]
+    owner, place, bucket = suffix_dedup.refine(texts, match)
+    strings = [texts[o][p:p + match] for o, p in zip(owner, place)]
+    assert all(len(s) == match for s in strings) and len(strings) == sum(max(0, len(t) - match + 1) for t in texts)
+    together = {}
+    for b, s in zip(bucket.tolist(), strings):
+        assert together.setdefault(b, s) == s
+    assert len(together) == len(set(strings))
+
+
+def test_leaks_with_edits_are_found_and_clean_documents_stay(spark, frame, odd_rows):
+    draw = random.Random(10)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, prose(draw.randrange(8, 30))) for i in range(20)] + [
+        (20, "tiny"), (21, None), (None, "no id"), (22, ""), (0, None), (23, "É ñ " + prose(12))]
+    items += [(24, items[3][1]), (25, items[3][1].upper().replace(" ", " \n "))]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    wanted = decontaminate.Passages.of([(i, t) for i, t in items if i is not None and t])
+    rows, planted = list(odd_rows), set()
+    for k in range(60):
+        item, text = items[draw.randrange(20)]
+        budget = int(wanted.budget[next(p for p, ids in enumerate(wanted.items) if item in ids)])
+        letters = list(text)
+        for _ in range(draw.randrange(budget + 1)):
+            at = draw.randrange(len(letters))
+            letters[at:at + draw.randrange(2)] = draw.choice(["", "z", "Q"])
+        body = "".join(letters)
+        if plain(body) != body or least_edits(text, plain(body)) <= budget:
+            rows.append((100 + k, f"{prose(draw.randrange(30))} {body} {prose(draw.randrange(30))}"))
+            planted.add(100 + k)
+    rows += [(300 + k, prose(50)) for k in range(20)] + [(400, "a tiny thing"), (401, items[3][1].title() + "."),
+                                                         (401, items[3][1].title() + ".")]
+    found = decontaminate.find_leaks(frame(rows), benchmark).collect()
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, t)
+    got = {}
+    for r in found:
+        got.setdefault(r.doc_id, set()).add(r.item_id)
+        item = dict((i, t) for i, t in items if t)[r.item_id]
+        assert edits(plain(item), plain(texts[r.doc_id][r.start:r.stop])) == r.edits
+    assert planted <= set(got) and {400, 401} <= set(got) and not any(300 <= i < 400 for i in got if i)
+    assert got[401] >= {3, 24, 25} and got[400] == {20}
+    assert sum(r.doc_id == 401 and r.item_id == 3 for r in found) == 2
+    for k in planted:
+        for p, codes in enumerate(wanted.codes):
+            passage = codes.tobytes().decode("utf-32-le")
+            if least_edits(passage, plain(texts[k])) <= wanted.budget[p]:
+                assert set(wanted.items[p]) <= got[k]
+    docs = frame(rows)
+    clean = decontaminate.remove_leaks(docs, benchmark)
+    assert clean.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(i) for i, _ in rows if i not in got)
+    nothing = benchmark.limit(0)
+    assert decontaminate.find_leaks(docs, nothing).count() == 0
+    assert decontaminate.remove_leaks(docs, nothing).count() == len(rows)
+    assert decontaminate.find_leaks(frame([]), benchmark).count() == 0
+
+
+def test_the_benchmark_may_come_in_blocks(spark, frame, monkeypatch):
+    items = [(i, f"passage number {i * 7919} of the benchmark, told in so many words") for i in range(12)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = frame([(i, f"before {t} after") for i, t in items])
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARACTERS", 150)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert {(i, i) for i, _ in items} <= found
+    assert decontaminate.remove_leaks(docs, benchmark).count() == 0
+
+
+def test_overlapping_occurrences_count_once():
+    wanted = decontaminate.Passages.of([(1, "abcdefghijklmnopqrstuvwxyz")])
+    text = "abcdefghijklmnopqrstuvwxyz, abcdefghijklmnopqrstuvwxyz"
+    found = decontaminate.find_in_block(as_block(pa.array([text, None, ""])), wanted)
+    assert [(d, e, a, b) for d, _, e, a, b, _ in found] == [(0, 0, 0, 26), (0, 0, 28, 54)]
