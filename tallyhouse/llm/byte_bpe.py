@@ -182,8 +182,7 @@ def load_ranks(path: str) -> Vocabulary:
 @lru_cache(maxsize=4)
 def _encoder(path: str, pattern: str) -> PieceEncoder:
     vocabulary = load_ranks(path)
-    return PieceEncoder(
-        lambda pieces: [array("I", vocabulary.encode_piece(p.encode())).tobytes() for p in pieces], pattern=pattern)
+    return PieceEncoder(lambda piece: array("I", vocabulary.encode_piece(piece.encode())).tobytes(), pattern=pattern)
 
 
 def encode_text(text: str, path: str, pattern: str = public_tokenizers.PATTERN) -> list[int]:
@@ -211,7 +210,8 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text
         decode = load_ranks(path).decode
         for rows, block in blocks(batches, "text"):
             found = {name: [] for name in outputs}
-            for ids in encoder.encode_all([t or "" for t in rows.column(1).to_pylist()]):
+            for text in rows.column(1).to_pylist():
+                ids = encoder.encode(text or "")
                 if "ids" in found:
                     found["ids"].append(ids)
                 if "n_tokens" in found:

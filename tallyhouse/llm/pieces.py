@@ -35,39 +35,24 @@ def split(text: str, pattern: str = public_tokenizers.PATTERN) -> list[str]:
     return whole(text)
 
 
-class PieceEncoder:
-    """Ids of texts as little-endian unsigned 32-bit integers.
+class PieceEncoder(dict):
+    """Ids of texts as little-endian unsigned 32-bit integers; as a mapping, the ids of single pieces.
 
-    ``encode_pieces`` gives the ids of a list of new pieces. The first ``capacity`` pieces of at most
-    ``longest`` characters are kept for the life of the worker; the others are encoded when they appear,
-    which bounds the memory and changes no result.
+    ``encode_piece`` gives the ids of a piece. The first ``capacity`` pieces of at most ``longest``
+    characters are kept for the life of the worker; the others are encoded whenever they appear, which
+    bounds the memory and changes no result.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], capacity: int = 600_000,
-                 longest: int = 64, pattern: str = public_tokenizers.PATTERN):
-        self.encode_pieces, self.capacity, self.longest, self.pattern = encode_pieces, capacity, longest, pattern
-        self.kept: dict[str, bytes] = {}
+    def __init__(self, encode_piece: Callable[[str], bytes], capacity: int = 600_000, longest: int = 64,
+                 pattern: str = public_tokenizers.PATTERN):
+        super().__init__()
+        self.encode_piece, self.capacity, self.longest, self.pattern = encode_piece, capacity, longest, pattern
 
-    def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encode_piece(piece)
+        if len(self) < self.capacity and len(piece) <= self.longest:
+            self[piece] = ids
+        return ids
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; pieces that are new to all of them are encoded together."""
-        kept = self.kept
-        parts = [split(text, self.pattern) for text in texts]
-        new = set()
-        for some in parts:
-            new |= set(some).difference(kept)
-        if not new:
-            return [b"".join(map(kept.__getitem__, some)) for some in parts]
-        new = list(new)
-        found = dict(zip(new, self.encode_pieces(new)))
-        if len(kept) + len(new) <= self.capacity:
-            long = {p: ids for p, ids in found.items() if len(p) > self.longest}
-            kept.update(found)
-            out = [b"".join(map(kept.__getitem__, some)) for some in parts]
-            for p in long:
-                del kept[p]
-            return out
-        get, other = kept.get, found.get
-        return [b"".join([get(p) or other(p) for p in some]) for some in parts]
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, split(text, self.pattern)))

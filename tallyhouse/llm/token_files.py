@@ -49,9 +49,8 @@ def load_encoder(path: str) -> tuple[PieceEncoder, int]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode(pieces):
-        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array("I", one.ids).tobytes() for one in found]
+    def encode(piece):
+        return array("I", tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     return PieceEncoder(encode), tokenizer.get_vocab_size()
 
@@ -167,9 +166,9 @@ def write_shards(docs: DataFrame, path: str, folder: str | None = None, id_colum
             end = array("I", [end_id]).tobytes()
             for some, _ in blocks(chain([first], batches), "text"):
                 doc_ids.extend(some.column(0).to_pylist())
-                for ids in encoder.encode_all(some.column(1).to_pylist()):
+                for text in some.column(1).to_pylist():
                     starts.append(writer.n_tokens)
-                    writer.add(np.frombuffer(ids + end, "<u4"))
+                    writer.add(np.frombuffer(encoder.encode(text) + end, "<u4"))
             writer.close()
 
         first = next((b for b in batches if b.num_rows), None)

@@ -56,11 +56,11 @@ def test_the_end_token_in_a_text_is_ordinary_text(tokenizer):
 
 def test_pieces_that_are_not_kept_change_nothing():
     texts = ["some words and some words", "other words " * 40, "x" * 500, ""]
-    encode = lambda found: [little([len(p)]) for p in found]
+    encode = lambda piece: little([len(piece)])
     small, large = pieces.PieceEncoder(encode, capacity=2, longest=3), pieces.PieceEncoder(encode)
     for _ in range(2):
-        assert small.encode_all(texts) == large.encode_all(texts)
-    assert len(small.kept) <= 2
+        assert [small.encode(t) for t in texts] == [large.encode(t) for t in texts]
+    assert len(small) <= 2
 
 
 def test_appends_and_edits_equal_a_new_encoding():
