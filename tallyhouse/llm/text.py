@@ -7,6 +7,7 @@ memory depends on the longest text alone and not on the number of rows.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tallyhouse.plans.lineage import scratch_path
 
 BLOCK_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 _BASE = 0x5851F42D4C957F2D
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
@@ -28,6 +30,9 @@ _powers = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table. Arrow batches of the session are limited to some megabytes, since a batch stands in
+    the memory of the executor and of its Python worker at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -77,7 +82,22 @@ def as_block(column: pa.Array) -> Block:
 
 
 def blocks(batches, text: str, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Block]]:
-    """Slices of the batches with the bytes of their text column."""
+    """Slices of the batches with the bytes of their text column. At the end, unused memory goes back."""
+    try:
+        yield from _blocks(batches, text, block_bytes)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a Python worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _blocks(batches, text: str, block_bytes: int) -> Iterator[tuple[pa.RecordBatch, Block]]:
     for batch in batches:
         if not batch.num_rows:
             continue
