@@ -22,7 +22,8 @@ HEADLINE = (
     "sales_lines", "category_performance", "daily_revenue", "forecast_trend", "kpi_region_country",
     "rank_disagreement", "monthly_trend", "top_products", "daily_business", "metrics_sales_by_category",
     "metrics_sales_flat", "seasonality_index", "compare_forecasts", "reconcile_daily", "key_checks",
-    "table_profile", "upsert_orders", "decision_signals", "gen_order_items",
+    "table_profile", "upsert_orders", "decision_signals", "csv_orders", "ingested_orders",
+    "rank_customers",
 )
 RUNS = 4
 

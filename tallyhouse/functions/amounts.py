@@ -25,14 +25,19 @@ def money(amount: Column, digits: int = 2) -> Column:
     return F.round(amount, digits)
 
 
+def _times_quantity(price: str) -> Column:
+    """A quantity below ten million times a price of ten digits stays within 18 digits, so in a long."""
+    return F.col("quantity").cast("decimal(7,0)") * F.col(price)
+
+
 def line_revenue() -> Column:
     """``unit_price`` is already net of discount, so the discount is not subtracted again."""
-    return F.col("quantity") * F.col("unit_price")
+    return _times_quantity("unit_price")
 
 
-def line_profit() -> Column:
-    return F.col("quantity") * (F.col("unit_price") - F.col("unit_cost"))
+def line_cost() -> Column:
+    return _times_quantity("unit_cost")
 
 
-def line_cost() -> Column:
-    return F.col("quantity") * F.col("unit_cost")
+def line_profit() -> Column:
+    return (line_revenue() - line_cost()).cast("decimal(18,4)")

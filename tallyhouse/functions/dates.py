@@ -25,6 +25,23 @@ def quarter_of(date: Column) -> Column:
     return F.trunc(date, "quarter")
 
 
+def period_start(date: Column, frequency: str = "month") -> Column:
+    """First day of the period; weeks begin on the weekday of 1970-01-01."""
+    days = F.datediff(date, F.lit("1970-01-01").cast("date"))
+    return {
+        "day": date,
+        "week": F.date_sub(date, F.pmod(days, F.lit(7))),
+        "month": F.trunc(date, "MM"),
+        "quarter": F.trunc(date, "quarter"),
+        "year": F.trunc(date, "year"),
+    }[frequency]
+
+
+def period_end(start: Column, frequency: str = "month") -> Column:
+    """Last day of the period that begins on ``start``."""
+    return F.date_sub((start + F.expr(PERIOD_STEP[frequency])).cast("date"), 1)
+
+
 def period_index(date: Column, frequency: str = "month") -> Column:
     """Whole periods since 1970-01-01, so that a missing period leaves a gap in the index."""
     months = (F.year(date) - 1970) * 12 + F.month(date) - 1

@@ -105,8 +105,8 @@ def recommend(signals: DataFrame) -> DataFrame:
 
 
 def with_market_research(summary: DataFrame, research: DataFrame) -> DataFrame:
-    """Internal figures next to the external figures of the same category."""
-    return summary.join(research, "category")
+    """Internal figures next to the external figures of the same category, empty where there are none."""
+    return summary.join(research, "category", "left")
 
 
 def triangulate(internal: DataFrame, research: DataFrame) -> DataFrame:

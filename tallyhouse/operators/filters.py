@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -33,17 +34,23 @@ def between_dates(df: DataFrame, column: str, first: date | None = None,
     return df
 
 
-def last_n_days(df: DataFrame, column: str, days: int) -> DataFrame:
-    """The last ``days`` days, counted back from the newest date in the data.
+def last_n_days(df: DataFrame, column: str, days: int, newest: Column | date | None = None) -> DataFrame:
+    """The last ``days`` days, counted back from the newest date.
 
-    The newest date is a scalar subquery, so it is known before the scan starts and reaches the
-    file filters.
+    Without ``newest`` the date is taken from the frame itself, in one task that sees all of it: meant
+    for frames that are already totals by day. With it, the filter reaches the files.
     """
-    newest = df.agg(F.max(column)).scalar()
-    return df.filter(F.col(column) > F.date_sub(newest, days))
+    return _back_from(df, column, newest, lambda day: F.col(column) > F.date_sub(day, days))
 
 
-def last_n_months(df: DataFrame, column: str, months: int) -> DataFrame:
+def last_n_months(df: DataFrame, column: str, months: int, newest: Column | date | None = None) -> DataFrame:
     """The calendar month of the newest date and the ``months - 1`` months before it."""
-    newest = df.agg(F.max(column)).scalar()
-    return df.filter(F.col(column) >= F.add_months(F.trunc(newest, "MM"), 1 - months))
+    return _back_from(df, column, newest,
+                      lambda day: F.col(column) >= F.add_months(F.trunc(day, "MM"), 1 - months))
+
+
+def _back_from(df: DataFrame, column: str, newest: Column | date | None, keep) -> DataFrame:
+    if newest is not None:
+        return df.filter(keep(newest if isinstance(newest, Column) else F.lit(newest)))
+    marked = df.withColumn("_newest", F.max(column).over(W.partitionBy()))
+    return marked.filter(keep(F.col("_newest"))).drop("_newest")

@@ -16,7 +16,7 @@ from tallyhouse.operators.timeseries import recent_average
 BAND_Z = 1.96
 
 #: Seasonal positions per frequency, and how many full cycles a series must hold to use them.
-SEASON_LENGTH = {"day": 7, "month": 12, "quarter": 4}
+SEASON_LENGTH = {"day": 7, "week": 52, "month": 12, "quarter": 4, "year": 1}
 MIN_CYCLES = 2
 
 
@@ -53,11 +53,13 @@ def forecast(history: DataFrame, horizon: date, time_col: str, value_col: str, g
 
     The model is a straight line through each group's history, indexed by calendar period so that
     a missing period keeps its place. The band is 1.96 residual standard errors. One point gives a
-    flat forecast, and a perfect line a band of width zero.
+    flat forecast, and a perfect line a band of width zero. A horizon inside a period leaves that period
+    out.
 
     ``seasonal`` adds the average deviation from the line at the same position of the cycle (month
     of the year, day of the week) for groups that span at least two cycles; other groups keep the
     plain line. The band stays that of the line, which includes the season and is therefore wide.
+    ``model`` names what each row comes from: ``line`` or ``line and season``.
     """
     points = history.select(
         F.col(group_col),
@@ -66,11 +68,11 @@ def forecast(history: DataFrame, horizon: date, time_col: str, value_col: str, g
         F.col(value_col).cast("double").alias("_y"),
     )
     fit = _fit(points, group_col)
-    steps = F.sequence(
-        (F.col("_last") + F.expr(PERIOD_STEP[frequency])).cast("date"), F.lit(horizon),
-        F.expr(PERIOD_STEP[frequency]))
-    future = fit.filter(F.col("_last") < F.lit(horizon)).withColumn(time_col, F.explode(steps)).withColumn(
-        "_point", _trend_at(period_index(F.col(time_col), frequency)))
+    step = F.expr(PERIOD_STEP[frequency])
+    first = (F.col("_last") + step).cast("date")
+    future = fit.filter(first <= F.lit(horizon)).withColumn(
+        time_col, F.explode(F.sequence(first, F.lit(horizon), step))).withColumns({
+            "_point": _trend_at(period_index(F.col(time_col), frequency)), "model": F.lit("line")})
     if seasonal:
         future = _add_season(future, points, fit, group_col, time_col, frequency)
     half = F.lit(BAND_Z) * F.col("_spread")
@@ -79,6 +81,7 @@ def forecast(history: DataFrame, horizon: date, time_col: str, value_col: str, g
         F.round("_point", 2).alias(f"{value_col}_forecast"),
         F.round(F.col("_point") - half, 2).alias(f"{value_col}_lower"),
         F.round(F.col("_point") + half, 2).alias(f"{value_col}_upper"),
+        "model",
     )
 
 
@@ -90,8 +93,9 @@ def _add_season(future: DataFrame, points: DataFrame, fit: DataFrame, group: str
         group, F.pmod("_x", F.lit(length)).alias("_season")).agg(
         F.avg(F.col("_y") - _trend_at(F.col("_x"))).alias("_shift"))
     position = F.pmod(period_index(F.col(time), frequency), F.lit(length))
-    return future.withColumn("_season", position).join(deviations, [group, "_season"], "left").withColumn(
-        "_point", F.col("_point") + F.coalesce("_shift", F.lit(0.0)))
+    return future.withColumn("_season", position).join(deviations, [group, "_season"], "left").withColumns({
+        "_point": F.col("_point") + F.coalesce("_shift", F.lit(0.0)),
+        "model": F.when(cycles, F.lit("line and season")).otherwise(F.col("model"))})
 
 
 def baseline_forecast(history: DataFrame, since: date, months: Sequence[date], band: float = 0.1,
@@ -159,7 +163,11 @@ def swing_anomalies(comparison: DataFrame, limit: float = 0.5) -> DataFrame:
     return comparison.filter(F.abs("other_vs_actual_pct") > 100 * limit)
 
 
+def with_disagreement(comparison: DataFrame) -> DataFrame:
+    """Comparison rows with the size of the difference between the two forecasts."""
+    return comparison.withColumn("disagreement", F.abs("other_minus_own"))
+
+
 def by_disagreement(comparison: DataFrame) -> DataFrame:
     """Comparison rows, largest difference between the two forecasts first."""
-    return comparison.withColumn("disagreement", F.abs("other_minus_own")).orderBy(
-        F.col("disagreement").desc(), "category")
+    return with_disagreement(comparison).orderBy(F.col("disagreement").desc(), "category")

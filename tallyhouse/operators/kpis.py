@@ -133,14 +133,13 @@ def leaders(sales: DataFrame) -> DataFrame:
 
 def shop_overview(sales: DataFrame) -> DataFrame:
     """How many orders and lines, which dates, which categories, in one row."""
-    categories = sales.select("category").distinct().agg(
-        F.array_join(F.sort_array(F.collect_list("category")), ", "))
     return sales.agg(
         F.count_distinct("order_id").alias("orders"),
         F.count("*").alias("order_lines"),
         F.min("order_date").alias("first_day"),
         F.max("order_date").alias("last_day"),
-    ).withColumn("categories", categories.scalar())
+        F.array_join(F.sort_array(F.collect_set("category")), ", ").alias("categories"),
+    )
 
 
 def forecast_by_category(forecasts: DataFrame) -> DataFrame:

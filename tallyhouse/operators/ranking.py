@@ -6,13 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyhouse.plans.lineage import cut_lineage
-
-#: Frames up to this many rows are ranked in one task, larger ones by value ranges.
-ONE_TASK_ROWS = 10_000
-#: Number of values that cut a larger frame into ranges.
-RANGE_BORDERS = 200
-
 
 def top_n(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
     """The n rows with the largest ``by``; equal values are decided by the smaller ``tie``."""
@@ -22,33 +15,28 @@ def top_n(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
 def rank_by(df: DataFrame, **ranks: str) -> DataFrame:
     """Add rank columns, ``rank_by(df, profit_rank="total_profit")``; 1 is the largest, ties share a rank.
 
-    The frame is stored once, then its size decides: a frame of a few thousand rows (categories,
-    countries) is ranked in one task, anything larger by value ranges on all executors.
+    A NULL ranks last. Nothing runs before the result is asked for.
     """
-    stored = cut_lineage(df)
-    small = stored.limit(ONE_TASK_ROWS + 1).count() <= ONE_TASK_ROWS
     for name, column in ranks.items():
-        if small:
-            stored = stored.withColumn(name, F.rank().over(W.orderBy(F.col(column).desc())).cast("bigint"))
-        else:
-            stored = rank_in_ranges(stored, column, name)
-    return stored
+        df = rank_in_ranges(df, column, name)
+    return df
 
 
-def rank_in_ranges(stored: DataFrame, column: str, name: str, borders: int = RANGE_BORDERS) -> DataFrame:
-    """Rank without a single-task sort.
+def rank_in_ranges(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Rank without a single-task sort, whatever the size.
 
-    Equal values are counted first, so a frequent value is one row. The distinct values are cut into
-    ranges at a sample of themselves; the rank is the size of all higher ranges plus the place
-    inside the own range. The sample holds at most ``borders`` values and is chosen by hash, so a
-    recomputed task cuts at the same places.
+    Equal values are counted first, so a frequent value is one row. The distinct values are cut into as
+    many ranges as there are shuffle partitions, at percentiles of themselves (a scalar subquery); the
+    rank is the size of all higher ranges plus the place inside the own range. Where the cuts fall
+    changes no rank.
     """
-    values = stored.groupBy(column).agg(F.count("*").alias("_n"))
-    sample = values.filter(F.col(column).isNotNull()).orderBy(F.xxhash64(column), column).limit(borders)
-    cuts = F.array(*[F.lit(row[0]) for row in sample.select(column).collect()])
-    higher = F.size(F.filter(cuts, lambda cut: cut > F.col(column)))
-    values = values.withColumn(
-        "_range", F.when(F.col(column).isNull(), F.lit(borders + 1)).otherwise(higher))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = df.groupBy(column).agg(F.count("*").alias("_n"))
+    shares = [k / n for k in range(1, n)] or [0.5]
+    cuts = values.agg(F.percentile_approx(column, shares)).scalar()
+    # A value stands behind the cuts below it in the sorted list of cuts and itself.
+    below = F.array_position(F.sort_array(F.array_append(cuts, F.col(column))), F.col(column)) - 1
+    values = values.withColumn("_range", F.when(F.col(column).isNull(), F.lit(n + 1)).otherwise(F.lit(n) - below))
     above = (
         values.groupBy("_range").agg(F.sum("_n").alias("_size"))
         .select("_range", (F.sum("_size").over(W.orderBy("_range")) - F.col("_size")).alias("_above"))
@@ -57,4 +45,9 @@ def rank_in_ranges(stored: DataFrame, column: str, name: str, borders: int = RAN
     placed = values.withColumn("_inside", F.sum("_n").over(inside) - F.col("_n")).join(above, "_range")
     places = placed.select(F.col(column).alias("_value"),
                            (F.col("_above") + F.col("_inside") + 1).cast("bigint").alias(name))
-    return stored.join(places, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
+    return df.join(places, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
+
+
+def ordered(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in the order of the keys; a leading minus, ``ordered(df, "-profit", "category")``, turns one round."""
+    return df.orderBy(*[F.col(k[1:]).desc() if k.startswith("-") else F.col(k).asc() for k in keys])

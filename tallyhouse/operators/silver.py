@@ -34,17 +34,22 @@ def with_line_cost(df: DataFrame) -> DataFrame:
     return df.withColumn("line_cost", line_cost())
 
 
-def order_lines(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Every line with its order and product, whatever the status; lines without either are dropped.
+def with_orders(product_lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines that carry the columns of their product, with their order and the amounts of the line.
 
-    Orders come first: where both tables are bucketed by order_id this join needs no shuffle. No
-    side is marked for broadcast, since products grow with the data; Spark broadcasts a side whose
-    measured size allows it and otherwise splits the partitions of a hot product or order.
+    The order comes last: the lines leave this join by order, as a count of orders needs them. No side
+    is marked for broadcast, since products and orders grow with the data; Spark broadcasts a side
+    whose measured size allows it and otherwise splits the partitions of a hot product or order.
     """
-    joined = items.join(orders, "order_id").join(products, "product_id")
+    joined = product_lines.join(orders, "order_id")
     return with_line_profit(with_line_revenue(joined.select(*SALES_COLUMNS)))
 
 
+def order_lines(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Every line with its product and order, whatever the status; lines without either are dropped."""
+    return with_orders(items.join(products, "product_id"), orders)
+
+
 def build_sales(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines without cancelled orders. Returned orders stay in."""
     return order_lines(items, exclude_status(orders, CANCELLED), products)

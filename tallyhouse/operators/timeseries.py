@@ -5,18 +5,42 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import month_of, quarter_of, safe_ratio
+from tallyhouse.functions import period_end, period_start, quarter_of, safe_ratio
 
 #: Closed date range, both ends included.
 Period = tuple[date, date]
 
 
-def monthly_history(sales: DataFrame, group: str = "category", value: str = "line_revenue") -> DataFrame:
+def _calendar() -> WindowSpec:
+    """All rows of a frame that has at most one row per period of the calendar and group."""
+    return W.partitionBy()
+
+
+def history(sales: DataFrame, group: str, frequency: str = "month", value: str = "line_revenue",
+            name: str = "month", complete: bool = False) -> DataFrame:
+    """Revenue per period and group, the first day of the period as ``name``.
+
+    With ``complete`` only periods that end no later than the newest sale of all groups are returned, so
+    an unfinished last period does not look like a slump. The newest day is taken from the sums, which
+    have one row per period and group, so the sales are read once.
+    """
+    day = F.col("order_date")
+    sums = sales.groupBy(period_start(day, frequency).alias(name), group).agg(
+        F.sum(value).alias("revenue"), F.max(day).alias("_day"))
+    if complete:
+        sums = sums.withColumn("_newest", F.max("_day").over(_calendar())).filter(
+            period_end(F.col(name), frequency) <= F.col("_newest"))
+    return sums.select(name, group, "revenue")
+
+
+def monthly_history(sales: DataFrame, group: str = "category", value: str = "line_revenue",
+                    complete: bool = False) -> DataFrame:
     """Month, group and revenue."""
-    return sales.groupBy(month_of(F.col("order_date")).alias("month"), group).agg(
-        F.sum(value).alias("revenue"))
+    return history(sales, group, "month", value, "month", complete)
 
 
 def revenue_in(period: Period) -> Column:
@@ -42,15 +66,16 @@ def growth(sales: DataFrame, first: Period, last: Period, by: str = "category")
 def seasonality_index(sales: DataFrame, quarter: int = 4, by: str = "category") -> DataFrame:
     """Average revenue in one quarter of the year, 100 being the average quarter.
 
-    Only quarters that the data covers from the first to the last month count. With few years the
-    index also carries the trend.
+    Only quarters that the data covers from their first to their last day count; first and last day of
+    the data come from the quarterly sums, so the sales are read once. With few years the index also
+    carries the trend.
     """
-    day = F.col("order_date")
+    day, start = F.col("order_date"), F.col("_quarter")
     quarters = sales.groupBy(by, quarter_of(day).alias("_quarter")).agg(
-        F.sum("line_revenue").alias("_revenue"))
-    span = sales.agg(F.struct(F.trunc(F.min(day), "MM").alias("first"), F.trunc(F.max(day), "MM").alias("last"))).scalar()
-    full = quarters.withColumn("_span", span).filter(
-        (F.col("_quarter") >= F.col("_span.first")) & (F.add_months("_quarter", 2) <= F.col("_span.last")))
+        F.sum("line_revenue").alias("_revenue"), F.min(day).alias("_first"), F.max(day).alias("_last"))
+    full = quarters.withColumns({
+        "_from": F.min("_first").over(_calendar()), "_to": F.max("_last").over(_calendar()),
+    }).filter((start >= F.col("_from")) & (period_end(start, "quarter") <= F.col("_to")))
     wanted = F.when(F.quarter("_quarter") == quarter, F.col("_revenue"))
     return full.groupBy(by).agg(
         F.sum(wanted).alias("_in"), F.count(wanted).alias("_n_in"),

@@ -1,26 +1,23 @@
-"""Reliable checkpoints in the folder that the cluster names."""
+"""Reliable checkpoints and intermediate tables in the folder that the cluster names."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: set[str] = set()
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local folder only on a single-machine session."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's ``spark.checkpoint.dir``; where it is unset, a folder below the warehouse."""
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is not None:
-        return configured or current
-    if configured is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        configured = tempfile.mkdtemp(prefix="tallyhouse-")
-    context.setCheckpointDir(configured)
-    return configured
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -30,5 +27,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, known to ``clear_scratch``."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.add(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what was written below paths from ``scratch_path``. Frames that read from there end with it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)

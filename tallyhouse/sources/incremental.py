@@ -11,32 +11,52 @@ def high_water_mark(df: DataFrame, cursor: str) -> DataFrame:
     return df.agg(F.max(cursor).alias("high_water_mark"))
 
 
-def extract_since(df: DataFrame, cursor: str, mark: Column | object | None) -> DataFrame:
+def extract_since(df: DataFrame, cursor: str, mark: Column | object | None,
+                  overlap: object | None = None) -> DataFrame:
     """Rows whose cursor is strictly greater than the mark; every row when there is no mark yet.
 
-    A row that arrives late with an older cursor is not picked up. Pass a mark moved back by the
-    expected lateness to re-read an overlap; ``upsert`` makes the overlap harmless.
+    ``overlap`` moves the mark back (a timedelta for times, a number for numbers), so that rows which
+    arrive that late are picked up as well; ``upsert`` makes reading the others again harmless. Rows
+    without a cursor value are always read, since nothing tells whether they are new.
     """
     if mark is None:
         return df
-    return df.filter(F.col(cursor) > (mark if isinstance(mark, Column) else F.lit(mark)))
+    mark = mark if isinstance(mark, Column) else F.lit(mark)
+    if overlap is not None:
+        mark = mark - F.lit(overlap)
+    return df.filter((F.col(cursor) > mark) | F.col(cursor).isNull())
 
 
-def latest_per_key(df: DataFrame, key: str, cursor: str) -> DataFrame:
-    """The row with the largest cursor per key.
+def changed_rows(snapshot: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows of a snapshot whose key is not known or whose values differ from the known row of that key.
+
+    For tables without a cursor that moves when a row changes. Rows are compared as a whole by hash, so
+    one shuffle of keys and hashes on each side decides.
+    """
+    columns = sorted(snapshot.columns)
+    mark = F.xxhash64(*[F.struct(F.col(c), F.col(c).isNull()) for c in columns]).alias("_mark")
+    seen = known.select(F.col(key).alias("_key"), mark.alias("_seen"))
+    marked = snapshot.withColumn("_mark", mark)
+    same = marked[key].eqNullSafe(seen["_key"]) & (marked["_mark"] == seen["_seen"])
+    return marked.join(seen, same, "left_anti").drop("_mark")
+
+
+def latest_per_key(df: DataFrame, key: str, *cursor: str) -> DataFrame:
+    """The row with the largest cursor per key; further cursors decide equal ones.
 
     Written as an aggregate, not a window: versions of one key are reduced before the shuffle, so
     a key that holds a large share of all rows never meets in one task. Equal cursors are decided
     by the remaining columns, which makes the result independent of row order.
     """
-    newest = F.max(F.struct(F.col(cursor).alias("_at"), F.struct(*df.columns).alias("_row")))
+    newest = F.max(F.struct(*[F.col(c).alias(f"_at{i}") for i, c in enumerate(cursor)],
+                            F.struct(*df.columns).alias("_row")))
     return df.groupBy(key).agg(newest.alias("_newest")).select("_newest._row.*")
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str, cursor: str) -> DataFrame:
     """Merge updates into a target that is unique by key; the larger cursor wins, ties go to the update.
 
-    Replaying a batch changes nothing. Only the update side is reduced, and the target is matched
+    Replaying a batch changes nothing, also for a NULL key, which is a key like any other. Only the update side is reduced, and the target is matched
     against it by joins that Spark can broadcast while the batch is small, so a small batch does
     not shuffle the target. A target that may hold duplicates goes through ``latest_per_key`` first.
     """
@@ -46,8 +66,8 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, cursor: str) -> Data
     wins = F.col("_update").isNotNull() & (
         F.col(cursor).isNull() | (F.col(f"_update.{cursor}") >= F.col(cursor))
     )
-    merged = target.join(packed, F.col(key) == F.col("_key"), "left").select(
+    merged = target.join(packed, F.col(key).eqNullSafe(F.col("_key")), "left").select(
         *[F.when(wins, F.col(f"_update.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
     )
-    known = target.select(key).join(batch.select(key), key, "left_semi")
-    return merged.unionByName(batch.join(known, key, "left_anti").select(*columns))
+    known = target.select(F.col(key).alias("_known"))
+    return merged.unionByName(batch.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti").select(*columns))

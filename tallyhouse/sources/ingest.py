@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.sources.incremental import extract_since, high_water_mark, latest_per_key
+from tallyhouse.sources.incremental import changed_rows, extract_since, high_water_mark, latest_per_key
 from tallyhouse.sources.schemas import MANIFEST, SourceTable
 
 BATCH = "batch_id"
@@ -64,14 +64,24 @@ class BronzeStore:
         return 0 if marks is None else marks.agg(F.coalesce(F.max(BATCH), F.lit(-1)) + 1).first()[0]
 
     def current(self, entry: SourceTable) -> DataFrame:
-        """The newest version of every row."""
+        """The newest version of every row: by cursor, and by batch where the cursor is the same."""
         log = self.spark.read.option("basePath", self.log_path(entry.name)).parquet(self.log_path(entry.name))
-        return latest_per_key(log.drop(BATCH, ORIGIN), entry.primary_key, entry.cursor)
+        return latest_per_key(log, entry.primary_key, entry.cursor, BATCH).drop(BATCH, ORIGIN)
 
 
 def ingest_bronze(store: BronzeStore, source: Callable[[str], DataFrame],
-                  manifest: Iterable[SourceTable] = MANIFEST) -> None:
-    """Append what is new in every source table; ``source`` reads a table by name."""
+                  manifest: Iterable[SourceTable] = MANIFEST, overlap: object | None = None) -> None:
+    """Append what is new in every source table; ``source`` reads a table by name.
+
+    Where the cursor tells updates, rows beyond the mark less ``overlap`` are read, and of those the ones
+    that the store does not hold as they are. Where the cursor is the key itself, the whole table is
+    compared with the store, so changed and late rows arrive too. A table without news gets no batch.
+    """
     for entry in manifest:
-        new_rows = extract_since(source(entry.name), entry.cursor, store.mark(entry))
-        store.append(new_rows, entry, store.next_batch(entry))
+        rows, mark = source(entry.name), store.mark(entry)
+        if mark is not None:
+            if entry.cursor != entry.primary_key:
+                rows = extract_since(rows, entry.cursor, mark, overlap)
+            rows = changed_rows(rows, store.current(entry).select(*rows.columns), entry.primary_key)
+        if not rows.isEmpty():
+            store.append(rows, entry, store.next_batch(entry))

@@ -6,26 +6,38 @@ that the operators expect. Every function reads whole tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.silver import build_marketing, build_sales, order_lines
+from tallyhouse.operators.filters import exclude_status
+from tallyhouse.operators.silver import CANCELLED, build_marketing, with_orders
 from tallyhouse.operators.timeseries import monthly_history, recent_average
-from tallyhouse.sources.synthetic import Fault, faulty_forecast
+
+
+@dataclass(frozen=True)
+class Fault:
+    """A planted fault: the point as a multiple of recent actuals, the bounds as multiples of the point."""
+
+    factor: float
+    low: float
+    high: float
+
 
 # Fixed values of the mapping: categories by user number, marketing channels by quarter of the day,
 # order status by source code, and the calendar of the order history.
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 CHANNELS = ("Paid Search", "Paid Social", "Email", "Display")
+STATUS = {"P": "CANCELLED", "O": "RETURNED", "F": "COMPLETED"}
 FIRST_QUARTER = (date(1995, 1, 1), date(1995, 3, 31))
 LAST_QUARTER = (date(2001, 5, 1), date(2001, 7, 31))
-LAST_FULL_MONTH = date(2001, 7, 1)
 RECENT_SINCE = date(2001, 5, 1)
 FORECAST_MONTHS = (date(2001, 8, 1), date(2001, 9, 1), date(2001, 10, 1))
 GENERATED_ON = date(2001, 7, 28)
+FORECAST_BASE = 8000
 FAULTS = {
     "ECONOMY": Fault(factor=0.1, low=0.95, high=1.05),
     "LARGE": Fault(factor=8.0, low=1.05, high=1.15),
@@ -41,9 +53,26 @@ def _nth(values: tuple[str, ...], index: str) -> str:
     return f"element_at(array({', '.join(repr(v) for v in values)}), CAST({index} AS INT) + 1)"
 
 
-def full_months(sales: DataFrame) -> DataFrame:
-    """Monthly revenue per category up to the last full month."""
-    return monthly_history(sales).filter(F.col("month") <= F.lit(LAST_FULL_MONTH))
+def faulty_forecast(recent: DataFrame, months: Sequence[date], faults: Mapping[str, Fault],
+                    generated_on: date) -> DataFrame:
+    """A handed-off forecast that is wrong on purpose, from recent averages per category."""
+    planted = recent.sparkSession.createDataFrame(
+        [(k, name, f.factor, f.low, f.high) for k, (name, f) in enumerate(faults.items())],
+        "_k INT, category STRING, _factor DOUBLE, _low DOUBLE, _high DOUBLE")
+    rows = recent.join(planted, "category").withColumn(
+        "_point", F.round(F.col("recent_average").cast("double") * F.col("_factor"), 2))
+    when = F.posexplode(F.array(*[F.lit(m) for m in months])).alias("_m", "forecast_month")
+    amount = "decimal(18,2)"
+    return rows.select("*", when).select(
+        (F.col("_k") * len(months) + F.col("_m") + FORECAST_BASE + 1).alias("forecast_id"),
+        "category", "forecast_month",
+        F.col("_point").cast(amount).alias("forecast_revenue_usd"),
+        F.round(F.col("_point") * F.col("_low"), 2).cast(amount).alias("lower_bound_usd"),
+        F.round(F.col("_point") * F.col("_high"), 2).cast(amount).alias("upper_bound_usd"),
+        F.lit("ds_prophet_v1").alias("model_name"),
+        F.lit("data_science_team").alias("generated_by"),
+        F.lit(generated_on).alias("generated_date"),
+    )
 
 
 def handed_off_forecast(history: DataFrame) -> DataFrame:
@@ -70,7 +99,7 @@ class Star:
         return self.table("part").selectExpr(
             "p_partkey AS product_id", "p_name AS product_name", "p_type AS category", "p_brand AS subcategory",
             "CAST(p_retailprice AS DECIMAL(12,2)) AS list_price",
-            "CAST(p_retailprice AS DECIMAL(12,2)) * 0.60BD AS unit_cost")
+            "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 0.60BD AS DECIMAL(10,4)) AS unit_cost")
 
     @property
     def customers(self) -> DataFrame:
@@ -79,36 +108,50 @@ class Star:
         return self.table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
             "c_custkey AS customer_id", "r_name AS region", "n_name AS country", "c_mktsegment AS customer_segment")
 
+    def _orders(self, where: str = "true") -> DataFrame:
+        """``where`` is over the source columns, so that it reaches the scan."""
+        status = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in STATUS.items())
+        return self.table("orders").where(where).selectExpr(
+            "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date",
+            "o_orderdate AS order_ts", "o_orderpriority AS channel", f"CASE o_orderstatus {status} END AS order_status")
+
     @property
     def orders(self) -> DataFrame:
-        return self.table("orders").selectExpr(
-            "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date",
-            "o_orderdate AS order_ts", "o_orderpriority AS channel",
-            "CASE o_orderstatus WHEN 'P' THEN 'CANCELLED' WHEN 'O' THEN 'RETURNED' ELSE 'COMPLETED' END AS order_status")
+        return self._orders()
 
     @property
-    def items(self) -> DataFrame:
-        """Lines priced from the part table; the source has no item key.
+    def product_lines(self) -> DataFrame:
+        """Lines with their product, priced from the same part row; the source has no item key.
 
         Prices become DECIMAL once per part and discounts through whole percents, since a cast from
-        DOUBLE to DECIMAL goes through text and would dominate a scan of the lines.
+        DOUBLE to DECIMAL goes through text and would dominate a scan of the lines. Prices have ten
+        digits, so that amounts of a line fit into a long.
         """
-        parts = self.table("part").selectExpr(
-            "p_partkey AS product_id", "CAST(p_retailprice AS DECIMAL(12,2)) AS price")
+        parts = self.products.selectExpr(
+            "*", "CAST(list_price AS DECIMAL(8,2)) AS price")
         lines = self.table("lineitem").selectExpr(
             "l_orderkey AS order_id", "l_partkey AS product_id", "CAST(l_quantity AS INT) AS quantity",
             "0.01BD * CAST(CAST(rint(100 * l_discount) AS INT) AS DECIMAL(3,0)) AS off")
-        return lines.join(parts, "product_id").selectExpr(
-            "order_id", "product_id", "quantity", "price * (1 - off) AS unit_price",
-            "quantity * (price - price * (1 - off)) AS discount_amount")
+        priced = lines.join(parts, "product_id").selectExpr(
+            "order_id", "product_id", "product_name", "category", "subcategory", "quantity", "price",
+            "CAST(price * (1 - off) AS DECIMAL(10,4)) AS unit_price", "unit_cost")
+        return priced.selectExpr(
+            "*", "CAST(CAST(quantity AS DECIMAL(7,0)) * CAST(price - unit_price AS DECIMAL(10,4)) AS DECIMAL(18,4)) "
+                 "AS discount_amount")
+
+    @property
+    def items(self) -> DataFrame:
+        return self.product_lines.select("order_id", "product_id", "quantity", "unit_price", "discount_amount")
 
     @property
     def lines(self) -> DataFrame:
-        return order_lines(self.items, self.orders, self.products)
+        return with_orders(self.product_lines, self.orders)
 
     @property
     def sales(self) -> DataFrame:
-        return build_sales(self.items, self.orders, self.products)
+        """Lines without cancelled orders; their source code is left out at the scan of the orders."""
+        cancelled = next(code for code, name in STATUS.items() if name == CANCELLED)
+        return with_orders(self.product_lines, exclude_status(self._orders(f"o_orderstatus <> '{cancelled}'"), CANCELLED))
 
     @property
     def campaigns(self) -> DataFrame:
@@ -136,7 +179,7 @@ class Star:
 
     @property
     def history(self) -> DataFrame:
-        return full_months(self.sales)
+        return monthly_history(self.sales, complete=True)
 
     @property
     def forecasts(self) -> DataFrame:

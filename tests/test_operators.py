@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal as D
 
 import pytest
@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from shop import CAPS, MUGS, TEES, Shop
 
 from tallyhouse.operators import decision, filters, forecast, gold, kpis, quality, silver, timeseries
-from tallyhouse.operators.ranking import rank_by, rank_in_ranges, top_n
+from tallyhouse.operators.ranking import ordered, rank_by, rank_in_ranges, top_n
+from tallyhouse.sources.star import Star
 
 
 @pytest.fixture(scope="module")
@@ -119,13 +120,19 @@ def test_trend_and_latest_and_alert(sales):
     assert [r.growth_pct for r in kpis.monthly_trend(sales).collect()] == [None, None]
 
 
-def test_ranks_agree_in_one_task_and_in_ranges(spark):
+def test_ranks_agree_whatever_the_ranges(spark):
     values = [5, 5, 1, None, 9, 9, 9, 2, 0, -4] * 3
     df = spark.createDataFrame(list(enumerate(values)), "id INT, v INT")
     expected = {i: 1 + sum(1 for w in values if w is not None and (v is None or w > v)) for i, v in enumerate(values)}
     assert {r.id: r.place for r in rank_by(df, place="v").collect()} == expected
-    for borders in (1, 3, 50):
-        assert {r.id: r.place for r in rank_in_ranges(df, "v", "place", borders).collect()} == expected
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for ranges in ("1", "3", "50"):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            assert {r.id: r.place for r in rank_in_ranges(df, "v", "place").collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert rank_by(df.limit(0), place="v").count() == 0
 
 
 # --- Filters ----------------------------------------------------------------------------------
@@ -228,7 +235,7 @@ def test_growth_from_nothing_is_zero(sales):
 def test_season_index_counts_full_quarters_only(spark):
     rows = [("a", date(2024, m, 15), D(100 if m < 10 else 200)) for m in range(1, 13)] + [("a", date(2025, 1, 5), D(9999))]
     df = spark.createDataFrame(rows, "category STRING, order_date DATE, line_revenue DECIMAL(10,2)")
-    assert timeseries.seasonality_index(df).collect() == [("a", 4, 160.0)]
+    assert timeseries.seasonality_index(df).collect() == [("a", 3, 150.0)]
 
 
 def test_missing_dates(sales):
@@ -313,3 +320,65 @@ def test_summary_is_zero_where_undefined(sales, marketing):
                                         (date(2024, 1, 1), date(2024, 3, 31))))
     assert rows[CAPS]["marketing_roi"] == 0.0 and rows[CAPS]["growth_pct"] == 0.0
     assert rows[TEES]["marketing_roi"] == 1.5
+
+
+# --- Any horizon, any frequency, complete periods -----------------------------------------------
+
+def points(spark, days, values):
+    return spark.createDataFrame(list(zip(["a"] * len(days), days, map(float, values))), "g STRING, t DATE, v DOUBLE")
+
+
+def test_a_horizon_inside_a_period_leaves_it_out(spark):
+    df = points(spark, [date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)], [1, 2, 3])
+    assert forecast.forecast(df, date(2024, 3, 15), "t", "v", "g").count() == 0
+    rows = forecast.forecast(df, date(2024, 5, 31), "t", "v", "g").orderBy("t").collect()
+    assert [(r.t, r.v_forecast, r.model) for r in rows] == [
+        (date(2024, 4, 1), 4.0, "line"), (date(2024, 5, 1), 5.0, "line")]
+
+
+@pytest.mark.parametrize("frequency, step, length", [
+    ("day", timedelta(1), 7), ("week", timedelta(7), 52), ("year", None, 1)])
+def test_seasons_of_every_frequency(spark, frequency, step, length):
+    n = 2 * length + 3
+    days = [date(2000 + i, 1, 1) if step is None else date(2020, 1, 2) + i * step for i in range(n)]
+    df = points(spark, days, [10 + (i % length == 2) for i in range(n)])
+    last = date(2000 + n + 1, 1, 1) if step is None else days[-1] + 3 * step
+    rows = forecast.forecast(df, last, "t", "v", "g", frequency, seasonal=True).collect()
+    assert {r.model for r in rows} == {"line and season"} and len(rows) == (2 if step is None else 3)
+    short = forecast.forecast(df.limit(1), last, "t", "v", "g", frequency, seasonal=True)
+    assert {r.model for r in short.collect()} == ({"line"} if length > 1 else {"line"})
+
+
+def test_history_of_complete_periods(spark):
+    days = [date(2024, 1, 31), date(2024, 2, 28), date(2024, 2, 29), date(2024, 3, 30)]
+    df = spark.createDataFrame([("a", d, D(1)) for d in days] + [("b", date(2024, 2, 1), D(5))],
+                               "category STRING, order_date DATE, line_revenue DECIMAL(10,2)")
+    months = timeseries.monthly_history(df, complete=True)
+    assert sorted((r.month.month, r.category) for r in months.collect()) == [(1, "a"), (2, "a"), (2, "b")]
+    assert timeseries.monthly_history(df).count() == 4
+    assert timeseries.history(df, "category", "quarter", name="q", complete=True).count() == 0
+    end = df.filter("order_date <= '2024-02-29'")
+    assert timeseries.monthly_history(end, complete=True).count() == 3
+
+
+def test_ordered_by_keys_in_both_directions(spark):
+    df = spark.createDataFrame([("a", 2), ("b", 2), ("c", 3)], "k STRING, v INT")
+    assert [r.k for r in ordered(df, "-v", "k").collect()] == ["c", "a", "b"]
+
+
+def test_research_is_optional_for_a_category(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2)], "category STRING, x INT")
+    right = spark.createDataFrame([("a", 1.5)], "category STRING, y DOUBLE")
+    assert sorted(map(tuple, decision.with_market_research(left, right).collect())) == [("a", 1, 1.5), ("b", 2, None)]
+
+
+def test_sales_plan_joins_twice_and_filters_orders_at_the_scan(spark):
+    star = Star(spark, "/root/testdata/sf0.001")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = star.sales._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 4
+    assert "Not(EqualTo(o_orderstatus,P))" in plan

@@ -6,9 +6,6 @@ star, the rest is the question. Amounts are rounded as DECIMAL and leave as DOUB
 
 from __future__ import annotations
 
-from tallyhouse.sources import synthetic
-from tallyhouse.sources.star import FAULTS
-
 SQL: dict[str, str] = {}
 
 STAR = """
@@ -23,7 +20,7 @@ dim_customer AS (
 fact_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
          o_orderdate AS order_ts, o_orderpriority AS channel,
-         CASE o_orderstatus WHEN 'P' THEN 'CANCELLED' WHEN 'O' THEN 'RETURNED' ELSE 'COMPLETED' END AS order_status
+         CASE o_orderstatus WHEN 'P' THEN 'CANCELLED' WHEN 'O' THEN 'RETURNED' WHEN 'F' THEN 'COMPLETED' END AS order_status
   FROM orders),
 fact_order_items AS (
   SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS quantity,
@@ -57,13 +54,16 @@ marketing AS (
   FROM campaigns WHERE spend_usd > 0),
 history AS (
   SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, category, SUM(line_revenue) AS revenue
-  FROM sales WHERE order_date <= DATE '2001-07-31' GROUP BY 1, category),
+  FROM sales GROUP BY 1, category
+  HAVING last_day(month) <= (SELECT MAX(order_date) FROM sales)),
 recent AS (
   SELECT category, AVG(revenue) AS recent_average FROM history WHERE month >= DATE '2001-05-01' GROUP BY category),
 months AS (
   SELECT * FROM (VALUES (0, DATE '2001-08-01'), (1, DATE '2001-09-01'), (2, DATE '2001-10-01')) v(m, forecast_month)),
 faults AS (
-  SELECT * FROM (VALUES __FAULTS__) v(k, category, factor, low, high)),
+  SELECT * FROM (VALUES (0, 'ECONOMY', 0.1e0, 0.95e0, 1.05e0), (1, 'LARGE', 8.0e0, 1.05e0, 1.15e0),
+                        (2, 'MEDIUM', -0.1e0, 1.05e0, 0.95e0), (3, 'PROMO', 1.0e0, -4.0e0, 6.0e0),
+                        (4, 'SMALL', 1.0e0, 0.95e0, 1.05e0), (5, 'STANDARD', 0.9e0, 0.95e0, 1.05e0)) v(k, category, factor, low, high)),
 forecasts AS (
   SELECT 8001 + k * 3 + m AS forecast_id, category, forecast_month,
          ROUND(recent_average * factor, 2) AS forecast_revenue_usd,
@@ -79,8 +79,6 @@ spend AS (
   SELECT category, SUM(spend_usd) AS spend, SUM(attributed_revenue_usd) AS attributed
   FROM marketing GROUP BY category)
 """
-STAR = STAR.replace("__FAULTS__", ", ".join(
-    f"({k}, '{name}', {f.factor!r}e0, {f.low!r}e0, {f.high!r}e0)" for k, (name, f) in enumerate(FAULTS.items())))
 
 
 def add(name: str, body: str, *tables: str) -> None:
@@ -115,13 +113,15 @@ FROM (SELECT 'dim_product' AS table_name, COUNT(*) AS row_count, 'LOADED' AS sta
 GROUP BY ROLLUP (table_name)""")
 
 add("csv_orders", """
-SELECT order_id, CAST(customer_id AS INT) AS customer_id, order_date, channel, order_status,
-       CAST(NULL AS DOUBLE) AS shipping_cost
+SELECT order_id, CAST(customer_id AS INT) AS customer_id, order_date, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts, channel,
+       order_status, CAST(NULL AS DOUBLE) AS shipping_cost
 FROM fact_orders""")
 
-add("extract_since", """
-SELECT order_id, customer_id, order_date, channel, order_status FROM fact_orders
-WHERE order_ts > (SELECT MAX(order_ts) FROM fact_orders WHERE order_date < DATE '2000-01-01')""")
+ORDERS = """
+SELECT order_id, customer_id, order_date, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts, channel, order_status"""
+MARK = "(SELECT MAX(order_ts) FROM fact_orders WHERE order_date < DATE '2000-01-01')"
+add("extract_since", f"{ORDERS} FROM fact_orders WHERE order_ts > {MARK}")
+add("extract_with_overlap", f"{ORDERS} FROM fact_orders WHERE order_ts > {MARK} - INTERVAL 10 DAY")
 
 VERSIONS = """
 versions AS (
@@ -135,11 +135,18 @@ versions AS (
             FROM fact_orders WHERE order_date < DATE '1996-01-01')"""
 
 for merged in ("upsert_orders", "latest_orders"):
-    add(merged, """
-SELECT order_id, customer_id, order_date, channel, order_status FROM versions
-QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY order_ts DESC, is_update DESC) = 1""", VERSIONS)
+    add(merged, f"""{ORDERS} FROM (SELECT * FROM versions
+QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY order_ts DESC, is_update DESC) = 1)""", VERSIONS)
+
+add("ingested_orders", f"{ORDERS} FROM fact_orders")
 
-add("ingested_orders", "SELECT order_id, customer_id, order_date, channel, order_status FROM fact_orders")
+add("ingested_tables", """
+SELECT 'dim_product' AS table_name, category AS value, COUNT(*) AS row_count FROM dim_product GROUP BY ALL
+UNION ALL SELECT 'dim_customer', region, COUNT(*) FROM dim_customer GROUP BY ALL
+UNION ALL SELECT 'fact_orders', order_status, COUNT(*) FROM fact_orders GROUP BY ALL
+UNION ALL SELECT 'fact_order_items', order_id || '-' || product_id, 1 FROM fact_order_items GROUP BY order_id, product_id
+UNION ALL SELECT 'fact_marketing_campaigns', category, COUNT(*) FROM campaigns GROUP BY ALL
+UNION ALL SELECT 'fact_sales_forecast', category, COUNT(*) FROM forecasts GROUP BY ALL""")
 
 # --- Silver -----------------------------------------------------------------------------------
 
@@ -150,6 +157,9 @@ SELECT order_id, order_date, channel, order_status, customer_id, product_id, pro
        CAST(line_profit AS DOUBLE) AS line_profit
 FROM sales""")
 
+add("sales_without_status", """
+SELECT order_status, COUNT(*) AS lines FROM sales WHERE customer_id % 10 <> 0 GROUP BY order_status""")
+
 add("order_lines", """
 SELECT order_id, product_id, order_status, quantity, CAST(line_revenue AS DOUBLE) AS line_revenue,
        CAST(line_profit AS DOUBLE) AS line_profit, CAST(line_cost AS DOUBLE) AS line_cost
@@ -169,8 +179,7 @@ add("returned_preview", """
 SELECT order_id, product_name, quantity, CAST(line_revenue AS DOUBLE) AS line_revenue
 FROM sales WHERE order_status = 'RETURNED' AND category = 'PROMO'""")
 
-add("spring_orders", """
-SELECT order_id, customer_id, order_date, channel, order_status FROM fact_orders
+add("spring_orders", f"""{ORDERS} FROM fact_orders
 WHERE order_date BETWEEN DATE '2000-03-01' AND DATE '2000-05-31'""")
 
 DAILY = f"""
@@ -195,7 +204,8 @@ GROUP BY ALL""")
 
 # --- Gold -------------------------------------------------------------------------------------
 
-add("category_performance", f"""
+for performance in ("category_performance", "stored_category_performance"):
+    add(performance, f"""
 SELECT category, {amount('revenue')} AS total_revenue, {amount('profit')} AS total_profit,
        {whole('units')} AS units_sold, n AS order_lines, {pct('profit', 'revenue', 1)} AS profit_margin_pct,
        {amount('spend')} AS marketing_spend, {amount('attributed')} AS marketing_attributed_revenue,
@@ -205,6 +215,11 @@ FROM sums LEFT JOIN spend USING (category)""")
 for stored in ("daily_revenue", "stored_daily_revenue"):
     add(stored, f"SELECT {DAILY_COLUMNS} FROM daily", DAILY)
 
+add("refreshed_daily_revenue", f"""
+SELECT order_date, category, {amount('SUM(line_revenue)')} AS daily_revenue, {amount('SUM(line_profit)')} AS daily_profit,
+       {whole('SUM(quantity)')} AS daily_units, {whole('COUNT(DISTINCT order_id)')} AS orders
+FROM sales WHERE order_date NOT BETWEEN DATE '2001-06-05' AND DATE '2001-06-25' GROUP BY order_date, category""")
+
 for dimension in ("category", "channel"):
     add(f"marketing_by_{dimension}", f"""
 SELECT {dimension}, COUNT(*) AS campaigns, {amount('SUM(spend_usd)', 0)} AS total_spend,
@@ -242,6 +257,11 @@ add("kpi_region_country",
 add("kpi_segment",
     f"SELECT customer_segment, {KPIS} FROM sales JOIN dim_customer USING (customer_id) GROUP BY customer_segment")
 
+add("categories_by_revenue", f"SELECT category, {KPIS} FROM sales GROUP BY category ORDER BY total_revenue DESC, category LIMIT 3")
+add("countries_by_region", f"""
+SELECT region, country, {KPIS} FROM sales JOIN dim_customer USING (customer_id) GROUP BY region, country
+ORDER BY region, total_profit DESC, country LIMIT 7""")
+
 add("rank_categories", f"""
 SELECT category, {amount('profit')} AS total_profit, RANK() OVER (ORDER BY ROUND(profit, 2) DESC) AS rank FROM sums""")
 
@@ -393,6 +413,9 @@ SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, category, {amount
 FROM sales GROUP BY ALL""")
 
 
+add("viewed_monthly_history", f"SELECT month, category, {amount('revenue')} AS revenue FROM history")
+
+
 def line_fit(points: str, group: str) -> str:
     """Least-squares line and residual spread per group of (x, y) points."""
     return f"""
@@ -418,14 +441,36 @@ trend AS (
 
 add("forecast_trend", """
 SELECT category, forecast_month AS month, ROUND(p, 2) AS revenue_forecast,
-       ROUND(p - 1.96e0 * spread, 2) AS revenue_lower, ROUND(p + 1.96e0 * spread, 2) AS revenue_upper
+       ROUND(p - 1.96e0 * spread, 2) AS revenue_lower, ROUND(p + 1.96e0 * spread, 2) AS revenue_upper, 'line' AS model
 FROM trend""", MONTH_POINTS, MONTH_FIT, TREND)
 
+add("forecast_to_month_end", """
+SELECT category, forecast_month AS month, ROUND(p, 2) AS revenue_forecast,
+       ROUND(p - 1.96e0 * spread, 2) AS revenue_lower, ROUND(p + 1.96e0 * spread, 2) AS revenue_upper, 'line' AS model
+FROM trend WHERE forecast_month <= DATE '2001-09-30'""", MONTH_POINTS, MONTH_FIT, TREND)
+
+add("forecast_quarters", """
+SELECT category, quarter, ROUND(p, 2) AS revenue_forecast, ROUND(p - 1.96e0 * spread, 2) AS revenue_lower,
+       ROUND(p + 1.96e0 * spread, 2) AS revenue_upper, model
+FROM (SELECT f.category, CAST(f.q AS DATE) AS quarter, f.line + COALESCE(s.shift, 0) AS p, f.spread,
+             CASE WHEN f.span >= 8 THEN 'line and season' ELSE 'line' END AS model
+      FROM (SELECT category, u.q, spread, span, ym + b * ((year(u.q) - 1970) * 4 + quarter(u.q) - 1 - xm) AS line
+            FROM fit, unnest(generate_series(CAST(last_t AS TIMESTAMP) + INTERVAL 3 MONTH, TIMESTAMP '2002-06-30', INTERVAL 3 MONTH)) u(q)) f
+      LEFT JOIN (SELECT category, quarter(t) AS season, AVG(y - (ym + b * (x - xm))) AS shift
+                 FROM points JOIN fit USING (category) WHERE span >= 8 GROUP BY ALL) s
+             ON s.category = f.category AND s.season = quarter(f.q))""", """
+points AS (
+  SELECT category, q AS t, (year(q) - 1970) * 4 + quarter(q) - 1 AS x, CAST(SUM(line_revenue) AS DOUBLE) AS y
+  FROM (SELECT category, CAST(date_trunc('quarter', order_date) AS DATE) AS q, line_revenue FROM sales)
+  GROUP BY category, q
+  HAVING CAST(q + INTERVAL 3 MONTH AS DATE) <= (SELECT MAX(order_date) + 1 FROM sales))""", line_fit("points", "category"))
+
 add("forecast_seasonal", """
 SELECT category, month, ROUND(p, 2) AS revenue_forecast, ROUND(p - 1.96e0 * spread, 2) AS revenue_lower,
-       ROUND(p + 1.96e0 * spread, 2) AS revenue_upper
-FROM (SELECT f.category, CAST(f.month AS DATE) AS month, f.line + COALESCE(s.shift, 0) AS p, f.spread
-      FROM (SELECT category, u.month, spread,
+       ROUND(p + 1.96e0 * spread, 2) AS revenue_upper, model
+FROM (SELECT f.category, CAST(f.month AS DATE) AS month, f.line + COALESCE(s.shift, 0) AS p, f.spread,
+             CASE WHEN f.span >= 24 THEN 'line and season' ELSE 'line' END AS model
+      FROM (SELECT category, u.month, spread, span,
                    ym + b * ((year(u.month) - 1970) * 12 + month(u.month) - 1 - xm) AS line
             FROM fit, unnest(generate_series(TIMESTAMP '2001-08-01', TIMESTAMP '2002-07-01', INTERVAL 1 MONTH)) u(month)) f
       LEFT JOIN (SELECT category, month(t) AS season, AVG(y - (ym + b * (x - xm))) AS shift
@@ -434,14 +479,15 @@ FROM (SELECT f.category, CAST(f.month AS DATE) AS month, f.line + COALESCE(s.shi
 
 add("forecast_weekly_by_product_line", """
 SELECT subcategory, week, ROUND(p, 2) AS revenue_forecast, ROUND(p - 1.96e0 * spread, 2) AS revenue_lower,
-       ROUND(p + 1.96e0 * spread, 2) AS revenue_upper
+       ROUND(p + 1.96e0 * spread, 2) AS revenue_upper, 'line' AS model
 FROM (SELECT subcategory, CAST(w.week AS DATE) AS week, spread,
              ym + b * ((CAST(w.week AS DATE) - DATE '1970-01-01') // 7 - xm) AS p
       FROM fit, unnest(generate_series(CAST(last_t AS TIMESTAMP) + INTERVAL 7 DAY, TIMESTAMP '2001-09-27', INTERVAL 7 DAY)) w(week))
 """, """
 points AS (
   SELECT subcategory, DATE '1970-01-01' + CAST(week * 7 AS INT) AS t, week AS x, CAST(SUM(line_revenue) AS DOUBLE) AS y
-  FROM (SELECT subcategory, (order_date - DATE '1970-01-01') // 7 AS week, line_revenue FROM sales) GROUP BY ALL)""",
+  FROM (SELECT subcategory, (order_date - DATE '1970-01-01') // 7 AS week, line_revenue FROM sales)
+  GROUP BY subcategory, week HAVING week * 7 + 6 <= (SELECT MAX(order_date) - DATE '1970-01-01' FROM sales))""",
     line_fit("points", "subcategory"))
 
 add("baseline_forecast", f"""
@@ -464,11 +510,12 @@ season AS (
   SELECT category, COUNT(*) AS full_quarters,
          ROUND(100e0 * ((CAST(SUM(revenue) FILTER (quarter(q) = 4) AS DOUBLE) / COUNT(*) FILTER (quarter(q) = 4))
                         / (CAST(SUM(revenue) AS DOUBLE) / COUNT(*))), 1) AS q_index
-  FROM quarters, (SELECT date_trunc('month', MIN(order_date)) AS lo, date_trunc('month', MAX(order_date)) AS hi FROM sales)
-  WHERE q >= lo AND q + INTERVAL 2 MONTH <= hi
+  FROM quarters, (SELECT MIN(order_date) AS lo, MAX(order_date) AS hi FROM sales)
+  WHERE q >= lo AND q + INTERVAL 3 MONTH <= hi + INTERVAL 1 DAY
   GROUP BY category)"""
 add("seasonality_index", "SELECT * FROM season", SEASON)
 
+# Texts that a reader of the report looks for.
 ANOMALY = """
 CASE WHEN forecast_revenue_usd < 0 THEN 'IMPOSSIBLE: negative revenue'
      WHEN lower_bound_usd > forecast_revenue_usd THEN 'BROKEN: lower bound above point forecast'
@@ -523,6 +570,10 @@ SELECT category, CAST(d.v AS DOUBLE) AS left_value, {amount('s.revenue')} AS rig
 FROM (SELECT category, SUM(daily_revenue) AS v FROM daily GROUP BY category) d FULL JOIN sums s USING (category)""", DAILY)
 add("reconcile_metric", f"""
 SELECT category, {amount('profit')} AS left_value, {amount('profit')} AS right_value, 0e0 AS difference FROM sums""")
+add("reconcile_planted_gap", f"""
+SELECT category, {amount('a')} AS left_value, {amount('b')} AS right_value, {amount('ROUND(a, 2) - ROUND(b, 2)')} AS difference
+FROM (SELECT category, SUM(line_revenue) AS a,
+             SUM(line_revenue) FILTER (category <> 'PROMO' OR channel <> '5-LOW') AS b FROM sales GROUP BY category)""")
 add("profit_identity", f"""
 SELECT {amount('SUM(line_revenue) - SUM(line_cost) - SUM(line_profit)')} AS difference,
        abs(SUM(line_revenue) - SUM(line_cost) - SUM(line_profit)) < 1 AS holds FROM sales""")
@@ -546,7 +597,8 @@ add("table_profile", " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, '{t}' AS column_type, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count,
        COUNT(DISTINCT {c}) AS distinct_count, CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value
 FROM fact_orders"""
-    for c, t in (("order_id", "bigint"), ("customer_id", "bigint"), ("order_date", "date"), ("channel", "string"),
+    for c, t in (("order_id", "bigint"), ("customer_id", "bigint"), ("order_date", "date"), ("order_ts", "timestamp_ntz"),
+                 ("channel", "string"),
                  ("order_status", "string"))))
 
 add("roi_range", """
@@ -607,11 +659,15 @@ SIGNALS = "signals AS (" + " UNION ALL ".join([
 DECISION = (*FORECAST, SUMMARY, SEASON, RESEARCH, SIGNALS)
 
 add("category_summary", "SELECT * FROM summary", SUMMARY)
+add("summary_by_revenue", "SELECT * FROM summary ORDER BY revenue DESC, category LIMIT 4", SUMMARY)
 add("decision_signals", "SELECT signal, role, leader, ROUND(value, 6) AS value FROM signals", *DECISION)
 add("recommend", """
 SELECT leader AS recommended_category, COUNT(*) AS signals_won, string_agg(signal, ', ' ORDER BY signal) AS evidence
 FROM signals WHERE role = 'decision' GROUP BY leader ORDER BY signals_won DESC, leader LIMIT 1""", *DECISION)
-add("market_research", "SELECT * FROM summary JOIN research USING (category)", SUMMARY, RESEARCH)
+add("market_research", "SELECT * FROM summary LEFT JOIN research USING (category)", SUMMARY, RESEARCH)
+add("partial_research", """
+SELECT * FROM summary LEFT JOIN (SELECT * FROM research WHERE category NOT IN ('LARGE', 'SMALL')) USING (category)""",
+    SUMMARY, RESEARCH)
 
 
 def twin(name: str, inner: str, inner_column: str, outer_column: str) -> str:
@@ -627,160 +683,6 @@ add("triangulate", "SELECT *, internal_leader = external_leader AS agrees FROM (
         twin("q4_index", "season", "q_index", "q4_demand_index"),
         twin("margin", "summary", "margin_pct", "typical_margin_pct")]) + ")", SUMMARY, SEASON, RESEARCH)
 
-# --- Synthetic shop ---------------------------------------------------------------------------
-
-
-def u(salt: str, *keys: str, part: int) -> str:
-    """Uniform draw of a row key, as in the generator."""
-    key = " || ':' || ".join([f"'{salt}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
-    return f"(CAST(CAST('0x' || substr(md5({key}), {1 + 8 * part}, 8) AS UBIGINT) AS DOUBLE) / 4294967296e0)"
-
-
-def one_of(values, draw: str) -> str:
-    texts = ", ".join("'" + str(v) + "'" for v in values)
-    return f"([{texts}])[CAST(floor({draw} * {len(values)}) AS INT) + 1]"
-
-
-def weighted(values, weights, draw: str, text: bool = False) -> str:
-    shown = [f"'{v}'" if text else str(v) for v in values]
-    reached, cases = 0.0, ""
-    for value, weight in list(zip(shown, weights))[:-1]:
-        reached += weight
-        cases += f" WHEN {draw} < {reached / float(sum(weights))!r}e0 THEN {value}"
-    return f"CASE{cases} ELSE {shown[-1]} END"
-
-
-CATALOGUE = "catalogue AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, '{n}', '{c}', '{s}', CAST({p} AS DECIMAL(10,2)), CAST({k} AS DECIMAL(10,2)), {synthetic.CATEGORY_NAMES.index(c)}, "
-    f"{synthetic.popularity(i)!r}e0)"
-    for i, (n, c, s, p, k) in enumerate(synthetic.CATALOGUE)
-) + ") v(entry, name, category, subcategory, price, cost, k, popularity))"
-DEMAND = "demand AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({k}, '{name}', {d.weight!r}e0, {1 + d.monthly_growth!r}e0, [{', '.join(f'{x!r}e0' for x in d.season)}], "
-    f"[{', '.join(str(y * 12 + m) for y, m in d.promo_months)}], {d.run_probability!r}e0, {d.return_on_spend!r}e0)"
-    for k, (name, d) in enumerate(synthetic.DEMAND.items())
-) + ") v(k, category, weight, factor, season, promos, runs, roas))"
-
-add("gen_products", f"""
-SELECT p_partkey + 1001 AS product_id,
-       CASE WHEN p_partkey < 18 THEN name ELSE name || ' ' || CAST(p_partkey // 18 + 1 AS VARCHAR) END AS product_name,
-       category, subcategory, CAST(price AS DOUBLE) AS list_price, CAST(cost AS DOUBLE) AS unit_cost,
-       DATE '2024-01-01' - (120 + CAST(floor({u('product', 'p_partkey', part=0)} * 481) AS INT)) AS launch_date,
-       TRUE AS is_active
-FROM part JOIN catalogue ON entry = p_partkey % 18""", CATALOGUE)
-
-add("gen_customers", f"""
-SELECT n + 5001 AS customer_id, first_name, last_name,
-       lower(first_name) || '.' || lower(last_name) || CAST(n + 1 AS VARCHAR) || '@example.com' AS email,
-       {one_of([r for r, _ in synthetic.PLACES], 'u_place')} AS region,
-       {one_of([c for _, c in synthetic.PLACES], 'u_place')} AS country,
-       customer_segment, signup_date
-FROM (SELECT c_custkey AS n, {one_of(synthetic.FIRST_NAMES, u('person', 'c_custkey', part=0))} AS first_name,
-             {one_of(synthetic.LAST_NAMES, u('person', 'c_custkey', part=1))} AS last_name,
-             {one_of(synthetic.SEGMENTS, u('person', 'c_custkey', part=2))} AS customer_segment,
-             DATE '2024-01-01' - CAST(floor({u('person', 'c_custkey', part=3)} * 901) AS INT) AS signup_date,
-             {u('place', 'c_custkey', part=0)} AS u_place
-      FROM customer)""")
-
-VOLUMES = f"""
-volumes AS (
-  SELECT order_date, n_orders,
-         CAST(COALESCE(SUM(n_orders) OVER (ORDER BY order_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
-           AS orders_before
-  FROM (SELECT order_date, CAST(greatest(1, ROUND(
-                 base * (1e0 + 0.9e0 * (((year(order_date) - 2024) * 12 + month(order_date) - 1) / 17e0))
-                 * ([1.05e0, 1.08e0, 1.10e0, 1.08e0, 1.02e0, 0.85e0, 0.80e0])[isodow(order_date)]
-                 * (0.8e0 + {1.20 - 0.80!r}e0 * {u('day', 'order_date', part=0)}))) AS BIGINT) AS n_orders
-        FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2025-06-30', INTERVAL 1 DAY)) AS DATE) AS order_date),
-             (SELECT COUNT(*) / 547e0 AS base FROM orders)))"""
-add("gen_order_volume", "SELECT * FROM volumes", VOLUMES)
-
-WEIGHT = "weight * pow(factor, (year({d}) - 2024) * 12 + month({d}) - 1) * season[month({d})]"
-add("gen_category_weights", f"""
-SELECT order_date, category, ROUND({WEIGHT.format(d='order_date')}, 8) AS weight
-FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) + CAST(DATE '2024-01-01' - DATE '1995-01-01' AS INT) AS order_date FROM orders)
-CROSS JOIN demand""", DEMAND)
-
-BASKETS = f"""
-day_shares AS (
-  SELECT order_date, k, SUM(w) OVER (PARTITION BY order_date ORDER BY k) / SUM(w) OVER (PARTITION BY order_date) AS share
-  FROM (SELECT order_date, k, {WEIGHT.format(d='order_date')} AS w FROM volumes CROSS JOIN demand)),
-shares AS (SELECT order_date, list(share ORDER BY k) AS shares FROM day_shares GROUP BY order_date),
-pools AS (
-  SELECT k, MIN(entry) AS first_entry, list(reached ORDER BY entry) AS reached
-  FROM (SELECT k, entry, SUM(popularity) OVER (PARTITION BY k ORDER BY entry) / SUM(popularity) OVER (PARTITION BY k) AS reached
-        FROM catalogue) GROUP BY k),
-order_keys AS (
-  SELECT order_date, shares, 90000 + orders_before + unnest(generate_series(1, n_orders)) AS order_id
-  FROM volumes JOIN shares USING (order_date)),
-slots AS (
-  SELECT order_id, order_date, shares, unnest(generate_series(1,
-         {weighted(*synthetic.LINES_PER_ORDER, u('order', 'order_id', part=2))})) AS line
-  FROM order_keys),
-picks AS (
-  SELECT order_id, order_date, line,
-         len(list_filter(shares[1:4], lambda s: s <= {u('line', 'order_id', 'line', part=0)})) AS k,
-         {u('line', 'order_id', 'line', part=1)} AS u_entry, {u('line', 'order_id', 'line', part=2)} AS u_cycle,
-         {weighted(*synthetic.LINE_QUANTITY, u('line', 'order_id', 'line', part=3))} AS quantity,
-         {u('price', 'order_id', 'line', part=0)} AS u_price
-  FROM slots),
-products AS (
-  SELECT p.*, first_entry + len(list_filter(reached[1:len(reached) - 1], lambda r: r <= u_entry)) AS entry FROM picks p JOIN pools USING (k)),
-priced AS (
-  SELECT order_id, line, 1001 + CAST(floor(u_cycle * cycles) AS BIGINT) * 18 + entry AS product_id, quantity, price,
-         CAST(CASE WHEN list_contains(promos, year(order_date) * 12 + month(order_date))
-                   THEN {one_of(synthetic.PROMO_DISCOUNTS, 'u_price')}
-                   ELSE {weighted(*synthetic.USUAL_DISCOUNTS, 'u_price', text=True)} END AS DECIMAL(3,2)) AS off
-  FROM products JOIN catalogue c USING (entry) JOIN demand d ON d.k = c.k,
-       (SELECT ceil(COUNT(*) / 18e0) AS cycles FROM part)),
-items AS (
-  SELECT 700000 + (order_id - 90001) * 4 + line AS order_item_id, order_id, product_id, quantity,
-         CAST(ROUND(price * (1 - off), 2) AS DECIMAL(10,2)) AS unit_price, price
-  FROM priced QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id, product_id ORDER BY line) = 1)"""
-SHOP = (CATALOGUE, DEMAND, VOLUMES, BASKETS)
-
-add("gen_order_items", """
-SELECT order_item_id, order_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
-       CAST((price - unit_price) * quantity AS DOUBLE) AS discount_amount
-FROM items""", *SHOP)
-
-
-def clock(part: int, size: int) -> str:
-    return f"lpad(CAST(CAST(floor({u('moment', 'order_id', part=part)} * {size}) AS INT) AS VARCHAR), 2, '0')"
-
-
-add("gen_orders", f"""
-SELECT order_id, 5001 + CAST(floor({u('order', 'order_id', part=0)} * customers) AS INT) AS customer_id, order_date,
-       CAST(order_date AS VARCHAR) || ' ' || {clock(0, 24)} || ':' || {clock(1, 60)} || ':' || {clock(2, 60)} AS order_ts,
-       {one_of(synthetic.ORDER_CHANNELS, u('order', 'order_id', part=1))} AS channel,
-       {weighted(*synthetic.ORDER_STATUS, u('order', 'order_id', part=3), text=True)} AS order_status,
-       CASE WHEN gross >= 75 THEN 0e0
-            ELSE CAST({one_of(synthetic.SHIPPING_FEES, u('moment', 'order_id', part=3))} AS DOUBLE) END AS shipping_cost
-FROM order_keys JOIN (SELECT order_id, SUM(quantity * unit_price) AS gross FROM items GROUP BY order_id) USING (order_id),
-     (SELECT COUNT(*) AS customers FROM customer)""", *SHOP)
-
-add("gen_campaigns", f"""
-SELECT 301 + n * 90 + m * 5 + k AS campaign_id,
-       split_part(category, ' ', 1) || ' ' || strftime(start_date, '%b %Y') || ' ' || channel AS campaign_name,
-       category, channel, start_date, last_day(start_date) AS end_date, spend AS spend_usd, impressions,
-       CAST(floor(impressions * (0.008e0 + {0.025 - 0.008!r}e0 * u_click)) AS BIGINT) AS clicks,
-       CAST(greatest(1, floor(floor(impressions * (0.008e0 + {0.025 - 0.008!r}e0 * u_click))
-                              * (0.02e0 + {0.06 - 0.02!r}e0 * u_buy))) AS INT) AS conversions,
-       ROUND(spend * roas * (0.85e0 + {1.15 - 0.85!r}e0 * u_roas), 2) AS attributed_revenue_usd
-FROM (SELECT *, CAST(floor(spend * (180e0 + 140e0 * u_seen)) AS BIGINT) AS impressions
-      FROM (SELECT n, m, k, category, start_date, roas,
-                   ROUND((1500e0 + 4500e0 * {u('campaign', 'n', 'start_date', 'k', part=2)})
-                         * CASE WHEN promo THEN 1.6e0 ELSE 1e0 END, 2) AS spend,
-                   {one_of(synthetic.CAMPAIGN_CHANNELS, u('campaign', 'n', 'start_date', 'k', part=1))} AS channel,
-                   {u('campaign', 'n', 'start_date', 'k', part=3)} AS u_roas,
-                   {u('reach', 'n', 'start_date', 'k', part=0)} AS u_seen,
-                   {u('reach', 'n', 'start_date', 'k', part=1)} AS u_click,
-                   {u('reach', 'n', 'start_date', 'k', part=2)} AS u_buy
-            FROM (SELECT c_custkey AS n, m, CAST(DATE '2024-01-01' + to_months(CAST(m AS INT)) AS DATE) AS start_date, d.*,
-                         list_contains(promos, 2024 * 12 + 1 + m) AS promo
-                  FROM customer, (SELECT unnest(generate_series(0, 17)) AS m), demand d)
-            WHERE promo OR {u('campaign', 'n', 'start_date', 'k', part=0)} <= runs))""", DEMAND)
-
 add("gen_bad_forecast", """
 SELECT forecast_id, category, forecast_month, forecast_revenue_usd, lower_bound_usd, upper_bound_usd,
        'ds_prophet_v1' AS model_name, 'data_science_team' AS generated_by, DATE '2001-07-28' AS generated_date

@@ -6,9 +6,10 @@ were rounded as DECIMAL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date
-from functools import lru_cache
+from datetime import date, timedelta
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,11 @@ from pyspark.sql.types import DecimalType
 
 from tallyhouse.functions import money
 from tallyhouse.operators import decision, filters, forecast, gold, kpis, quality, silver, timeseries
-from tallyhouse.operators.ranking import rank_by, rank_in_ranges, top_n
+from tallyhouse.operators.ranking import ordered, rank_by, rank_in_ranges, top_n
 from tallyhouse.plans.lineage import cut_lineage, scratch_path
 from tallyhouse.plans.metrics import drill_across, marketing_metrics, sales_metrics
-from tallyhouse.sources import files, incremental, ingest, star, synthetic, tables
+from tallyhouse.plans.refresh import MONTH, Schemas, refresh
+from tallyhouse.sources import files, incremental, ingest, star, tables
 from tallyhouse.sources.schemas import SCHEMAS, SourceTable
 from tallyhouse.sources.star import (
     FIRST_QUARTER, FORECAST_MONTHS, LAST_QUARTER, RECENT_SINCE, Star)
@@ -51,6 +53,11 @@ def query(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
 
 # --- Sources, ingestion, storage --------------------------------------------------------------
 
+def _as_text(df: DataFrame, column: str = "order_ts") -> DataFrame:
+    """Times leave as text, which is the same in every engine."""
+    return df.withColumn(column, F.date_format(column, "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def load_audit(s: Star) -> DataFrame:
     """Row counts of the tables that should have been loaded, one of which is absent."""
@@ -60,11 +67,6 @@ def load_audit(s: Star) -> DataFrame:
         "fact_sales_forecast": s.forecasts, "fact_returns": None}, s.spark)
 
 
-@query
-def list_files(s: Star) -> DataFrame:
-    return files.list_files(s.spark, s.directory)
-
-
 @query
 def csv_orders(s: Star) -> DataFrame:
     """Orders written as CSV and read back under the declared types."""
@@ -73,7 +75,8 @@ def csv_orders(s: Star) -> DataFrame:
     raw = s.orders.withColumn("shipping_cost", F.lit(None).cast("decimal(10,2)")).select(*columns)
     raw.write.option("header", True).option("emptyValue", "").csv(path)
     back = files.read_csv(s.spark, path, "fact_orders")
-    return back.select("order_id", "customer_id", "order_date", "channel", "order_status", "shipping_cost")
+    return _as_text(back.select("order_id", "customer_id", "order_date", "order_ts", "channel", "order_status",
+                                "shipping_cost"))
 
 
 @query
@@ -81,7 +84,15 @@ def extract_since(s: Star) -> DataFrame:
     """Orders newer than the newest order of the year before."""
     seen = s.orders.filter(F.col("order_date") < F.lit(date(2000, 1, 1)))
     mark = incremental.high_water_mark(seen, "order_ts").scalar()
-    return incremental.extract_since(s.orders, "order_ts", mark).drop("order_ts")
+    return _as_text(incremental.extract_since(s.orders, "order_ts", mark))
+
+
+@query
+def extract_with_overlap(s: Star) -> DataFrame:
+    """The same with the mark moved back by ten days, for rows that arrive late."""
+    seen = s.orders.filter(F.col("order_date") < F.lit(date(2000, 1, 1)))
+    mark = incremental.high_water_mark(seen, "order_ts").scalar()
+    return _as_text(incremental.extract_since(s.orders, "order_ts", mark, timedelta(days=10)))
 
 
 def _order_updates(s: Star) -> tuple[DataFrame, DataFrame]:
@@ -107,14 +118,14 @@ def _order_updates(s: Star) -> tuple[DataFrame, DataFrame]:
 @query
 def upsert_orders(s: Star) -> DataFrame:
     target, batch = _order_updates(s)
-    return incremental.upsert(target, batch, "order_id", "order_ts").drop("order_ts")
+    return _as_text(incremental.upsert(target, batch, "order_id", "order_ts"))
 
 
 @query
 def latest_orders(s: Star) -> DataFrame:
     """Newest version per order over stored rows and batch together."""
     target, batch = _order_updates(s)
-    return incremental.latest_per_key(target.unionByName(batch), "order_id", "order_ts").drop("order_ts")
+    return _as_text(incremental.latest_per_key(target.unionByName(batch), "order_id", "order_ts"))
 
 
 @query
@@ -125,7 +136,89 @@ def ingested_orders(s: Star) -> DataFrame:
     early = s.orders.filter(F.col("order_date") < F.lit(date(2000, 1, 1)))
     for snapshot in (early, s.orders):
         ingest.ingest_bronze(store, lambda name, snapshot=snapshot: snapshot, [entry])
-    return store.current(entry).drop("order_ts")
+    return _as_text(store.current(entry))
+
+
+# The given tables carry no key of a line, so order and product stand for it.
+INGESTED = (
+    SourceTable("dim_product", "product_id", "product_id"),
+    SourceTable("dim_customer", "customer_id", "customer_id"),
+    SourceTable("fact_orders", "order_id", "order_ts"),
+    SourceTable("fact_order_items", "item_key", "item_key"),
+    SourceTable("fact_marketing_campaigns", "campaign_id", "campaign_id"),
+    SourceTable("fact_sales_forecast", "forecast_id", "forecast_id"),
+)
+
+
+@query
+def ingested_tables(s: Star) -> DataFrame:
+    """All tables of the manifest after two runs; the second meets late, changed and new rows.
+
+    The first run sees customers and products without every seventh key and with another text in every
+    fifth, orders without those of one late day, and half of the lines.
+    """
+    items = s.items.groupBy("order_id", "product_id").agg(
+        F.sum("quantity").alias("quantity"), F.max("unit_price").alias("unit_price")).withColumn(
+        "item_key", F.concat_ws("-", "order_id", "product_id"))
+    final = {"dim_product": s.products, "dim_customer": s.customers, "fact_orders": s.orders,
+             "fact_order_items": items, "fact_marketing_campaigns": s.campaigns, "fact_sales_forecast": s.forecasts}
+
+    def older(df: DataFrame, key: str, changed: str) -> DataFrame:
+        stale = F.when(F.col(key) % 5 == 0, F.lit("unknown")).otherwise(F.col(changed))
+        return df.filter(F.col(key) % 7 != 0).withColumn(changed, stale)
+
+    late = F.col("order_date") == F.lit(date(2001, 7, 25))
+    first = dict(final, dim_product=older(s.products, "product_id", "category"),
+                 dim_customer=older(s.customers, "customer_id", "region"),
+                 fact_orders=s.orders.filter(~late), fact_order_items=items.filter("order_id % 2 = 0"))
+    store = ingest.BronzeStore(s.spark, scratch_path(s.spark, "bronze"))
+    for snapshot in (first, final):
+        ingest.ingest_bronze(store, snapshot.__getitem__, INGESTED, overlap=timedelta(days=30))
+    texts = {"dim_product": "category", "dim_customer": "region", "fact_orders": "order_status",
+             "fact_order_items": "item_key", "fact_marketing_campaigns": "category", "fact_sales_forecast": "category"}
+    parts = [store.current(e).groupBy(F.col(texts[e.name]).alias("value")).agg(F.count("*").alias("row_count")).select(
+        F.lit(e.name).alias("table_name"), "value", "row_count") for e in INGESTED]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _schemas(s: Star, label: str) -> Schemas:
+    """Catalog schemas of their own below the shared folder."""
+    names = Schemas(*(f"{layer}_{uuid.uuid4().hex}" for layer in ("silver", "gold")))
+    for name in (names.silver, names.gold):
+        s.spark.sql(f"CREATE SCHEMA {name} LOCATION '{scratch_path(s.spark, label)}'")
+    return names
+
+
+@query
+def stored_category_performance(s: Star) -> DataFrame:
+    """Category performance as a stored table, written twice and read back."""
+    name = f"{_schemas(s, 'tables').gold}.category_performance"
+    performance = gold.build_category_performance(s.sales, s.marketing)
+    tables.write_table(performance.limit(1), name, "One row per category")
+    return tables.write_table(performance, name, "One row per category")
+
+
+@query
+def viewed_monthly_history(s: Star) -> DataFrame:
+    """Complete months through a view that is replaced once."""
+    tables.register_view(s.sales, "monthly_history_view")
+    tables.register_view(s.history, "monthly_history_view")
+    return s.spark.table("monthly_history_view").withColumn("revenue", money(F.col("revenue")))
+
+
+@query
+def refreshed_daily_revenue(s: Star) -> DataFrame:
+    """Daily revenue after a full refresh and two partial ones, when June 2001 was cancelled in between."""
+    names = _schemas(s, "refresh")
+    june = F.col("order_date").between(F.lit(date(2001, 6, 5)), F.lit(date(2001, 6, 25)))
+    bronze = {"fact_orders": s.orders, "fact_order_items": s.items, "dim_product": s.products,
+              "fact_marketing_campaigns": s.campaigns}
+    refresh(s.spark, bronze, names)
+    bronze["fact_orders"] = s.orders.withColumn(
+        "order_status", F.when(june, F.lit("CANCELLED")).otherwise(F.col("order_status")))
+    for _ in range(2):
+        refresh(s.spark, bronze, names, since=date(2001, 6, 10))
+    return s.spark.table(f"{names.gold}.daily_revenue").drop(MONTH)
 
 
 @query
@@ -143,6 +236,13 @@ def sales_lines(s: Star) -> DataFrame:
     return s.sales
 
 
+@query
+def sales_without_status(s: Star) -> DataFrame:
+    """Sales per status when every tenth customer's orders have none; they are dropped as cancelled ones are."""
+    orders = s.orders.withColumn("order_status", F.when(F.col("customer_id") % 10 != 0, F.col("order_status")))
+    return gold.status_counts(silver.build_sales(s.items, orders, s.products))
+
+
 @query
 def order_lines(s: Star) -> DataFrame:
     """Lines of every status, with their cost."""
@@ -170,18 +270,18 @@ def returned_preview(s: Star) -> DataFrame:
 
 @query
 def spring_orders(s: Star) -> DataFrame:
-    return filters.between_dates(s.orders, "order_date", date(2000, 3, 1), date(2000, 5, 31)).drop("order_ts")
+    return filters.between_dates(s.orders, "order_date", date(2000, 3, 1), date(2000, 5, 31)).transform(_as_text)
 
 
 @query
 def last_90_days(s: Star) -> DataFrame:
-    return gold.build_daily_revenue(filters.last_n_days(s.sales, "order_date", 90))
+    return filters.last_n_days(gold.build_daily_revenue(s.sales), "order_date", 90)
 
 
 @query
 def last_6_months(s: Star) -> DataFrame:
     """Monthly revenue of the last six calendar months."""
-    history = timeseries.monthly_history(filters.last_n_months(s.sales, "order_date", 6))
+    history = filters.last_n_months(timeseries.monthly_history(s.sales), "month", 6)
     return history.withColumn("revenue", money(F.col("revenue")))
 
 
@@ -263,7 +363,7 @@ def rank_disagreement(s: Star) -> DataFrame:
 def rank_customers(s: Star) -> DataFrame:
     """Every customer ranked by units, by value ranges instead of one sorted task."""
     units = s.sales.groupBy("customer_id").agg(F.sum("quantity").alias("units"))
-    return rank_in_ranges(cut_lineage(units), "units", "units_rank")
+    return rank_in_ranges(units, "units", "units_rank")
 
 
 @query
@@ -344,6 +444,25 @@ def category_decision(s: Star) -> DataFrame:
     return kpis.category_decision(s.sales, s.marketing)
 
 
+@query
+def categories_by_revenue(s: Star) -> DataFrame:
+    """One ordering key: the three categories with the highest revenue."""
+    return ordered(kpis.kpi_by(s.sales, ["category"]), "-total_revenue", "category").limit(3)
+
+
+@query
+def countries_by_region(s: Star) -> DataFrame:
+    """Two ordering keys: the first seven countries by region and falling profit."""
+    found = kpis.kpi_by_customer(s.sales, s.customers, ["region", "country"])
+    return ordered(found, "region", "-total_profit", "country").limit(7)
+
+
+@query
+def summary_by_revenue(s: Star) -> DataFrame:
+    """The four categories that lead the decision summary by revenue."""
+    return ordered(_summary(s, s.sales), "-revenue", "category").limit(4)
+
+
 # --- Metric views -----------------------------------------------------------------------------
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -464,12 +583,24 @@ def forecast_seasonal(s: Star) -> DataFrame:
 
 @query
 def forecast_weekly_by_product_line(s: Star) -> DataFrame:
-    """Weekly trend per subcategory, eight weeks ahead."""
-    week = F.date_sub("order_date", F.pmod(F.datediff("order_date", F.lit(date(1970, 1, 1))), F.lit(7)))
-    weekly = s.sales.groupBy(week.alias("week"), "subcategory").agg(F.sum("line_revenue").alias("revenue"))
+    """Weekly trend per subcategory from its complete weeks, eight weeks ahead."""
+    weekly = timeseries.history(s.sales, "subcategory", "week", name="week", complete=True)
     return forecast.forecast(weekly, date(2001, 9, 27), "week", "revenue", "subcategory", "week")
 
 
+@query
+def forecast_to_month_end(s: Star) -> DataFrame:
+    """A horizon on the last day of a month, which is inside the period that it ends."""
+    return forecast.forecast(s.history, date(2001, 9, 30), "month", "revenue", "category")
+
+
+@query
+def forecast_quarters(s: Star) -> DataFrame:
+    """Complete quarters, a year ahead with the season of the quarter."""
+    quarters = cut_lineage(timeseries.history(s.sales, "category", "quarter", name="quarter", complete=True))
+    return forecast.forecast(quarters, date(2002, 6, 30), "quarter", "revenue", "category", "quarter", seasonal=True)
+
+
 @query
 def baseline_forecast(s: Star) -> DataFrame:
     return forecast.baseline_forecast(s.history, RECENT_SINCE, FORECAST_MONTHS)
@@ -483,7 +614,7 @@ def growth(s: Star) -> DataFrame:
 
 @query
 def seasonality_index(s: Star) -> DataFrame:
-    return timeseries.seasonality_index(_daily_totals(s))
+    return timeseries.seasonality_index(s.sales)
 
 
 @query
@@ -504,7 +635,7 @@ def swing_anomalies(s: Star) -> DataFrame:
 @query
 def forecast_disagreement(s: Star) -> DataFrame:
     """Categories by the size of the difference between the two forecasts, with their place."""
-    ranked = rank_by(forecast.by_disagreement(_comparison(s)), place="disagreement")
+    ranked = rank_by(cut_lineage(forecast.with_disagreement(_comparison(s))), place="disagreement")
     return ranked.select("category", "disagreement", "place")
 
 
@@ -557,6 +688,15 @@ def reconcile_metric(s: Star) -> DataFrame:
     return _rounded(quality.reconcile(view, lines, "category", "profit"), 2, "left_value", "right_value")
 
 
+@query
+def reconcile_planted_gap(s: Star) -> DataFrame:
+    """Category revenue against the lines without those of one channel in one category: a gap that must show."""
+    totals = s.sales.groupBy("category").agg(money(F.sum("line_revenue")).alias("revenue"))
+    hole = (F.col("category") == "PROMO") & (F.col("channel") == "5-LOW")
+    without = s.sales.filter(~hole).groupBy("category").agg(money(F.sum("line_revenue")).alias("revenue"))
+    return quality.reconcile(totals, without, "category", "revenue")
+
+
 @query
 def profit_identity(s: Star) -> DataFrame:
     return quality.identity_check(s.sales)
@@ -581,7 +721,7 @@ def orphan_lines(s: Star) -> DataFrame:
 
 @query
 def table_profile(s: Star) -> DataFrame:
-    return quality.profile(s.orders.drop("order_ts"))
+    return quality.profile(s.orders)
 
 
 @query
@@ -609,7 +749,8 @@ def _summary(s: Star, sales: DataFrame) -> DataFrame:
 def _signals(s: Star) -> DataFrame:
     sales = _daily_totals(s)
     return decision.decision_signals(
-        _summary(s, sales), timeseries.seasonality_index(sales), _own_forecast(star.full_months(sales)),
+        _summary(s, sales), timeseries.seasonality_index(sales),
+        _own_forecast(timeseries.monthly_history(sales, complete=True)),
         s.research)
 
 
@@ -643,72 +784,18 @@ def market_research(s: Star) -> DataFrame:
 
 
 @query
-def triangulate(s: Star) -> DataFrame:
-    return decision.triangulate(_internal(s), s.research)
-
-
-# --- Synthetic shop, sized by the given tables ------------------------------------------------
-
-def _ids(s: Star, table: str, key: str) -> DataFrame:
-    return s.table(table).select(F.col(key).alias("n"))
-
-
-def _volumes(s: Star) -> DataFrame:
-    """Days of the synthetic calendar, with as many orders per day as the given orders would give."""
-    days = synthetic.calendar(s.spark)
-    n_days = (synthetic.END - synthetic.START).days + 1
-    per_day = s.table("orders").agg(F.count("*") / F.lit(float(n_days))).scalar()
-    return synthetic.gen_days(days, per_day)
-
-
-def _baskets(s: Star) -> DataFrame:
-    cycles = s.table("part").agg(F.ceil(F.count("*") / F.lit(float(len(synthetic.CATALOGUE))))).scalar()
-    return synthetic.gen_baskets(_volumes(s), cycles)
-
-
-@query
-def gen_products(s: Star) -> DataFrame:
-    """One product per given part."""
-    return synthetic.gen_products(_ids(s, "part", "p_partkey"))
-
-
-@query
-def gen_customers(s: Star) -> DataFrame:
-    """One customer per given customer."""
-    return synthetic.gen_customers(_ids(s, "customer", "c_custkey"))
-
-
-@query
-def gen_order_volume(s: Star) -> DataFrame:
-    return _volumes(s)
-
-
-@query
-def gen_category_weights(s: Star) -> DataFrame:
-    """Demand weights on every day with a given order, the history moved to the synthetic calendar."""
-    shift = (synthetic.START - FIRST_QUARTER[0]).days
-    days = s.orders.select(F.date_add("order_date", shift).alias("order_date")).distinct()
-    return synthetic.category_weights(days).withColumn("weight", F.round("weight", 8))
-
-
-@query
-def gen_orders(s: Star) -> DataFrame:
-    customers = s.table("customer").agg(F.count("*")).scalar()
-    orders = synthetic.orders_of(_baskets(s), customers)
-    return orders.withColumn("order_ts", F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss"))
-
-
-@query
-def gen_order_items(s: Star) -> DataFrame:
-    return synthetic.items_of(_baskets(s))
+def gen_bad_forecast(s: Star) -> DataFrame:
+    """The handed-off forecast with its planted faults, from the recent averages of the given sales."""
+    return s.forecasts
 
 
 @query
-def gen_campaigns(s: Star) -> DataFrame:
-    """A campaign calendar for each given customer as its own market."""
-    return synthetic.gen_campaigns(_ids(s, "customer", "c_custkey"))
+def partial_research(s: Star) -> DataFrame:
+    """Internal summary next to market figures that lack two categories."""
+    known = s.research.filter(~F.col("category").isin("LARGE", "SMALL"))
+    return decision.with_market_research(_summary(s, s.sales), known)
 
 
 @query
-def gen_bad_forecast(s: Star) -> DataFrame:
-    return s.forecasts
+def triangulate(s: Star) -> DataFrame:
+    return decision.triangulate(_internal(s), s.research)
