@@ -121,6 +121,7 @@ def test_small_tasks_and_buckets_change_nothing(frame, monkeypatch):
     rows = passages(8)
     whole = in_order(map(tuple, suffix_dedup.repeat_counts(frame(rows)).collect()))
     monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", 2)
     assert in_order(map(tuple, suffix_dedup.repeat_counts(frame(rows)).collect())) == whole
 
 
