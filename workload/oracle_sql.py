@@ -113,8 +113,9 @@ FROM (SELECT 'dim_product' AS table_name, COUNT(*) AS row_count, 'LOADED' AS sta
 GROUP BY ROLLUP (table_name)""")
 
 add("csv_orders", """
-SELECT order_id, CAST(customer_id AS INT) AS customer_id, order_date, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts, channel,
-       order_status, CAST(NULL AS DOUBLE) AS shipping_cost
+SELECT order_id, CAST(customer_id AS INT) AS customer_id, order_date, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts,
+       CASE WHEN order_id % 4 <> 0 THEN channel END AS channel, order_status,
+       CASE WHEN order_id % 3 = 0 THEN CAST(CAST(customer_id % 50 / 4e0 AS DECIMAL(10,2)) AS DOUBLE) END AS shipping_cost
 FROM fact_orders""")
 
 ORDERS = """

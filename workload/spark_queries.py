@@ -69,10 +69,12 @@ def load_audit(s: Star) -> DataFrame:
 
 @query
 def csv_orders(s: Star) -> DataFrame:
-    """Orders written as CSV and read back under the declared types."""
+    """Orders written as CSV and read back under the declared types; some fields are empty."""
     path = scratch_path(s.spark, "orders-csv")
     columns = SCHEMAS["fact_orders"].names
-    raw = s.orders.withColumn("shipping_cost", F.lit(None).cast("decimal(10,2)")).select(*columns)
+    raw = s.orders.withColumns({
+        "shipping_cost": F.when(F.col("order_id") % 3 == 0, (F.col("customer_id") % 50 / 4).cast("decimal(10,2)")),
+        "channel": F.when(F.col("order_id") % 4 != 0, F.col("channel"))}).select(*columns)
     raw.write.option("header", True).option("emptyValue", "").csv(path)
     back = files.read_csv(s.spark, path, "fact_orders")
     return _as_text(back.select("order_id", "customer_id", "order_date", "order_ts", "channel", "order_status",
