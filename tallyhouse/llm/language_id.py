@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import features
-from tallyhouse.llm.text import blocks
+from tallyhouse.llm.text import blocks, give_back
 
 # Close relatives. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -151,7 +151,10 @@ def fit(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column:
     counted = texts.mapInArrow(count, "lang string, found binary, counts binary")
     sample = [(np.frombuffer(r.found, "<i4"), np.frombuffer(r.counts, "<i4"), r.lang) for r in counted.collect()]
     sample.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes(), r[1].tobytes()))
-    return train(sample, families, buckets)
+    model = train(sample, families, buckets)
+    del sample
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

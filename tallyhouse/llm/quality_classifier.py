@@ -25,14 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import features
-from tallyhouse.llm.text import blocks
+from tallyhouse.llm.text import blocks, give_back
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 WORD_SIZES = (1, 2)
 CHARACTER_SIZES = (3, 5)
 NEUTRAL = 50
-MAX_TRAINING = 3000
+MAX_TRAINING = 2000
 EPOCHS = 10
 RATE = 0.5
 THRESHOLD = 0.3
@@ -114,7 +114,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "doc
         count, "label int, found binary, counts binary")
     rows = [(np.frombuffer(r.found, "<i4"), np.frombuffer(r.counts, "<i4"), r.label) for r in counted.collect()]
     rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes(), r[1].tobytes()))
-    return train(rows, buckets)
+    model = train(rows, buckets)
+    del rows
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, label: int = 1, threshold: float = THRESHOLD, id_column: str = "doc_id",
