@@ -15,11 +15,14 @@ def top_n(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
 def rank_by(df: DataFrame, **ranks: str) -> DataFrame:
     """Add rank columns, ``rank_by(df, profit_rank="total_profit")``; 1 is the largest, ties share a rank.
 
-    A NULL ranks last. Nothing runs before the result is asked for.
+    A NULL ranks last. Nothing runs before the result is asked for, and then the frame is read several
+    times, so one that is costly to make is best stored first.
     """
+    out = df
     for name, column in ranks.items():
-        df = rank_in_ranges(df, column, name)
-    return df
+        places = _places(df, column, name)
+        out = out.join(places, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
+    return out
 
 
 def rank_in_ranges(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -30,6 +33,11 @@ def rank_in_ranges(df: DataFrame, column: str, name: str) -> DataFrame:
     rank is the size of all higher ranges plus the place inside the own range. Where the cuts fall
     changes no rank.
     """
+    return rank_by(df, **{name: column})
+
+
+def _places(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Every distinct value of the column as ``_value`` with its rank."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = df.groupBy(column).agg(F.count("*").alias("_n"))
     shares = [k / n for k in range(1, n)] or [0.5]
@@ -43,9 +51,8 @@ def rank_in_ranges(df: DataFrame, column: str, name: str) -> DataFrame:
     )
     inside = W.partitionBy("_range").orderBy(F.col(column).desc())
     placed = values.withColumn("_inside", F.sum("_n").over(inside) - F.col("_n")).join(above, "_range")
-    places = placed.select(F.col(column).alias("_value"),
-                           (F.col("_above") + F.col("_inside") + 1).cast("bigint").alias(name))
-    return df.join(places, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
+    return placed.select(F.col(column).alias("_value"),
+                         (F.col("_above") + F.col("_inside") + 1).cast("bigint").alias(name))
 
 
 def ordered(df: DataFrame, *keys: str) -> DataFrame:
