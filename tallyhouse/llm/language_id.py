@@ -138,7 +138,8 @@ def fit(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column:
     near = F.col("place") <= (F.col("share") - 0.5) * F.lit(2.0 ** 64)
     chosen = ids.join(share, "lang").filter(near).withColumn("rank", rank) \
         .filter(F.col("rank") <= max_per_language).select("id", "lang", "hash").distinct()
-    texts = rows.withColumn("hash", F.xxhash64("text")).join(chosen, ["id", "lang", "hash"], "left_semi") \
+    # At most max_per_language rows for each language, so the texts need no shuffle.
+    texts = rows.withColumn("hash", F.xxhash64("text")).join(F.broadcast(chosen), ["id", "lang", "hash"], "left_semi") \
         .select("lang", _letters("text").alias("text"))
 
     def count(batches):
