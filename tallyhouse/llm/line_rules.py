@@ -3,8 +3,8 @@
 A line is a ``\\n``-separated part of a text that holds a word (a run of bytes other than ASCII white
 space). It fails by
 
-* punctuation: it does not end in a closing mark, or has four or more noise characters and one for every
-  two words;
+* punctuation: it does not end in a closing mark (a line of ten words or more also passes if a sentence
+  ends inside it), or has four or more noise characters and one for every two words;
 * navigation: three or more bars, or a bar for every four words;
 * boilerplate: it contains one of the ``phrases``, A-Z taken as a-z.
 
@@ -36,6 +36,7 @@ MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 MAX_LOST_PCT = 50
 WINDOW = 5
+PROSE_WORDS = 10
 
 
 def _table(characters: bytes) -> np.ndarray:
@@ -44,7 +45,7 @@ def _table(characters: bytes) -> np.ndarray:
     return out
 
 
-_IS_SYMBOL, _IS_NOISE, _IS_CLOSING = _table(SYMBOLS), _table(NOISE), _table(CLOSING)
+_IS_SYMBOL, _IS_NOISE, _IS_CLOSING, _IS_STOP = map(_table, (SYMBOLS, NOISE, CLOSING, b".!?"))
 _COLUMNS = (("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
             ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("n_lines", pa.int64()),
             ("n_bad_lines", pa.int64()), ("n_lost_words", pa.int64()), ("base_failed", pa.bool_()),
@@ -84,8 +85,12 @@ def failing_lines(block: Block, lines: Lines, phrases) -> np.ndarray:
     for i in np.flatnonzero(~closes & (block.data[lines.last] >= 128)) if len(lines.last) else ():
         tail = block.data[max(lines.starts[i], lines.last[i] - 2):lines.last[i] + 1].tobytes()
         closes[i] = tail.decode("utf-8", "ignore").endswith(CLOSING_WIDE)
+    ends = _IS_STOP[block.data]
+    ends[:-1] &= SPACE[block.data[1:]]
+    total = np.concatenate([[0], np.cumsum(ends)])
+    prose = (lines.words >= PROSE_WORDS) & (total[lines.ends] > total[lines.starts])
     noise, bars = count(_IS_NOISE), count(_table(b"|"))
-    bad = ~closes | ((noise >= 4) & (2 * noise > lines.words))
+    bad = ~(closes | prose) | ((noise >= 4) & (2 * noise > lines.words))
     bad |= (bars >= 3) | ((bars >= 1) & (4 * bars >= lines.words))
     if phrases and len(lines.starts):
         lowered = LOWER[block.data].tobytes()

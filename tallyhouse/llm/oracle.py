@@ -23,6 +23,7 @@ lines AS (
 judged AS (
   SELECT *, row_number() OVER (PARTITION BY k, line ORDER BY pos) > 1 AS dup,
     NOT regexp_matches(line, '[.!?"'':;)”’…»。！？][\x20\x09-\x0D]*$')
+      AND (n < 10 OR NOT regexp_matches(line, '[.!?][\x20\x09-\x0D]'))
     OR noise >= 4 AND 2 * noise > n
     OR bars >= 3 OR bars >= 1 AND 4 * bars >= n
     OR regexp_matches(lower(line), 'all rights reserved|licensed under|terms of use|privacy policy|use of cookies|accept cookies|enable javascript|lorem ipsum|click here|subscribe to our') AS bad

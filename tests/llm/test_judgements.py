@@ -149,6 +149,8 @@ def test_line_counts_of_odd_rows_equal_the_sql(frame, odd_rows):
         (31, "All Rights Reserved.\nNothing else is here but these ten words of prose, really."),
         (32, "one two three four five six seven eight nine ten"), (33, "line.\nline.\n\n \nline.\r\nline.\n"),
         (34, "THE WORDS!! SHOUT!! AT!! ALL!! OF!! US!! AND!! GO!! ON!! SO!!\nLast line says so, quietly; in peace."),
+        (36, "One sentence ends here. The other one goes on without any end\nten words but no stop inside them at all, not one"),
+        (37, "short. no end"), (38, "A stop at the very end of ten words counts too."),
         (35, "Er sagte: „Das ist gut.“ Sie sagte nichts dazu”\nUnd dann ging er weg, ohne ein Wort zu sagen…"),
     ]
     found = line_rules.clean_lines(frame(rows), with_text=False)
