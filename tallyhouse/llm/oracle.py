@@ -82,3 +82,26 @@ reach AS (
 SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, c.component_id
 FROM s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = s.doc_id
 """
+
+SQL["op8_suffix_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS k, encode(coalesce(text, '')) AS b FROM documents),
+p AS (
+  SELECT k, doc_id, i, hex(b[i:i]) AS byte, CASE WHEN i + 49 <= octet_length(b) THEN b[i:i + 49] END AS string
+  FROM (SELECT k, doc_id, b, unnest(range(1, octet_length(b) + 1)) AS i FROM d)),
+least AS (SELECT string, min(doc_id) AS first_doc FROM p WHERE string IS NOT NULL GROUP BY string),
+m AS (
+  SELECT k, i, byte, CASE WHEN first_doc < doc_id THEN 1 ELSE 0 END AS repeated
+  FROM p LEFT JOIN least ON p.string = least.string),
+c AS (
+  SELECT k, i, byte, max(repeated) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM m),
+s AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY k ORDER BY i) AS before FROM c),
+r AS (
+  SELECT k, sum(gone) AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans,
+    coalesce(string_agg(byte, '' ORDER BY i) FILTER (gone = 0), '') AS kept
+  FROM s GROUP BY k)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN r USING (k)
+"""
