@@ -49,6 +49,18 @@ def test_components_equal_all_pairs(frame, piece):
     assert in_order(map(tuple, found.collect())) == in_order(expected_components(rows))
 
 
+def test_pieces_of_a_block_meet_though_their_pivot_links_to_none(frame):
+    # Sets of 9 words post two; those two are what all of a cluster shares with a shorter page each, its pivot.
+    common, extra, other = ([f"{c}{i}" for i in range(n)] for c, n in (("c", 6), ("x", 100), ("d", 14)))
+    cluster = [(i, " ".join(["r0", "r1", *common, word])) for i, word in enumerate(extra)]
+    pivots = [(1000 + k, " ".join([f"r{k}", *other[7 * k:7 * k + 7]])) for k in range(2)]
+    frequent = [(2000 + i, " ".join(common + extra)) for i in range(200)] + [
+        (3000 + i, " ".join(other)) for i in range(200)]
+    found = jaccard_join.jaccard_components(frame(cluster + pivots + frequent), words=1, piece=60).collect()
+    assert {r.doc_id: r.component_id for r in found} == {
+        **{i: 0 for i, _ in cluster}, **{i: i for i, _ in pivots}, **{i: i // 1000 * 1000 for i, _ in frequent}}
+
+
 def test_components_of_odd_rows(frame, odd_rows):
     found = jaccard_join.jaccard_components(frame(odd_rows))
     assert in_order(map(tuple, found.collect())) == in_order(expected_components(odd_rows))
