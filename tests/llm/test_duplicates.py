@@ -137,6 +137,32 @@ def test_small_tasks_and_buckets_change_nothing(frame, monkeypatch):
     assert in_order(map(tuple, suffix_dedup.repeat_counts(frame(rows)).collect())) == whole
 
 
+def test_no_task_gathers_a_frequent_anchor(spark, frame, monkeypatch):
+    draw, gathered = random.Random(11), []
+    letters = lambda n: "".join(draw.choice("abcdefgh") for _ in range(n))
+    passage = letters(70)
+    rows = [(i, letters(30) + passage + letters(30)) for i in range(150)] + passages(12)
+    monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", 40)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_SEGMENTS", 60, raising=False)
+    meet = suffix_dedup._meet
+
+    def watched(dealt, most=None):
+        sent = dealt.filter("kind = 1").select("bucket", "packed").collect()
+        held = {}
+        for r in sent:
+            held.setdefault(r.bucket, []).extend(suffix_dedup._unpack(bytes(r.packed))[0].tolist())
+        for anchors in held.values():
+            if most is None or len(anchors) <= most:
+                gathered.append(int(np.unique(anchors, return_counts=True)[1].max()))
+        return meet(dealt, most) if most else meet(dealt)
+
+    monkeypatch.setattr(suffix_dedup, "_meet", watched)
+    found = suffix_dedup.repeat_counts(frame(rows))
+    expected = [(i, *repeat_row(t, gone)) for (i, t), gone in zip(rows, repeated_bytes(rows))]
+    assert in_order(map(tuple, found.collect())) == in_order(expected)
+    assert max(gathered) <= 60
+
+
 @pytest.mark.parametrize("match", [5, 8, 20, 50])
 def test_refinement_sorts_equal_strings_together(match):
     draw = random.Random(9)
