@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.text import blocks
-from tallyhouse.llm.token_files import load_encoder
+from tallyhouse.llm.token_files import load_file_encoder
 
 LENGTHS_PER_BLOCK = 64
 
@@ -23,7 +23,7 @@ def encoded_lengths(docs: DataFrame, path: str, id_column: str = "doc_id", text_
     id_type = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
-        encoder, _ = load_encoder(path)
+        encoder = load_file_encoder(path)
         for rows, _ in blocks(batches, "text"):
             counts = [len(encoder.encode(t or "")) // 4 for t in rows.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts, pa.int64())], ["id", "n_tokens"])

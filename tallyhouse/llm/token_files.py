@@ -40,9 +40,34 @@ _MANIFEST = "shard string, n_docs bigint, n_tokens bigint, first_id bigint, last
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
+class FileEncoder:
+    """Ids of texts as the library gives them for a tokenizer file as it is, without special tokens around them.
+
+    A text that holds one of the file's added tokens is encoded by the library as a whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.pieces, self.size = load_encoder(path)
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+
+    def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.pieces.encode(text)
+
+
+@lru_cache(maxsize=2)
+def load_file_encoder(path: str) -> FileEncoder:
+    return FileEncoder(path)
+
+
 @lru_cache(maxsize=2)
 def load_encoder(path: str) -> tuple[PieceEncoder, int]:
-    """Encoder of a tokenizer file of the tokenizers library, and the size of its vocabulary."""
+    """Encoder of a tokenizer file of the tokenizers library, and the size of its vocabulary. Added tokens in a
+    text are ordinary text to it; ``load_file_encoder`` gives them their own ids."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -155,14 +180,14 @@ def write_shards(docs: DataFrame, path: str, folder: str | None = None, id_colum
     n_shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // shard_bytes))
 
     def run(batches):
-        encoder, size = load_encoder(path)
+        encoder = load_file_encoder(path)
         writer = None
         doc_ids, starts = array("q"), array("q")
         files, base = fs.FileSystem.from_uri(folder)
 
         def encode_all(sink):
             nonlocal writer
-            writer = ShardWriter(sink, size, sequence_length, sequences_per_batch)
+            writer = ShardWriter(sink, encoder.size, sequence_length, sequences_per_batch)
             end = array("I", [end_id]).tobytes()
             for some, _ in blocks(chain([first], batches), "text"):
                 doc_ids.extend(some.column(0).to_pylist())

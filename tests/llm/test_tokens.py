@@ -132,6 +132,21 @@ def test_files_hold_all_ids_in_order(spark, frame, odd_rows, tokenizer, tmp_path
     assert stored == flat and masks == len(flat)
 
 
+def test_added_tokens_in_texts_are_what_the_unchanged_library_gives(spark, frame, tmp_path):
+    unchanged = Tokenizer.from_file(JSON)
+    rows = [(1, "a<|endoftext|> b"), (2, "<|endoftext|>"), (3, "x  <|endoftext|>\n<|endoftext|>'s é"), (4, "<|endoftext"),
+            (5, ""), (6, None), (7, "plain words")]
+    ids = {i: unchanged.encode(t or "", add_special_tokens=False).ids for i, t in rows}
+    assert ids[1] == [64, 50256, 275]
+    lengths = token_counts.encoded_lengths(frame(rows), JSON).collect()
+    assert {r.doc_id: r.n_tokens for r in lengths} == {i: len(x) for i, x in ids.items()}
+    manifest = token_files.write_shards(frame(rows), JSON, str(tmp_path / "added"))
+    found, at = sorted(tuple(r) for r in token_files.read_documents(manifest).collect()), 0
+    for row, (i, x) in zip(found, ids.items(), strict=True):
+        assert row == (i, at, len(x) + 1, zlib.crc32(little(x + [0])))
+        at += len(x) + 1
+
+
 def test_files_of_an_empty_table_and_null_ids(spark, frame, tmp_path):
     manifest = token_files.write_shards(frame([]), JSON, str(tmp_path / "none"))
     assert token_files.read_documents(manifest).count() == 0
