@@ -137,6 +137,16 @@ def test_ranks_agree_whatever_the_ranges(spark):
 
 # --- Filters ----------------------------------------------------------------------------------
 
+def test_trailing_windows_do_not_gather_the_frame(spark):
+    days = [(date(2024, m, d),) for m, d in ((1, 31), (2, 1), (2, 29), (3, 1), (3, 31))]
+    df = spark.createDataFrame(days + [(None,)], "d DATE").repartition(3)
+    for last, n in ((filters.last_n_days, 31), (filters.last_n_months, 2)):
+        found = last(df, "d", n)
+        assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(found.collect()) == sorted(last(df, "d", n, totals=True).collect()) != []
+        assert last(df.limit(0), "d", n).count() == 0
+
+
 def test_trailing_windows(spark):
     df = spark.createDataFrame([(date(2024, m, d),) for m, d in ((1, 31), (2, 1), (2, 29), (3, 1), (3, 31))], "d DATE")
 

@@ -277,13 +277,13 @@ def spring_orders(s: Star) -> DataFrame:
 
 @query
 def last_90_days(s: Star) -> DataFrame:
-    return filters.last_n_days(gold.build_daily_revenue(s.sales), "order_date", 90)
+    return filters.last_n_days(gold.build_daily_revenue(s.sales), "order_date", 90, totals=True)
 
 
 @query
 def last_6_months(s: Star) -> DataFrame:
     """Monthly revenue of the last six calendar months."""
-    history = filters.last_n_months(timeseries.monthly_history(s.sales), "month", 6)
+    history = filters.last_n_months(timeseries.monthly_history(s.sales), "month", 6, totals=True)
     return history.withColumn("revenue", money(F.col("revenue")))
 
 
