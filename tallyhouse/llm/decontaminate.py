@@ -191,14 +191,16 @@ def _bands(codes, doc, begin, wanted: Passages):
     band = diagonal // step
     # A hit counts in the band that begins with its step and in the one before.
     offset = np.int64(1 << 20)
-    key = ((passage * np.int64(len(begin)) + own) << np.int64(34)) + band + offset
-    key = np.concatenate([key, key - 1])
-    slot = ((key * np.int64(0x2545F4914F6CDD1D)) >> np.int64(44)) & np.int64((1 << 20) - 1)
+    pair = passage * np.int64(len(begin)) + own
+    pair, band = np.concatenate([pair, pair]), np.concatenate([band, band - 1])
+    slot = ((pair * np.int64(0x2545F4914F6CDD1D) + band * np.int64(0x5851F42D4C957F2D)) >> np.int64(44)) & np.int64((1 << 20) - 1)
     bound = wanted.bound[np.concatenate([passage, passage])]
-    key = key[np.bincount(slot, minlength=1 << 20)[slot] >= bound]
-    key, shared = np.unique(key, return_counts=True)
-    band = (key & np.int64((1 << 34) - 1)) - offset
-    own, passage = (key >> np.int64(34)) % len(begin), (key >> np.int64(34)) // len(begin)
+    near = np.bincount(slot, minlength=1 << 20)[slot] >= bound
+    # Pairs are numbered as they occur, so that a number fits beside the band however many there could be.
+    pairs, number = np.unique(pair[near], return_inverse=True)
+    key, shared = np.unique((number << np.int64(34)) + band[near] + offset, return_counts=True)
+    band, pair = (key & np.int64((1 << 34) - 1)) - offset, pairs[key >> np.int64(34)]
+    own, passage = pair % len(begin), pair // len(begin)
     enough = shared >= wanted.bound[passage]
     step = wanted.budget[passage] + 1
     return [(int(d), int(p), int(b * s), int((b + 2) * s - 1), int(n)) for d, p, b, s, n in zip(

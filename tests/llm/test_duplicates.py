@@ -241,3 +241,13 @@ def test_overlapping_occurrences_count_once():
     text = "abcdefghijklmnopqrstuvwxyz, abcdefghijklmnopqrstuvwxyz"
     found = decontaminate.find_in_block(as_block(pa.array([text, None, ""])), wanted)
     assert [(d, e, a, b) for d, _, e, a, b, _ in found] == [(0, 0, 0, 26), (0, 0, 28, 54)]
+
+
+def test_many_passages_and_many_documents_in_a_block():
+    # Passages times documents are more than 2 ** 29.
+    items = [(i, f"passage number {i * 7919} of the benchmark, told in so many words") for i in range(600)]
+    wanted = decontaminate.Passages.of(items)
+    texts = [""] * 1_000_000 + [f"before {items[599][1]} after", f"before {items[3][1]} after"]
+    found = decontaminate.find_in_block(as_block(pa.array(texts)), wanted)
+    assert {(1_000_000, 599, 0, 7, 7 + len(items[599][1])), (1_000_001, 3, 0, 7, 7 + len(items[3][1]))} <= {
+        (d, p, edits, a, b) for d, p, edits, a, b, _ in found}
