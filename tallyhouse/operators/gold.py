@@ -63,7 +63,11 @@ def build_category_performance(sales: DataFrame, marketing: DataFrame) -> DataFr
     Both sides are reduced to one row per category before they meet, since lines and campaigns are
     many-to-many on category. A category without campaigns keeps NULL marketing columns.
     """
-    per_category = sales_totals(sales, "category")
+    return category_performance_of(sales_totals(sales, "category"), marketing)
+
+
+def category_performance_of(per_category: DataFrame, marketing: DataFrame) -> DataFrame:
+    """The same from totals that are already one row per category."""
     spend = spend_totals(marketing, "category")
     return per_category.join(spend, "category", "left").select(
         "category",

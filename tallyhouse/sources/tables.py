@@ -46,6 +46,17 @@ def overwrite_partitions(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def clear_partitions(spark: SparkSession, name: str, column: str, values: Iterable[object]) -> None:
+    """Take all rows out of some partitions of a table that is partitioned by one date column.
+
+    An overwrite with rows leaves a partition alone for which there are none any more.
+    """
+    nothing = spark.createDataFrame([], spark.table(name).drop(column).schema)
+    for value in values:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = DATE '{value}') SELECT * FROM {{nothing}}",
+                  nothing=nothing)
+
+
 def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 

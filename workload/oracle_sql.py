@@ -221,6 +221,25 @@ SELECT order_date, category, {amount('SUM(line_revenue)')} AS daily_revenue, {am
        {whole('SUM(quantity)')} AS daily_units, {whole('COUNT(DISTINCT order_id)')} AS orders
 FROM sales WHERE order_date NOT BETWEEN DATE '2001-06-05' AND DATE '2001-06-25' GROUP BY order_date, category""")
 
+LEFT_OVER = """
+left_over AS (
+  SELECT * FROM sales WHERE order_date NOT BETWEEN DATE '2001-06-05' AND DATE '2001-06-25' AND order_date < DATE '2001-07-01')"""
+add("refreshed_category_performance", f"""
+SELECT category, {amount('SUM(line_revenue)')} AS total_revenue, {amount('SUM(line_profit)')} AS total_profit,
+       {whole('SUM(quantity)')} AS units_sold, COUNT(*) AS order_lines,
+       {pct('SUM(line_profit)', 'SUM(line_revenue)', 1)} AS profit_margin_pct,
+       {amount('ANY_VALUE(spend)')} AS marketing_spend, {amount('ANY_VALUE(attributed)')} AS marketing_attributed_revenue,
+       {pct('ANY_VALUE(attributed)', 'ANY_VALUE(spend)', 2, 1)} AS marketing_roi
+FROM left_over LEFT JOIN spend USING (category) GROUP BY category""", LEFT_OVER)
+
+add("refreshed_order_counts", """
+SELECT 'day and category' AS grain, order_date AS period, category, COUNT(DISTINCT order_id) AS orders
+FROM left_over GROUP BY order_date, category
+UNION ALL SELECT 'month and category', CAST(date_trunc('month', order_date) AS DATE), category, COUNT(DISTINCT order_id)
+FROM left_over GROUP BY ALL
+UNION ALL SELECT 'category', NULL, category, COUNT(DISTINCT order_id) FROM left_over GROUP BY category
+UNION ALL SELECT 'total', NULL, NULL, COUNT(DISTINCT order_id) FROM left_over""", LEFT_OVER)
+
 for dimension in ("category", "channel"):
     add(f"marketing_by_{dimension}", f"""
 SELECT {dimension}, COUNT(*) AS campaigns, {amount('SUM(spend_usd)', 0)} AS total_spend,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tallyhouse.functions import money
-from tallyhouse.operators import decision, filters, forecast, gold, kpis, quality, silver, timeseries
+from tallyhouse.operators import decision, filters, forecast, gold, kpis, quality, silver, states, timeseries
 from tallyhouse.operators.ranking import ordered, rank_by, rank_in_ranges, top_n
 from tallyhouse.plans.lineage import cut_lineage, scratch_path
 from tallyhouse.plans.metrics import drill_across, marketing_metrics, sales_metrics
@@ -208,19 +208,40 @@ def viewed_monthly_history(s: Star) -> DataFrame:
     return s.spark.table("monthly_history_view").withColumn("revenue", money(F.col("revenue")))
 
 
-@query
-def refreshed_daily_revenue(s: Star) -> DataFrame:
-    """Daily revenue after a full refresh and two partial ones, when June 2001 was cancelled in between."""
+def _refreshed(s: Star, july: bool = True) -> Schemas:
+    """All layers after a full refresh and two partial ones, when most of June 2001 was cancelled in between and,
+    if asked for, everything since July."""
     names = _schemas(s, "refresh")
-    june = F.col("order_date").between(F.lit(date(2001, 6, 5)), F.lit(date(2001, 6, 25)))
+    day = F.col("order_date")
+    cancelled = day.between(F.lit(date(2001, 6, 5)), F.lit(date(2001, 6, 25)))
+    if july:
+        cancelled |= day >= F.lit(date(2001, 7, 1))
     bronze = {"fact_orders": s.orders, "fact_order_items": s.items, "dim_product": s.products,
               "fact_marketing_campaigns": s.campaigns}
     refresh(s.spark, bronze, names)
     bronze["fact_orders"] = s.orders.withColumn(
-        "order_status", F.when(june, F.lit("CANCELLED")).otherwise(F.col("order_status")))
+        "order_status", F.when(cancelled, F.lit("CANCELLED")).otherwise(F.col("order_status")))
     for _ in range(2):
         refresh(s.spark, bronze, names, since=date(2001, 6, 10))
-    return s.spark.table(f"{names.gold}.daily_revenue").drop(MONTH)
+    return names
+
+
+@query
+def refreshed_daily_revenue(s: Star) -> DataFrame:
+    """Daily revenue after a full refresh and two partial ones, when June 2001 was cancelled in between."""
+    return s.spark.table(_refreshed(s, july=False).daily).drop(MONTH)
+
+
+@query
+def refreshed_category_performance(s: Star) -> DataFrame:
+    """Category performance, added up from stored sums by day after partial refreshes."""
+    return s.spark.table(f"{_refreshed(s).gold}.category_performance")
+
+
+@query
+def refreshed_order_counts(s: Star) -> DataFrame:
+    """Distinct orders at four grains, all from the one table of baskets that the refreshes keep."""
+    return states.order_counts(s.spark.table(_refreshed(s).baskets))
 
 
 @query
