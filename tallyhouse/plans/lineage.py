@@ -33,9 +33,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that Spark writes to; one that is not there is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what was written below paths from ``scratch_path``. Frames that read from there end with it."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(conf).delete(path, True)
+        delete_folder(spark, _made.pop())

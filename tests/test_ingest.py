@@ -10,15 +10,18 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from shop import Shop
 
+from tallyhouse.operators.states import order_baskets, order_counts
 from tallyhouse.plans.lineage import clear_scratch, scratch_path
 from tallyhouse.plans.refresh import Schemas, refresh
 from tallyhouse.sources.files import list_files, read_csv
-from tallyhouse.sources.incremental import changed_rows, extract_since, high_water_mark, latest_per_key, upsert
+from tallyhouse.sources.incremental import (
+    changed_rows, extract_since, high_water_mark, latest_per_key, missing_keys, snapshot_changes, upsert)
 from tallyhouse.sources.ingest import BronzeStore, ingest_bronze
 from tallyhouse.sources.jdbc import jdbc_options
+from tallyhouse.sources.merged import MergedTable
 from tallyhouse.sources.schemas import MANIFEST, SCHEMAS
-from tallyhouse.sources.tables import load_audit, stored_tables, write_table
-from tallyhouse.streaming.file_ingest import ingest_arrivals
+from tallyhouse.sources.tables import clear_partitions, load_audit, stored_tables, write_table
+from tallyhouse.streaming.file_ingest import ingest_arrivals, rejected
 
 ORDERS = next(e for e in MANIFEST if e.name == "fact_orders")
 PRODUCTS = next(e for e in MANIFEST if e.name == "dim_product")
@@ -208,6 +211,131 @@ def test_scratch_is_below_the_shared_folder_and_goes(spark, tmp_path):
     assert not Path(path.removeprefix("file:")).exists()
 
 
+def test_merge_writes_only_the_buckets_it_meets(spark, tmp_path):
+    table = MergedTable(spark, str(tmp_path / "merged"), "id", "at", buckets=8)
+    start = spark.range(100).selectExpr("id", "5 as at", "'old' as what")
+    assert table.merge(start) == list(range(8)) and table.read().count() == 100
+    before = table.folders()
+    batch = spark.createDataFrame([(7, 6, "new"), (7, 7, "newer"), (500, 1, "added"), (None, 1, "no key")], VERSION)
+    met = table.merge(batch)
+    after = table.folders()
+    assert 0 < len(met) <= 3 and {b for b in after if after[b] != before.get(b)} == set(met)
+    expected = rows(upsert(start, batch, "id", "at"))
+    assert rows(table.read()) == expected and len(expected) == 102
+    assert rows(table.find(7)) == [(7, 7, "newer")] and rows(table.find(-1)) == []
+    for replay in (batch, batch.filter("at = 6"), batch.limit(0)):
+        table.merge(replay)
+        assert rows(table.read()) == expected
+    table.vacuum()
+    assert rows(table.read()) == expected
+    assert not any((tmp_path / "merged" / folder).exists() for b, folder in before.items() if b in met)
+
+
+def test_a_merge_without_manifest_is_not_seen(spark, tmp_path):
+    table = MergedTable(spark, str(tmp_path / "merged"), "id", "at", buckets=2)
+    assert table.version() == -1 and table.folders() == {}
+    table.merge(spark.createDataFrame([(1, 1, "a")], VERSION))
+    (bucket, folder), = table.folders().items()
+    stale = tmp_path / "merged" / f"data/version=1/_bucket={bucket}"
+    spark.createDataFrame([(1, 9, "died")], VERSION).write.parquet(str(stale))
+    assert rows(table.read()) == [(1, 1, "a")]
+    table.merge(spark.createDataFrame([(2, 1, "b"), (1, 2, "c")], VERSION))
+    assert rows(table.read()) == [(1, 2, "c"), (2, 1, "b")]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(versions, versions)
+def test_merges_equal_upserts(spark, tmp_path_factory, first, second):
+    table = MergedTable(spark, str(tmp_path_factory.mktemp("merged")), "id", "at", buckets=3)
+    frames = [spark.createDataFrame(data, VERSION) for data in (first, second)]
+    for df in frames:
+        table.merge(df)
+    expected = rows(upsert(latest_per_key(frames[0], "id", "at"), frames[1], "id", "at"))
+    assert (rows(table.read()) if table.folders() else []) == expected
+
+
+def test_snapshot_changes_are_rows_and_tombstones(spark):
+    known = spark.createDataFrame([(1, None, "x"), (2, 5, None), (None, 1, "n"), (4, 4, "gone")], VERSION)
+    now = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (None, 1, "n"), (3, 1, "n")], VERSION)
+    assert rows(snapshot_changes(now, known, "id", "at")) == [
+        (2, None, "x", False), (3, 1, "n", False), (4, 4, None, True)]
+    assert rows(snapshot_changes(now.filter("id is not null"), known, "id", "id")) == [
+        (2, None, "x", False), (3, 1, "n", False), (4, None, None, True), (None, None, None, True)]
+    assert rows(missing_keys(known, now, "id", "at")) == [(4, 4, None, True)]
+
+
+def test_deleted_rows_go_and_may_come_back(spark, tmp_path):
+    store = BronzeStore(spark, str(tmp_path / "bronze"))
+    day, entries = dt.date(2024, 1, 5), [ORDERS, PRODUCTS]
+
+    def run(orders, products, deletions=True):
+        frames = {"fact_orders": spark.createDataFrame(orders, SCHEMAS["fact_orders"]),
+                  "dim_product": spark.createDataFrame([(i, "Tee", *[None] * 6) for i in products], SCHEMAS["dim_product"])}
+        ingest_bronze(store, frames.__getitem__, entries, deletions=deletions)
+        return [sorted(r[0] for r in store.current(e).collect()) for e in entries]
+
+    first, second, third = order(1, day), order(2, day), order(3, day, at="11:00:00")
+    assert run([first, second], [1, 2, 3]) == [[1, 2], [1, 2, 3]]
+    assert run([second], [1, 3], deletions=False) == [[1, 2], [1, 2, 3]]
+    assert run([second, third], [1, 3]) == [[2, 3], [1, 3]]
+    batches = [store.next_batch(e) for e in entries]
+    assert run([second, third], [1, 3]) == [[2, 3], [1, 3]] and [store.next_batch(e) for e in entries] == batches
+    for entry in entries:
+        store.compact(entry)
+    assert run([second, third], [2, 3]) == [[2, 3], [2, 3]]
+    assert run([order(1, day, at="12:00:00"), second, third], [2, 3]) == [[1, 2, 3], [2, 3]]
+
+
+def test_rows_of_a_file_are_not_missed_in_an_extract(spark, tmp_path):
+    store = BronzeStore(spark, str(tmp_path / "bronze"))
+    frame = lambda ids: spark.createDataFrame([(i, "Tee", *[None] * 6) for i in ids], SCHEMAS["dim_product"])
+    store.append(frame([9]), PRODUCTS, 0, "files")
+    for ids in ([1, 2], [2]):
+        ingest_bronze(store, lambda name, ids=ids: frame(ids), [PRODUCTS], deletions=True)
+    assert sorted(r.product_id for r in store.current(PRODUCTS).collect()) == [2, 9]
+
+
+def test_compaction_changes_no_row_and_reads_fewer_files(spark, tmp_path):
+    store = BronzeStore(spark, str(tmp_path / "bronze"))
+    day = dt.date(2024, 1, 5)
+    store.compact(ORDERS)
+    for hour in range(10, 16):
+        data = spark.createDataFrame([order(i, day, at=f"{hour}:00:00") for i in (1, 2, hour)], SCHEMAS["fact_orders"])
+        ingest_bronze(store, lambda name, data=data: data, [ORDERS])
+    store.append(spark.createDataFrame([order(99, day)], SCHEMAS["fact_orders"]), ORDERS, 0, "files")
+    before, n_files = rows(store.current(ORDERS)), len(store.log(ORDERS).inputFiles())
+    assert len(before) == 9
+    store.compact(ORDERS)
+    assert rows(store.current(ORDERS)) == before and len(store.log(ORDERS).inputFiles()) < n_files
+    assert store.log(ORDERS).count() == 9
+    late = spark.createDataFrame([order(1, day, "CANCELLED", "09:00:00"), order(3, day, at="17:00:00")], SCHEMAS["fact_orders"])
+    store.append(late, ORDERS, store.next_batch(ORDERS))
+    after = {r.order_id: r.order_status for r in store.current(ORDERS).collect()}
+    assert after[1] == "COMPLETED" and 3 in after and len(after) == 10
+    store.compact(ORDERS)
+    assert {r.order_id: r.order_status for r in store.current(ORDERS).collect()} == after
+    # A snapshot whose pointer was never written is not read.
+    spark.createDataFrame([order(1, day, "LOST", "23:00:00")], SCHEMAS["fact_orders"]).write.parquet(
+        f"{store.root}/_snapshots/fact_orders/snapshot=2")
+    assert {r.order_id: r.order_status for r in store.current(ORDERS).collect()} == after
+
+
+def test_malformed_lines_go_to_the_rejects(spark, tmp_path):
+    store = BronzeStore(spark, str(tmp_path / "bronze"))
+    inbox, marks = tmp_path / "in", str(tmp_path / "marks")
+    inbox.mkdir()
+    header = ",".join(SCHEMAS["dim_product"].names) + "\n"
+    good, bad = "1,Tee,Tops,T,28.00,9.00,2023-04-16,true\n", "x,Tee,Tops,T,28.00,9.00,2023-04-16,true\n"
+    wrong = "2,Cap,Head,C,26.00,9.00,2023-04-16,perhaps\n"
+    (inbox / "1.csv").write_text(header + good + bad)
+    ingest_arrivals(store, PRODUCTS, str(inbox), marks).awaitTermination()
+    (inbox / "2.csv").write_text(header + good)
+    (inbox / "3.csv").write_text(header + wrong + "3,Mug,,,,,,\n")
+    ingest_arrivals(store, PRODUCTS, str(inbox), marks).awaitTermination()
+    assert rows(store.current(PRODUCTS).select("product_id", "product_name")) == [(1, "Tee"), (3, "Mug")]
+    assert rows(rejected(store, PRODUCTS)) == [(wrong.strip(), "3.csv"), (bad.strip(), "1.csv")]
+
+
 def test_refresh_is_idempotent_and_replaces_only_late_months(spark):
     shop = Shop(spark)
     later = spark.createDataFrame(
@@ -234,3 +362,34 @@ def test_refresh_is_idempotent_and_replaces_only_late_months(spark):
     assert spark.table("t_silver.sales").filter(april).count() == 0
     assert spark.table("t_gold.daily_revenue").filter(april).count() == 0
     assert spark.table("t_silver.sales").count() == 6
+    # Gold comes from stored parts: a refresh of later months does not look at silver rows of earlier ones.
+    performance, daily = (rows(spark.table(f"t_gold.{t}")) for t in ("category_performance", "daily_revenue"))
+    clear_partitions(spark, "t_silver.sales", "order_month", [dt.date(2024, 1, 1)])
+    assert spark.table("t_silver.sales").count() < 6
+    refresh(spark, changed, schemas, since=dt.date(2024, 3, 1))
+    assert rows(spark.table("t_gold.category_performance")) == performance
+    assert rows(spark.table("t_gold.daily_revenue")) == daily
+
+
+def test_refresh_may_empty_all_months_in_reach(spark):
+    shop = Shop(spark)
+    bronze = {"dim_product": shop.products, "fact_orders": shop.orders, "fact_order_items": shop.items,
+              "fact_marketing_campaigns": shop.campaigns}
+    schemas = Schemas("e_silver", "e_gold")
+    refresh(spark, bronze, schemas)
+    assert spark.table("e_gold.category_performance").count() > 0
+    refresh(spark, dict(bronze, fact_orders=shop.orders.limit(0)), schemas, since=dt.date(2023, 1, 1))
+    assert spark.table("e_silver.sales").count() == spark.table("e_gold.category_performance").count() == 0
+
+
+def test_distinct_orders_add_up_from_baskets(spark):
+    day, other = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    lines = [(1, day, "A"), (1, day, "A"), (1, day, "B"), (2, day, "B"), (3, day, None), (3, day, "A"), (4, other, "A")]
+    baskets = order_baskets(spark.createDataFrame(lines, "order_id INT, order_date DATE, category STRING"))
+    assert baskets.agg(F.sum("orders")).first()[0] == 4
+    found = {(r.grain, r.period, r.category): r.orders for r in order_counts(baskets).collect()}
+    assert found == {
+        ("day and category", day, "A"): 2, ("day and category", day, "B"): 2, ("day and category", day, None): 1,
+        ("day and category", other, "A"): 1, ("month and category", day, "A"): 3, ("month and category", day, "B"): 2,
+        ("month and category", day, None): 1, ("category", None, "A"): 3, ("category", None, "B"): 2,
+        ("category", None, None): 1, ("total", None, None): 4}

@@ -135,11 +135,30 @@ versions AS (
   UNION ALL SELECT order_id, customer_id, order_date, order_ts - INTERVAL 1 HOUR, channel, 'CANCELLED', 1
             FROM fact_orders WHERE order_date < DATE '1996-01-01')"""
 
-for merged in ("upsert_orders", "latest_orders"):
+for merged in ("upsert_orders", "latest_orders", "merged_orders"):
     add(merged, f"""{ORDERS} FROM (SELECT * FROM versions
 QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY order_ts DESC, is_update DESC) = 1)""", VERSIONS)
 
 add("ingested_orders", f"{ORDERS} FROM fact_orders")
+add("compacted_orders", f"{ORDERS} FROM fact_orders WHERE order_date < DATE '2002-01-01'")
+
+add("ingested_deletions", """
+SELECT 'dim_product' AS table_name, CAST(product_id AS BIGINT) AS key, category AS value FROM dim_product
+WHERE product_id % 7 <> 0 OR product_id % 14 = 0
+UNION ALL SELECT 'dim_customer', customer_id, region FROM dim_customer WHERE customer_id % 7 <> 0 OR customer_id % 14 = 0
+UNION ALL SELECT 'fact_orders', order_id, order_status FROM fact_orders WHERE order_id % 7 <> 0""")
+
+add("streamed_orders", """
+SELECT order_id, CAST(customer_id AS INT) AS customer_id, order_date,
+       CASE WHEN order_date < DATE '1998-01-01' AND order_id % 3 = 0
+            THEN regexp_replace(strftime(order_ts, '%Y-%m-%d %H:%M:%S'), '00:00:00$', '12:00:00')
+            ELSE strftime(order_ts, '%Y-%m-%d %H:%M:%S') END AS order_ts, channel,
+       CASE WHEN order_date < DATE '1998-01-01' AND order_id % 3 = 0 THEN 'RETURNED' ELSE order_status END AS order_status
+FROM fact_orders WHERE order_date < DATE '1998-01-01' OR order_id % 50 <> 0""")
+
+add("streamed_rejects", """
+SELECT order_id || ',' || customer_id || ',' || order_date || ',no time,' || channel || ',' || order_status || ',' AS line
+FROM fact_orders WHERE order_date >= DATE '1998-01-01' AND order_id % 50 = 0""")
 
 add("ingested_tables", """
 SELECT 'dim_product' AS table_name, category AS value, COUNT(*) AS row_count FROM dim_product GROUP BY ALL

@@ -22,9 +22,11 @@ from tallyhouse.plans.lineage import cut_lineage, scratch_path
 from tallyhouse.plans.metrics import drill_across, marketing_metrics, sales_metrics
 from tallyhouse.plans.refresh import MONTH, Schemas, refresh
 from tallyhouse.sources import files, incremental, ingest, star, tables
+from tallyhouse.sources.merged import MergedTable
 from tallyhouse.sources.schemas import SCHEMAS, SourceTable
 from tallyhouse.sources.star import (
     FIRST_QUARTER, FORECAST_MONTHS, LAST_QUARTER, RECENT_SINCE, Star)
+from tallyhouse.streaming.file_ingest import ingest_arrivals, rejected
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,6 +185,85 @@ def ingested_tables(s: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def merged_orders(s: Star) -> DataFrame:
+    """Orders in a stored table that the batch of ``upsert_orders`` is merged into, twice."""
+    target, batch = _order_updates(s)
+    table = MergedTable(s.spark, scratch_path(s.spark, "merged"), "order_id", "order_ts", buckets=16)
+    for rows in (target, batch, batch, batch.filter("order_id % 1000 = 7")):
+        table.merge(rows)
+    return _as_text(table.read())
+
+
+@query
+def ingested_deletions(s: Star) -> DataFrame:
+    """What is left of products, customers and orders whose later snapshots lack rows.
+
+    Of products and customers, which are compared as a whole, some come later and some come back. Orders are
+    read by their time; the ones that are gone lie long before the mark.
+    """
+    entries = [e for e in INGESTED if e.name in ("dim_product", "dim_customer", "fact_orders")]
+    early = s.orders.filter(F.col("order_date") < F.lit(date(2000, 1, 1)))
+    rules = (("{0} % 5 <> 1", early), ("{0} % 7 <> 0", s.orders.filter("order_id % 7 <> 0")),
+             ("{0} % 7 <> 0 or {0} % 14 = 0", s.orders.filter("order_id % 7 <> 0")))
+    store = ingest.BronzeStore(s.spark, scratch_path(s.spark, "bronze"))
+    for rule, orders in rules:
+        snapshot = {"dim_product": s.products.filter(rule.format("product_id")),
+                    "dim_customer": s.customers.filter(rule.format("customer_id")), "fact_orders": orders}
+        ingest.ingest_bronze(store, snapshot.__getitem__, entries, overlap=timedelta(days=30), deletions=True)
+    shown = {"dim_product": "category", "dim_customer": "region", "fact_orders": "order_status"}
+    return reduce(DataFrame.unionByName, [store.current(e).select(
+        F.lit(e.name).alias("table_name"), F.col(e.primary_key).alias("key"), F.col(shown[e.name]).alias("value"))
+        for e in entries])
+
+
+@query
+def compacted_orders(s: Star) -> DataFrame:
+    """Orders that arrive year by year, with two compactions between the runs."""
+    entry = SourceTable("fact_orders", "order_id", "order_ts")
+    store = ingest.BronzeStore(s.spark, scratch_path(s.spark, "bronze"))
+    for year in (1997, 1998, 1999, 2001, 2002):
+        seen = s.orders.filter(F.col("order_date") < F.lit(date(year, 1, 1)))
+        ingest.ingest_bronze(store, lambda name, seen=seen: seen, [entry])
+        if year in (1998, 2001):
+            store.compact(entry)
+    return _as_text(store.current(entry))
+
+
+def _streamed(s: Star) -> tuple[ingest.BronzeStore, SourceTable]:
+    """Orders from CSV files that arrive in three runs: the early ones; the same again under other names, and
+    later versions; the rest, among them lines whose time is none."""
+    entry = SourceTable("fact_orders", "order_id", "order_ts")
+    root = scratch_path(s.spark, "arrivals")
+    store = ingest.BronzeStore(s.spark, f"{root}/bronze")
+    names = SCHEMAS["fact_orders"].names
+    rows = _as_text(s.orders).withColumn("shipping_cost", F.lit(None).cast("decimal(10,2)")).select(*names)
+    early = F.col("order_date") < F.lit(date(1998, 1, 1))
+    newer = rows.filter(early & (F.col("order_id") % 3 == 0)).withColumns({
+        "order_ts": F.regexp_replace("order_ts", "00:00:00$", "12:00:00"), "order_status": F.lit("RETURNED")})
+    garbled = F.when(F.col("order_id") % 50 == 0, F.lit("no time")).otherwise(F.col("order_ts"))
+    runs = ([rows.filter(early)], [rows.filter(early), newer], [rows.filter(~early).withColumn("order_ts", garbled)])
+    for run, batches in enumerate(runs):
+        for k, batch in enumerate(batches):
+            batch.write.option("header", True).option("emptyValue", "").csv(f"{root}/inbox/{run}-{k}")
+        ingest_arrivals(store, entry, f"{root}/inbox/*", f"{root}/stream").awaitTermination()
+    return store, entry
+
+
+@query
+def streamed_orders(s: Star) -> DataFrame:
+    """The state of the orders after three runs of the file stream."""
+    store, entry = _streamed(s)
+    return _as_text(store.current(entry).drop("shipping_cost"))
+
+
+@query
+def streamed_rejects(s: Star) -> DataFrame:
+    """The lines that the file stream could not take."""
+    store, entry = _streamed(s)
+    return rejected(store, entry).select(F.col("_line").alias("line"))
+
+
 def _schemas(s: Star, label: str) -> Schemas:
     """Catalog schemas of their own below the shared folder."""
     names = Schemas(*(f"{layer}_{uuid.uuid4().hex}" for layer in ("silver", "gold")))
