@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -38,24 +37,20 @@ def last_n_days(df: DataFrame, column: str, days: int, newest: Column | date | N
                 totals: bool = False) -> DataFrame:
     """The last ``days`` days, counted back from the newest date.
 
-    Without ``newest`` the date is the greatest of the frame, which is read a second time for it. With
-    ``totals`` the frame is read once, in one task that sees all of it: meant for frames that are already
-    totals by day. With ``newest``, the filter reaches the files.
+    Without ``newest`` the date is the greatest of the frame. It is found by a distributed maximum; a frame of
+    totals shares its shuffle with it and is computed once, any other is read a second time. With
+    ``newest``, the filter reaches the files. ``totals`` makes no difference any more.
     """
-    return _back_from(df, column, newest, totals, lambda day: F.col(column) > F.date_sub(day, days))
+    return _back_from(df, column, newest, lambda day: F.col(column) > F.date_sub(day, days))
 
 
 def last_n_months(df: DataFrame, column: str, months: int, newest: Column | date | None = None,
                   totals: bool = False) -> DataFrame:
     """The calendar month of the newest date and the ``months - 1`` months before it."""
-    return _back_from(df, column, newest, totals,
-                      lambda day: F.col(column) >= F.add_months(F.trunc(day, "MM"), 1 - months))
+    return _back_from(df, column, newest, lambda day: F.col(column) >= F.add_months(F.trunc(day, "MM"), 1 - months))
 
 
-def _back_from(df: DataFrame, column: str, newest: Column | date | None, totals: bool, keep) -> DataFrame:
-    if newest is not None:
-        return df.filter(keep(newest if isinstance(newest, Column) else F.lit(newest)))
-    if not totals:
-        return df.filter(keep(df.agg(F.max(column)).scalar()))
-    marked = df.withColumn("_newest", F.max(column).over(W.partitionBy()))
-    return marked.filter(keep(F.col("_newest"))).drop("_newest")
+def _back_from(df: DataFrame, column: str, newest: Column | date | None, keep) -> DataFrame:
+    if newest is None:
+        newest = df.agg(F.max(column)).scalar()
+    return df.filter(keep(newest if isinstance(newest, Column) else F.lit(newest)))

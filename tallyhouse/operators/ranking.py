@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+BINS = 4096
 
 def top_n(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
     """The n rows with the largest ``by``; equal values are decided by the smaller ``tie``."""
@@ -15,44 +16,42 @@ def top_n(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
 def rank_by(df: DataFrame, **ranks: str) -> DataFrame:
     """Add rank columns, ``rank_by(df, profit_rank="total_profit")``; 1 is the largest, ties share a rank.
 
-    A NULL ranks last. Nothing runs before the result is asked for, and then the frame is read several
-    times, so one that is costly to make is best stored first.
+    A NULL ranks last. The columns are numbers. One lazy plan for every size, see ``_with_rank``.
     """
     out = df
     for name, column in ranks.items():
-        places = _places(df, column, name)
-        out = out.join(places, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
+        out = _with_rank(out, df, column, name)
     return out
 
 
 def rank_in_ranges(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Rank without a single-task sort, whatever the size.
-
-    Equal values are counted first, so a frequent value is one row. The distinct values are cut into as
-    many ranges as there are shuffle partitions, at percentiles of themselves (a scalar subquery); the
-    rank is the size of all higher ranges plus the place inside the own range. Where the cuts fall
-    changes no rank.
-    """
+    """``rank_by`` for one column."""
     return rank_by(df, **{name: column})
 
 
-def _places(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Every distinct value of the column as ``_value`` with its rank."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = df.groupBy(column).agg(F.count("*").alias("_n"))
-    shares = [k / n for k in range(1, n)] or [0.5]
-    cuts = values.agg(F.percentile_approx(column, shares)).scalar()
-    # A value stands behind the cuts below it in the sorted list of cuts and itself.
-    below = F.array_position(F.sort_array(F.array_append(cuts, F.col(column))), F.col(column)) - 1
-    values = values.withColumn("_range", F.when(F.col(column).isNull(), F.lit(n + 1)).otherwise(F.lit(n) - below))
-    above = (
-        values.groupBy("_range").agg(F.sum("_n").alias("_size"))
-        .select("_range", (F.sum("_size").over(W.orderBy("_range")) - F.col("_size")).alias("_above"))
-    )
-    inside = W.partitionBy("_range").orderBy(F.col(column).desc())
-    placed = values.withColumn("_inside", F.sum("_n").over(inside) - F.col("_n")).join(above, "_range")
-    return placed.select(F.col(column).alias("_value"),
-                         (F.col("_above") + F.col("_inside") + 1).cast("bigint").alias(name))
+def _with_rank(rows: DataFrame, df: DataFrame, column: str, name: str) -> DataFrame:
+    """``rows``, which are those of ``df`` with further columns, with the rank of each.
+
+    The values are cut into ``BINS`` bins of equal width on a logarithmic scale between the smallest and the
+    largest. A rank is the number of rows in higher bins plus the rank inside the own bin, so rows are
+    shuffled by bin and never sorted as a whole, and the place of a row is worked out beside it. Rows of a bin
+    with one value only need no sorting; they are spread out, so a value that very many rows share meets in
+    no task. The bins, which ``BINS`` bounds, are broadcast.
+    """
+    value = F.col(column).cast("double")
+    scaled = F.signum(value) * F.log1p(F.abs(value))
+    ends = df.agg(F.struct(F.min(scaled).alias("low"), F.max(scaled).alias("high"))).scalar()
+    share = F.try_divide(scaled - ends.getField("low"), ends.getField("high") - ends.getField("low"))
+    place = F.least(F.coalesce(F.floor(share * BINS), F.lit(0)), F.lit(BINS - 1)).cast("int")
+    bin_of = F.when(F.col(column).isNull(), F.lit(-1)).otherwise(place).alias("_bin")
+    bins = df.groupBy(bin_of).agg(
+        F.count(F.lit(1)).alias("_size"), F.min(column).eqNullSafe(F.max(column)).alias("_single"))
+    higher = W.orderBy(F.desc("_bin")).rowsBetween(W.unboundedPreceding, -1)
+    bins = bins.select("_bin", "_single", F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_above"))
+    spread = F.when(F.col("_single"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(BINS)))
+    inside = F.rank().over(W.partitionBy("_bin", "_spread").orderBy(F.col(column).desc_nulls_last()))
+    return rows.select("*", bin_of).join(F.broadcast(bins), "_bin").withColumn("_spread", spread).select(
+        *rows.columns, (F.col("_above") + inside).cast("bigint").alias(name))
 
 
 def ordered(df: DataFrame, *keys: str) -> DataFrame:

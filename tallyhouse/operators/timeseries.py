@@ -5,8 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
-from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import period_end, period_start, quarter_of, safe_ratio
@@ -15,25 +13,19 @@ from tallyhouse.functions import period_end, period_start, quarter_of, safe_rati
 Period = tuple[date, date]
 
 
-def _calendar() -> WindowSpec:
-    """All rows of a frame that has at most one row per period of the calendar and group."""
-    return W.partitionBy()
-
-
 def history(sales: DataFrame, group: str, frequency: str = "month", value: str = "line_revenue",
             name: str = "month", complete: bool = False) -> DataFrame:
     """Revenue per period and group, the first day of the period as ``name``.
 
     With ``complete`` only periods that end no later than the newest sale of all groups are returned, so
-    an unfinished last period does not look like a slump. The newest day is taken from the sums, which
-    have one row per period and group, so the sales are read once.
+    an unfinished last period does not look like a slump. The newest day is a maximum over the sums, whose
+    shuffle the two share, so the sales are read once and no task sees all groups.
     """
     day = F.col("order_date")
     sums = sales.groupBy(period_start(day, frequency).alias(name), group).agg(
         F.sum(value).alias("revenue"), F.max(day).alias("_day"))
     if complete:
-        sums = sums.withColumn("_newest", F.max("_day").over(_calendar())).filter(
-            period_end(F.col(name), frequency) <= F.col("_newest"))
+        sums = sums.filter(period_end(F.col(name), frequency) <= sums.agg(F.max("_day")).scalar())
     return sums.select(name, group, "revenue")
 
 
@@ -73,9 +65,8 @@ def seasonality_index(sales: DataFrame, quarter: int = 4, by: str = "category")
     day, start = F.col("order_date"), F.col("_quarter")
     quarters = sales.groupBy(by, quarter_of(day).alias("_quarter")).agg(
         F.sum("line_revenue").alias("_revenue"), F.min(day).alias("_first"), F.max(day).alias("_last"))
-    full = quarters.withColumns({
-        "_from": F.min("_first").over(_calendar()), "_to": F.max("_last").over(_calendar()),
-    }).filter((start >= F.col("_from")) & (period_end(start, "quarter") <= F.col("_to")))
+    first, last = quarters.agg(F.min("_first")).scalar(), quarters.agg(F.max("_last")).scalar()
+    full = quarters.filter((start >= first) & (period_end(start, "quarter") <= last))
     wanted = F.when(F.quarter("_quarter") == quarter, F.col("_revenue"))
     return full.groupBy(by).agg(
         F.sum(wanted).alias("_in"), F.count(wanted).alias("_n_in"),

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tallyhouse.functions import line_cost, month_of, safe_ratio
 
@@ -26,11 +27,34 @@ class Ratio:
     scale: int = 1
 
 
+@dataclass(frozen=True)
+class Total:
+    """A sum, which may be added up further where it is stored."""
+
+    of: Column
+
+
+@dataclass(frozen=True)
+class Mean:
+    """An average, which is stored as a sum and a count."""
+
+    of: Column
+
+
+@dataclass(frozen=True)
+class _StoredMean:
+    total: Column
+    count: Column
+    kind: DataType
+
+
 @dataclass(frozen=True)
 class MetricView:
+    """Measures are sums, averages, ratios of other measures, or any aggregate, which then is not stored."""
+
     source: DataFrame
     dimensions: Mapping[str, Column]
-    measures: Mapping[str, Column | Ratio]
+    measures: Mapping[str, Column | Total | Mean | Ratio]
     formats: Mapping[str, str] = field(default_factory=dict)
 
     def _base_measures(self, wanted: Sequence[str]) -> list[str]:
@@ -42,6 +66,16 @@ class MetricView:
             names.update(dict.fromkeys(parts))
         return list(names)
 
+    def _aggregate(self, name: str) -> Column:
+        measure = self.measures[name]
+        if isinstance(measure, Total):
+            return F.sum(measure.of)
+        if isinstance(measure, Mean):
+            return F.avg(measure.of)
+        if isinstance(measure, _StoredMean):
+            return F.try_divide(F.sum(measure.total), F.sum(measure.count)).cast(measure.kind)
+        return measure
+
     def _value(self, name: str) -> Column:
         measure = self.measures[name]
         if isinstance(measure, Ratio):
@@ -72,7 +106,7 @@ class MetricView:
         elif where is not None:
             rows = rows.filter(where)
         groups = [self.dimensions[name].alias(name) for name in by]
-        sums = [self.measures[name].alias(name) for name in self._base_measures(measures)]
+        sums = [self._aggregate(name).alias(name) for name in self._base_measures(measures)]
         keys = [F.col(f"`{name}`") for name in by]
         result = rows.groupBy(*groups).agg(*sums).select(
             *keys, *[self._value(name).alias(name) for name in measures])
@@ -91,6 +125,65 @@ class MetricView:
         return flat.toDF(*[name.replace(" ", "_") for name in flat.columns])
 
 
+    def stored_grain(self, by: Sequence[str]) -> DataFrame:
+        """Sums and counts at the grain of some dimensions, from which ``answered_from`` makes coarser answers.
+
+        Names have underscores, as in the flat view. Measures that cannot be aggregated again are left out.
+        """
+        parts = []
+        for name, measure in self.measures.items():
+            if isinstance(measure, Total):
+                parts.append(F.sum(measure.of).alias(_stored(name)))
+            elif isinstance(measure, Mean):
+                parts += [F.sum(measure.of).alias(_stored(name, "sum")), F.count(measure.of).alias(_stored(name, "count"))]
+        return self.source.groupBy(*[self.dimensions[d].alias(_stored(d)) for d in by]).agg(*parts)
+
+    def answered_from(self, stored: DataFrame) -> MetricView:
+        """The same view over a frame that ``stored_grain`` made, with the dimensions and measures it has."""
+        def again(name: str, measure):
+            if isinstance(measure, Total) and _stored(name) in stored.columns:
+                return Total(F.col(_stored(name)))
+            if isinstance(measure, Mean) and _stored(name, "sum") in stored.columns:
+                kind = self.source.agg(F.avg(measure.of).alias("m")).schema["m"].dataType
+                return _StoredMean(F.col(_stored(name, "sum")), F.col(_stored(name, "count")), kind)
+            return measure if isinstance(measure, Ratio) else None
+
+        kept = {name: m for name, measure in self.measures.items() if (m := again(name, measure)) is not None}
+        whole = {name: m for name, m in kept.items()
+                 if not isinstance(m, Ratio) or (m.numerator in kept and m.denominator in kept)}
+        return MetricView(stored, {d: F.col(_stored(d)) for d in self.dimensions if _stored(d) in stored.columns},
+                          whole, self.formats)
+
+
+def _stored(name: str, part: str = "") -> str:
+    return "_".join([name, part] if part else [name]).replace(" ", "_")
+
+
+@dataclass(frozen=True)
+class RoutedView:
+    """A metric view with stored grains of it; a query goes to the first that can answer it, else to the source.
+
+    The grains are given from the smallest up. One can answer if it has all dimensions of the groups and of the
+    condition, and all measures, in a form that may be aggregated again; a condition on source columns goes to
+    the source.
+    """
+
+    view: MetricView
+    grains: Sequence[MetricView]
+
+    def route(self, measures: Sequence[str], by: Sequence[str] = (),
+              where: Mapping[str, object] | Column | None = None) -> MetricView:
+        if where is not None and not isinstance(where, Mapping):
+            return self.view
+        dimensions = {*by, *(where or ())}
+        return next((g for g in self.grains if dimensions <= set(g.dimensions) and set(measures) <= set(g.measures)),
+                    self.view)
+
+    def query(self, measures: Sequence[str], by: Sequence[str] = (),
+              where: Mapping[str, object] | Column | None = None, **options) -> DataFrame:
+        return self.route(measures, by, where).query(measures, by, where, **options)
+
+
 def _matches(dimension: Column, wanted: object) -> Column:
     if isinstance(wanted, tuple):
         return dimension.between(F.lit(wanted[0]), F.lit(wanted[1]))
@@ -117,12 +210,12 @@ def sales_metrics(sales: DataFrame) -> MetricView:
             "Order Month": month_of(F.col("order_date")),
         },
         measures={
-            "Total Revenue": F.sum("line_revenue"),
-            "Total Cost": F.sum(line_cost()),
-            "Total Profit": F.sum("line_profit"),
+            "Total Revenue": Total(F.col("line_revenue")),
+            "Total Cost": Total(line_cost()),
+            "Total Profit": Total(F.col("line_profit")),
             "Profit Margin Pct": Ratio("Total Profit", "Total Revenue", 100),
-            "Units Sold": F.sum("quantity"),
-            "Avg Order Line Value": F.avg("line_revenue"),
+            "Units Sold": Total(F.col("quantity")),
+            "Avg Order Line Value": Mean(F.col("line_revenue")),
         },
         formats={"Total Revenue": "USD", "Total Cost": "USD", "Total Profit": "USD"},
     )
@@ -133,10 +226,10 @@ def marketing_metrics(marketing: DataFrame) -> MetricView:
         source=marketing,
         dimensions={"Category": F.col("category"), "Marketing Channel": F.col("channel")},
         measures={
-            "Marketing Spend": F.sum("spend_usd"),
-            "Attributed Revenue": F.sum("attributed_revenue_usd"),
+            "Marketing Spend": Total(F.col("spend_usd")),
+            "Attributed Revenue": Total(F.col("attributed_revenue_usd")),
             "Marketing ROI": Ratio("Attributed Revenue", "Marketing Spend"),
-            "Conversions": F.sum("conversions"),
+            "Conversions": Total(F.col("conversions")),
         },
         formats={"Marketing Spend": "USD", "Attributed Revenue": "USD"},
     )

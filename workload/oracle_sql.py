@@ -240,6 +240,16 @@ SELECT order_date, category, {amount('SUM(line_revenue)')} AS daily_revenue, {am
        {whole('SUM(quantity)')} AS daily_units, {whole('COUNT(DISTINCT order_id)')} AS orders
 FROM sales WHERE order_date NOT BETWEEN DATE '2001-06-05' AND DATE '2001-06-25' GROUP BY order_date, category""")
 
+add("sales_of_heavy_keys", f"""
+SELECT order_id, product_id, o.customer_id, d.category, quantity, {amount('quantity * unit_price', 4)} AS line_revenue
+FROM (SELECT CASE WHEN order_id % 3 = 0 THEN 3 ELSE order_id END AS order_id,
+             CASE WHEN order_id % 3 = 1 THEN 7 ELSE product_id END AS product_id, quantity, unit_price
+      FROM fact_order_items) JOIN fact_orders o USING (order_id) JOIN dim_product d USING (product_id)""")
+
+add("product_history", f"""
+SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, product_id, {amount('SUM(line_revenue)')} AS revenue
+FROM sales GROUP BY 1, product_id HAVING last_day(month) <= (SELECT MAX(order_date) FROM sales)""")
+
 LEFT_OVER = """
 left_over AS (
   SELECT * FROM sales WHERE order_date NOT BETWEEN DATE '2001-06-05' AND DATE '2001-06-25' AND order_date < DATE '2001-07-01')"""
@@ -419,6 +429,9 @@ add("metrics_sales_sliced", metrics(["Subcategory"], where="""
 WHERE category IN ('LARGE', 'SMALL') AND channel = '5-LOW'
   AND order_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31'""")
     + ' ORDER BY "Total Profit" DESC, "Subcategory" LIMIT 3')
+add("metrics_routed_by_category", metrics(["Category"], where="""
+WHERE channel IN ('5-LOW', '2-HIGH') AND order_date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'"""))
+add("metrics_routed_by_subcategory", metrics(["Subcategory"], where="WHERE channel = '5-LOW'"))
 add("metrics_overall", metrics([]))
 
 MARKETING_MEASURES = f"""

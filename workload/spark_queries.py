@@ -19,7 +19,7 @@ from tallyhouse.functions import money
 from tallyhouse.operators import decision, filters, forecast, gold, kpis, quality, silver, states, timeseries
 from tallyhouse.operators.ranking import ordered, rank_by, rank_in_ranges, top_n
 from tallyhouse.plans.lineage import cut_lineage, scratch_path
-from tallyhouse.plans.metrics import drill_across, marketing_metrics, sales_metrics
+from tallyhouse.plans.metrics import RoutedView, drill_across, marketing_metrics, sales_metrics
 from tallyhouse.plans.refresh import MONTH, Schemas, refresh
 from tallyhouse.sources import files, incremental, ingest, star, tables
 from tallyhouse.sources.merged import MergedTable
@@ -347,6 +347,24 @@ def sales_without_status(s: Star) -> DataFrame:
     return gold.status_counts(silver.build_sales(s.items, orders, s.products))
 
 
+@query
+def sales_of_heavy_keys(s: Star) -> DataFrame:
+    """Sales when a third of all lines belong to one order and another third are of one product."""
+    hot = F.col("order_id") % 3
+    items = s.items.withColumns({
+        "order_id": F.when(hot == 0, F.lit(3)).otherwise(F.col("order_id")),
+        "product_id": F.when(hot == 1, F.lit(7)).otherwise(F.col("product_id"))})
+    return silver.build_sales_evenly(items, s.orders.withColumn("order_status", F.lit("COMPLETED")), s.products).select(
+        "order_id", "product_id", "customer_id", "category", "quantity", "line_revenue")
+
+
+@query
+def product_history(s: Star) -> DataFrame:
+    """Complete months of every product."""
+    history = timeseries.history(s.sales, "product_id", complete=True)
+    return history.withColumn("revenue", money(F.col("revenue")))
+
+
 @query
 def order_lines(s: Star) -> DataFrame:
     """Lines of every status, with their cost."""
@@ -379,13 +397,13 @@ def spring_orders(s: Star) -> DataFrame:
 
 @query
 def last_90_days(s: Star) -> DataFrame:
-    return filters.last_n_days(gold.build_daily_revenue(s.sales), "order_date", 90, totals=True)
+    return filters.last_n_days(gold.build_daily_revenue(s.sales), "order_date", 90)
 
 
 @query
 def last_6_months(s: Star) -> DataFrame:
     """Monthly revenue of the last six calendar months."""
-    history = filters.last_n_months(timeseries.monthly_history(s.sales), "month", 6, totals=True)
+    history = filters.last_n_months(timeseries.monthly_history(s.sales), "month", 6)
     return history.withColumn("revenue", money(F.col("revenue")))
 
 
@@ -453,26 +471,21 @@ def kpi_segment(s: Star) -> DataFrame:
     return kpis.kpi_by_customer(s.sales, s.customers, ["customer_segment"])
 
 
-def _category_totals(s: Star) -> DataFrame:
-    """Sales by category, stored once: a rank reads its frame several times."""
-    return cut_lineage(gold.compact_sales(s.sales, "category"))
-
-
 @query
 def rank_categories(s: Star) -> DataFrame:
-    return kpis.rank_categories(_category_totals(s)).select("category", "total_profit", "rank")
+    return kpis.rank_categories(s.sales).select("category", "total_profit", "rank")
 
 
 @query
 def rank_disagreement(s: Star) -> DataFrame:
-    return kpis.rank_disagreement(_category_totals(s))
+    return kpis.rank_disagreement(s.sales)
 
 
 @query
 def rank_customers(s: Star) -> DataFrame:
     """Every customer ranked by units, by value ranges instead of one sorted task."""
     units = s.sales.groupBy("customer_id").agg(F.sum("quantity").alias("units"))
-    return rank_in_ranges(cut_lineage(units), "units", "units_rank")
+    return rank_in_ranges(units, "units", "units_rank")
 
 
 @query
@@ -619,6 +632,28 @@ def metrics_sales_sliced(s: Star) -> DataFrame:
                "Order Date": (date(1999, 1, 1), date(1999, 12, 31))})
 
 
+def _routed(s: Star, by: list[str], **options) -> DataFrame:
+    """The same measures through a stored grain of category, channel and month where that can answer."""
+    view = sales_metrics(s.sales)
+    path = scratch_path(s.spark, "metrics")
+    view.stored_grain(["Category", "Channel", "Order Month"]).write.parquet(path)
+    routed = RoutedView(view, [view.answered_from(s.spark.read.parquet(path))])
+    result = _rounded(routed.query(SALES_MEASURES, by=by, **options), 2, "Total Revenue", "Total Cost", "Total Profit")
+    return _rounded(result, 4, "Profit Margin Pct", "Avg Order Line Value")
+
+
+@query
+def metrics_routed_by_category(s: Star) -> DataFrame:
+    """Answered from the stored grain, with a condition on another dimension of it."""
+    return _routed(s, ["Category"], where={"Channel": ["5-LOW", "2-HIGH"], "Order Month": (date(1997, 1, 1), date(1999, 12, 1))})
+
+
+@query
+def metrics_routed_by_subcategory(s: Star) -> DataFrame:
+    """The stored grain has no subcategories, so this goes to the lines."""
+    return _routed(s, ["Subcategory"], where={"Channel": "5-LOW"})
+
+
 @query
 def metrics_overall(s: Star) -> DataFrame:
     return _sales_metrics(s, [])
