@@ -5,7 +5,9 @@ of ``m`` characters that stands in a document with at most ``k`` edits shares at
 q-grams with it, and the places of those lie on diagonals (place in the document less place in the passage)
 that differ by ``k`` at most. So the shared q-grams are counted in bands of ``2 * (k + 1)`` diagonals that
 overlap by half; one band holds all of an occurrence. Bands that reach the bound are aligned, over the band's
-own diagonals widened by ``k`` on both sides, and stay if the edit distance is within ``k``.
+own diagonals widened by ``k`` on both sides, and stay if the edit distance is within ``k``. Bands that meet, as
+where a passage repeats one character, are aligned as one. Hits are counted in parts of ``HITS``, so texts and
+passages that share very many of them take time and no more memory.
 
 The budget ``k`` is ``edit_rate`` times the passage's length, and less for short passages, so that the bound
 is one at least. Passages shorter than ``q`` are found where they stand literally; empty ones nowhere.
@@ -28,6 +30,7 @@ from tallyhouse.llm.text import Block, blocks, gram_hash
 Q = 10
 EDIT_RATE = 0.08
 BLOCK_CHARACTERS = 4_000_000
+HITS = 1 << 20
 _FILTER_BITS = 22
 
 
@@ -86,30 +89,41 @@ class Passages:
         return cls([c for c, _ in found.values()], [i for _, i in found.values()], q, edit_rate)
 
 
-def _aligned(passage: np.ndarray, text: np.ndarray, low: int, high: int, budget: int,
-             free_start: bool) -> tuple[int, int]:
-    """Least edits between the passage and a part of ``text``, over diagonals ``low`` to ``high``; and the
-    end of that part, the earliest at a tie. The part begins anywhere, or at 0 if ``free_start`` is false.
-    Gives up, with more edits than the budget, where no beginning of the passage is within the budget."""
+_NEVER = np.int64(1 << 40)
+
+
+def _edits_by_end(passage: np.ndarray, text: np.ndarray, low: int, high: int, budget: int,
+                  free_start: bool) -> np.ndarray:
+    """Least edits between the passage and a part of ``text``, for each end that part may have: entry ``i`` is
+    for the end ``low + len(passage) + i``, over diagonals ``low`` to ``high``. The part begins anywhere, or
+    at 0 if ``free_start`` is false. Gives up where no beginning of the passage is within the budget."""
     width, n = high - low + 1, len(text)
-    never = np.int64(1 << 40)
     offsets = np.arange(width)
     ends = low + offsets
-    row = np.where((ends >= 0) & (ends <= n), 0 if free_start else ends, never)
+    row = np.where((ends >= 0) & (ends <= n), 0 if free_start else ends, _NEVER)
     for i in range(1, len(passage) + 1):
         ends = low + i + offsets
         inside = (ends >= 0) & (ends <= n)
         letters = text[np.clip(ends - 1, 0, n - 1)] if n else np.zeros(width, np.uint32)
         step = row + (letters != passage[i - 1])
-        step[(ends < 1) | ~inside] = never
-        skip = np.append(row[1:], never) + 1
-        row = np.where(inside, np.minimum(step, skip), never)
+        step[(ends < 1) | ~inside] = _NEVER
+        skip = np.append(row[1:], _NEVER) + 1
+        row = np.where(inside, np.minimum(step, skip), _NEVER)
         row = np.minimum(row, np.minimum.accumulate(row - offsets) + offsets)
-        row[~inside] = never
+        row[~inside] = _NEVER
         if i % 8 == 0 and row.min() > budget:
-            return int(never), 0
-    best = int(np.argmin(row))
-    return int(row[best]), int(low + len(passage) + best)
+            return np.full(width, _NEVER)
+    return row
+
+
+def _start(passage: np.ndarray, text: np.ndarray, end: int, edits: int, budget: int) -> int:
+    """Where the part begins that has these edits and ends there; of several the one nearest to the end."""
+    if edits == 0:
+        return end - len(passage)
+    # Backwards from the end, as far as the budget lets the part be longer than the passage.
+    first = max(0, end - len(passage) - budget)
+    back = _edits_by_end(passage[::-1], text[first:end][::-1], -budget, budget, budget, False)
+    return end - (len(passage) - budget + int(np.argmin(back)))
 
 
 def _literal_start(passage: np.ndarray, text: np.ndarray) -> int:
@@ -120,18 +134,30 @@ def _literal_start(passage: np.ndarray, text: np.ndarray) -> int:
     return at // 4 if at >= 0 else -1
 
 
-def verify(passage: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
-    """Edits, start and end of the best occurrence with its diagonals within ``budget`` of ``low``..``high``."""
+def occurrences(passage: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> list[tuple[int, int, int]]:
+    """Edits, start and end of the occurrences with their diagonals within ``budget`` of ``low``..``high``.
+
+    They do not overlap: the one with the fewest edits counts, and of those the one that ends first.
+    """
     low, high = low - budget, high + budget
-    same = _literal_start(passage, text)
-    if same >= 0 and low <= same <= high:
-        return 0, same, same + len(passage)
-    edits, end = _aligned(passage, text, low, high, budget, True)
-    if edits > budget:
-        return None
-    # Backwards from the end: where the part of the same cost begins.
-    again, length = _aligned(passage[::-1], text[:end][::-1], -budget, budget, budget, False)
-    return edits, end - length, end
+    if high - low < len(passage) - 2 * budget:
+        # Two that lie apart do not fit in.
+        same = _literal_start(passage, text)
+        if same >= 0 and low <= same <= high:
+            return [(0, same, same + len(passage))]
+    cost = _edits_by_end(passage, text, low, high, budget, True)
+    within = np.flatnonzero(cost <= budget)
+    ends, cost = low + len(passage) + within, cost[within]
+    free, out = np.ones(len(text) + 1, bool), []
+    for end, edits in zip(*(x[np.lexsort((ends, cost))].tolist() for x in (ends, cost))):
+        # All that ends here holds this much.
+        if not free[max(0, end - len(passage) + budget):end].all():
+            continue
+        start = _start(passage, text, end, edits, budget)
+        if free[start:end].all():
+            free[start:end] = False
+            out.append((edits, start, end))
+    return out
 
 
 def find_in_block(block: Block, wanted: Passages) -> list[tuple[int, int, int, int, int, int]]:
@@ -156,55 +182,85 @@ def find_in_block(block: Block, wanted: Passages) -> list[tuple[int, int, int, i
     for d, p, low, high, shared in bands:
         passage, text, budget = wanted.codes[p], codes[begin[d]:begin[d + 1]], int(wanted.budget[p])
         around = max(0, low - 2 * budget)
-        result = verify(passage, text[around:high + len(passage) + 2 * budget + 1], low - around, high - around, budget)
-        if result is not None:
-            edits, a, b = result
+        near = text[around:high + len(passage) + 2 * budget + 1]
+        for edits, a, b in occurrences(passage, near, low - around, high - around, budget):
             found.setdefault((d, p), []).append((edits, a + around, b + around, shared))
     out = []
     for (d, p), places in found.items():
-        taken = []
+        base, free = begin[d], np.ones(begin[d + 1] - begin[d] + 1, bool)
         for edits, a, b, shared in sorted(places):
-            if all(b <= c or a >= e for c, e in taken):
-                taken.append((a, b))
-                base = begin[d]
+            if free[a:b].all():
+                free[a:b] = False
                 out.append((d, p, edits, int(at[base + a] - first[d]),
                             int(at[base + b - 1] + 1 - first[d]) if b > a else int(at[base + a] - first[d]), shared))
     return sorted(out)
 
 
-def _bands(codes, doc, begin, wanted: Passages):
-    """(document, passage, lowest and highest diagonal, shared q-grams) of the bands that reach the bound."""
+def _sums(pair: np.ndarray, band: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct bands of pairs, in order, with the sum of ``n``."""
+    order = np.lexsort((band, pair))
+    pair, band, n = pair[order], band[order], n[order]
+    first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (band[1:] != band[:-1]))) if len(pair) else order
+    return pair[first], band[first], np.add.reduceat(n, first) if len(pair) else n
+
+
+def _hits(codes, doc, begin, wanted: Passages):
+    """Shared q-grams as (passage, document, diagonal) arrays of some ``HITS`` entries each."""
     hashes = gram_hash(codes, wanted.q)
     if not len(hashes) or not len(wanted.hashes):
-        return []
+        return
     place = np.flatnonzero(wanted.seen[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
     which = np.searchsorted(wanted.hashes, hashes[place])
     which[which == len(wanted.hashes)] = 0
     equal = (wanted.hashes[which] == hashes[place]) & (doc[place] == doc[place + wanted.q - 1])
     place, which = place[equal], which[equal]
     many = wanted.first[which + 1] - wanted.first[which]
-    entry = np.repeat(wanted.first[which] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-    place = np.repeat(place, many)
-    passage, own = wanted.passage[entry], doc[place]
-    diagonal = place - begin[own] - wanted.place[entry]
-    step = wanted.budget[passage] + 1
-    band = diagonal // step
-    # A hit counts in the band that begins with its step and in the one before.
-    offset = np.int64(1 << 20)
-    pair = passage * np.int64(len(begin)) + own
-    pair, band = np.concatenate([pair, pair]), np.concatenate([band, band - 1])
-    slot = ((pair * np.int64(0x2545F4914F6CDD1D) + band * np.int64(0x5851F42D4C957F2D)) >> np.int64(44)) & np.int64((1 << 20) - 1)
-    bound = wanted.bound[np.concatenate([passage, passage])]
-    near = np.bincount(slot, minlength=1 << 20)[slot] >= bound
-    # Pairs are numbered as they occur, so that a number fits beside the band however many there could be.
-    pairs, number = np.unique(pair[near], return_inverse=True)
-    key, shared = np.unique((number << np.int64(34)) + band[near] + offset, return_counts=True)
-    band, pair = (key & np.int64((1 << 34) - 1)) - offset, pairs[key >> np.int64(34)]
-    own, passage = pair % len(begin), pair // len(begin)
-    enough = shared >= wanted.bound[passage]
-    step = wanted.budget[passage] + 1
-    return [(int(d), int(p), int(b * s), int((b + 2) * s - 1), int(n)) for d, p, b, s, n in zip(
-        own[enough], passage[enough], band[enough], step[enough], shared[enough])]
+    upto = np.cumsum(many)
+    cuts = np.searchsorted(upto, np.arange(HITS, upto[-1] + HITS, HITS)) + 1 if len(upto) else ()
+    for a, b in zip(np.concatenate([[0], cuts[:-1]]).astype(np.int64) if len(cuts) else (), cuts):
+        m = many[a:b]
+        entry = np.repeat(wanted.first[which[a:b]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        at = np.repeat(place[a:b], m)
+        own = doc[at]
+        yield wanted.passage[entry], own, at - begin[own] - wanted.place[entry]
+
+
+def _bands(codes, doc, begin, wanted: Passages):
+    """(document, passage, lowest and highest diagonal, shared q-grams) of the bands that reach the bound.
+
+    Bands that meet are one; the number of shared q-grams is the largest of any of them.
+    """
+    def placed():
+        for passage, own, diagonal in _hits(codes, doc, begin, wanted):
+            band = diagonal // (wanted.budget[passage] + 1)
+            # A hit counts in the band that begins with its step and in the one before.
+            pair = passage * np.int64(len(begin)) + own
+            pair, band = np.concatenate([pair, pair]), np.concatenate([band, band - 1])
+            slot = ((pair * np.int64(0x2545F4914F6CDD1D) + band * np.int64(0x5851F42D4C957F2D)) >> np.int64(44)) \
+                & np.int64((1 << 20) - 1)
+            yield pair, band, slot
+
+    in_slot = np.zeros(1 << 20, np.int64)
+    for *_, slot in placed():
+        in_slot += np.bincount(slot, minlength=1 << 20)
+    empty = np.zeros(0, np.int64)
+    counted = (empty, empty, empty)
+    for pair, band, slot in placed():
+        near = in_slot[slot] >= wanted.bound[pair // len(begin)]
+        part = _sums(pair[near], band[near], np.ones(near.sum(), np.int64))
+        counted = tuple(np.concatenate(c) for c in zip(counted, part)) if len(counted[0]) else part
+        if len(counted[0]) > 4 * HITS:
+            counted = _sums(*counted)
+    pair, band, shared = _sums(*counted)
+    enough = shared >= wanted.bound[pair // len(begin)]
+    pair, band, shared = pair[enough], band[enough], shared[enough]
+    if not len(pair):
+        return []
+    first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (band[1:] - band[:-1] > 2)))
+    passage, own = pair[first] // len(begin), pair[first] % len(begin)
+    step, last = wanted.budget[passage] + 1, np.append(first[1:], len(pair)) - 1
+    return [(int(d), int(p), int(a * s), int((b + 2) * s - 1), int(n)) for d, p, a, b, s, n in zip(
+        own, passage, band[first], band[last], step, np.maximum.reduceat(shared, first))]
 
 
 def _literal(codes, doc, begin, passage, p):
@@ -236,7 +292,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     """One row per occurrence of an item in a document; documents without any have no row.
 
     Columns: the two ids, ``edits``, ``start`` and ``stop`` (characters of the document) and
-    ``shared_grams``. Null texts and items without id hold nothing; repeated rows of documents each count,
+    ``shared_grams`` (the most that a band of the occurrence has). Null texts and items without id hold nothing; repeated rows of documents each count,
     repeated items once. Other columns are left out.
     """
     spark = docs.sparkSession
@@ -268,7 +324,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id",
                  item_text: str = "text", q: int = Q, edit_rate: float = EDIT_RATE) -> DataFrame:
-    """The rows of ``docs`` whose text holds no passage of the benchmark, with all their columns."""
+    """The rows of ``docs`` whose text holds no passage of the benchmark, with all their columns.
+
+    Null and empty texts hold none and stay, repeated rows are judged each on its own, and whatever the names of
+    the columns are they stay as they are. An empty benchmark keeps all rows, an empty table has none.
+    """
     def keep(held):
         def run(batches):
             wanted = held.value

@@ -3,7 +3,8 @@ import pytest
 SMALL = "/root/testdata/sf0.001"
 TABLES = "/root/testdata/sf0.01"
 # Columns whose names the operators use themselves.
-CLASHES = "id key n kind bucket start size mark token tokens score label asked pivot piece copies slot value".split()
+CLASHES = ("id key n kind bucket start size mark token tokens score label asked pivot piece copies slot value "
+           "__id __key __spans own_id own_key own_id_ own_spans hash fp cell word form rank number block").split()
 
 
 @pytest.fixture(scope="session")

@@ -251,3 +251,44 @@ def test_many_passages_and_many_documents_in_a_block():
     found = decontaminate.find_in_block(as_block(pa.array(texts)), wanted)
     assert {(1_000_000, 599, 0, 7, 7 + len(items[599][1])), (1_000_001, 3, 0, 7, 7 + len(items[3][1]))} <= {
         (d, p, edits, a, b) for d, p, edits, a, b, _ in found}
+
+
+def test_many_equal_hits_are_counted_in_parts(monkeypatch):
+    """A table rule in every item against a long rule: all hits of one gram, and all occurrences side by side."""
+    rule, text = "-" * 40, "-" * 3000
+    items = [(i, f"{rule}{'+' * i}") for i in range(4)]
+    texts = [text, f"a | b\n{rule}\nc", "-=" * 400, f"{rule[:-2]}x{rule}y{rule}"]
+    monkeypatch.setattr(decontaminate, "HITS", 5000)
+    wanted = decontaminate.Passages.of(items)
+    found = decontaminate.find_in_block(as_block(pa.array(texts)), wanted)
+    places = [(a, b) for d, p, edits_, a, b, _ in found if (d, p, edits_) == (0, 0, 0)]
+    assert places == [(i, i + 40) for i in range(0, 3000, 40)]
+    for d, p, edits_, a, b, _ in found:
+        assert edits("".join(map(chr, wanted.codes[p])), plain(texts[d][a:b])) == edits_ <= wanted.budget[p]
+    for p, codes in enumerate(wanted.codes):
+        for d, t in enumerate(texts):
+            holds = least_edits("".join(map(chr, codes)), plain(t)) <= wanted.budget[p]
+            assert holds == any((x, y) == (d, p) for x, y, *_ in found)
+    by_pair = {}
+    for d, p, _, a, b, _ in found:
+        by_pair.setdefault((d, p), []).append((a, b))
+    for spans in by_pair.values():
+        spans.sort()
+        assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_parts_of_hits_give_the_same_leaks(monkeypatch):
+    draw = random.Random(12)
+    items = [(i, "".join(draw.choices("ab c", k=draw.randrange(12, 120)))) for i in range(25)]
+    texts = ["".join(draw.choices("ab c", k=200)) + draw.choice(items)[1][:100] + "".join(draw.choices("ab c", k=50))
+             for _ in range(15)]
+    wanted, block = decontaminate.Passages.of(items), as_block(pa.array(texts))
+    whole = decontaminate.find_in_block(block, wanted)
+    monkeypatch.setattr(decontaminate, "HITS", 97)
+    assert decontaminate.find_in_block(block, wanted) == whole != []
+    for d, p, edits_, a, b, _ in whole:
+        assert edits("".join(map(chr, wanted.codes[p])), plain(texts[d][a:b])) == edits_ <= wanted.budget[p]
+    for d, t in enumerate(texts):
+        for p, codes in enumerate(wanted.codes):
+            if least_edits("".join(map(chr, codes)), plain(t)) <= wanted.budget[p]:
+                assert any((x, y) == (d, p) for x, y, *_ in whole)
