@@ -12,14 +12,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import blocks
+from tallyhouse.llm.text import blocks, stored
 from tallyhouse.llm.token_files import load_file_encoder
 
 LENGTHS_PER_BLOCK = 64
 
 
 def encoded_lengths(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Number of ids of every whole text, without special tokens; a null text has none."""
+    """One row per row of ``docs``: its id and the number of ids of its whole text, without special tokens.
+
+    A null or empty text has none. Repeated rows and shared or null ids stay as they are, other columns are
+    left out, whatever their names, and an empty table gives no rows.
+    """
     id_type = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
