@@ -42,7 +42,11 @@ def with_orders(product_lines: DataFrame, orders: DataFrame) -> DataFrame:
     is marked for broadcast, since products and orders grow with the data; Spark broadcasts a side
     whose measured size allows it and otherwise splits the partitions of a hot product or order.
     """
-    joined = product_lines.join(orders, "order_id")
+    return with_amounts(product_lines.join(orders, "order_id"))
+
+
+def with_amounts(joined: DataFrame) -> DataFrame:
+    """Lines that carry the columns of their order and their product, with the amounts of the line."""
     return with_line_profit(with_line_revenue(joined.select(*SALES_COLUMNS)))
 
 
@@ -73,8 +77,7 @@ def build_sales_evenly(items: DataFrame, orders: DataFrame, products: DataFrame,
     it costs two more counts, so it is not the default.
     """
     product_lines = spread_join(items, products, "product_id", parts)
-    joined = spread_join(product_lines, exclude_status(orders, CANCELLED), "order_id", parts)
-    return with_line_profit(with_line_revenue(joined.select(*SALES_COLUMNS)))
+    return with_amounts(spread_join(product_lines, exclude_status(orders, CANCELLED), "order_id", parts))
 
 
 def sales_with_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:

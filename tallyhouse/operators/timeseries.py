@@ -65,8 +65,9 @@ def seasonality_index(sales: DataFrame, quarter: int = 4, by: str = "category")
     day, start = F.col("order_date"), F.col("_quarter")
     quarters = sales.groupBy(by, quarter_of(day).alias("_quarter")).agg(
         F.sum("line_revenue").alias("_revenue"), F.min(day).alias("_first"), F.max(day).alias("_last"))
-    first, last = quarters.agg(F.min("_first")).scalar(), quarters.agg(F.max("_last")).scalar()
-    full = quarters.filter((start >= first) & (period_end(start, "quarter") <= last))
+    span = quarters.agg(F.struct(F.min("_first").alias("first"), F.max("_last").alias("last"))).scalar()
+    full = quarters.withColumn("_span", span).filter(
+        (start >= F.col("_span.first")) & (period_end(start, "quarter") <= F.col("_span.last")))
     wanted = F.when(F.quarter("_quarter") == quarter, F.col("_revenue"))
     return full.groupBy(by).agg(
         F.sum(wanted).alias("_in"), F.count(wanted).alias("_n_in"),

@@ -33,6 +33,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark's file systems give it, as a URI that other readers take as well.
+
+    A path without scheme lies in Spark's default file system, wherever that is.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and "://" not in whole else whole
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that Spark writes to; one that is not there is no error."""
     path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.filters import exclude_status
-from tallyhouse.operators.silver import CANCELLED, build_marketing, with_orders
+from tallyhouse.operators.silver import CANCELLED, build_marketing, with_amounts, with_orders
 from tallyhouse.operators.timeseries import monthly_history, recent_average
 
 
@@ -120,25 +120,34 @@ class Star:
         return self._orders()
 
     @property
-    def product_lines(self) -> DataFrame:
-        """Lines with their product, priced from the same part row; the source has no item key.
+    def _raw_lines(self) -> DataFrame:
+        """Keys, quantity and discount of the lines, all that a join by order has to carry.
 
-        Prices become DECIMAL once per part and discounts through whole percents, since a cast from
-        DOUBLE to DECIMAL goes through text and would dominate a scan of the lines. Prices have ten
-        digits, so that amounts of a line fit into a long.
+        Discounts become DECIMAL through whole percents, since a cast from DOUBLE to DECIMAL goes through text
+        and would dominate a scan of the lines.
         """
-        parts = self.products.selectExpr(
-            "*", "CAST(list_price AS DECIMAL(8,2)) AS price")
-        lines = self.table("lineitem").selectExpr(
+        return self.table("lineitem").selectExpr(
             "l_orderkey AS order_id", "l_partkey AS product_id", "CAST(l_quantity AS INT) AS quantity",
             "0.01BD * CAST(CAST(rint(100 * l_discount) AS INT) AS DECIMAL(3,0)) AS off")
+
+    def _priced(self, lines: DataFrame) -> DataFrame:
+        """Lines with their product, priced from the same part row; the source has no item key.
+
+        Prices become DECIMAL once per part. They have ten digits, so that amounts of a line fit into a long.
+        """
+        parts = self.products.selectExpr("*", "CAST(list_price AS DECIMAL(8,2)) AS price")
+        others = [c for c in lines.columns if c not in ("product_id", "quantity", "off")]
         priced = lines.join(parts, "product_id").selectExpr(
-            "order_id", "product_id", "product_name", "category", "subcategory", "quantity", "price",
+            *others, "product_id", "product_name", "category", "subcategory", "quantity", "price",
             "CAST(price * (1 - off) AS DECIMAL(10,4)) AS unit_price", "unit_cost")
         return priced.selectExpr(
             "*", "CAST(CAST(quantity AS DECIMAL(7,0)) * CAST(price - unit_price AS DECIMAL(10,4)) AS DECIMAL(18,4)) "
                  "AS discount_amount")
 
+    @property
+    def product_lines(self) -> DataFrame:
+        return self._priced(self._raw_lines)
+
     @property
     def items(self) -> DataFrame:
         return self.product_lines.select("order_id", "product_id", "quantity", "unit_price", "discount_amount")
@@ -149,9 +158,14 @@ class Star:
 
     @property
     def sales(self) -> DataFrame:
-        """Lines without cancelled orders; their source code is left out at the scan of the orders."""
+        """Lines without cancelled orders; their source code is left out at the scan of the orders.
+
+        Orders come first, while lines are narrow and before their prices are worked out; products, the
+        smaller table, come last.
+        """
         cancelled = next(code for code, name in STATUS.items() if name == CANCELLED)
-        return with_orders(self.product_lines, exclude_status(self._orders(f"o_orderstatus <> '{cancelled}'"), CANCELLED))
+        orders = exclude_status(self._orders(f"o_orderstatus <> '{cancelled}'"), CANCELLED)
+        return with_amounts(self._priced(self._raw_lines.join(orders, "order_id")))
 
     @property
     def campaigns(self) -> DataFrame:

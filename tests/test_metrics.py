@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shop import CAPS, TEES, Shop
 
 from tallyhouse.operators import silver
-from tallyhouse.plans.metrics import drill_across, marketing_metrics, sales_metrics
+from tallyhouse.plans.metrics import MetricView, Ratio, RoutedView, Total, drill_across, marketing_metrics, sales_metrics
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +63,53 @@ def test_drill_across_does_not_fan_out(spark, view):
                            marketing.query(["Marketing ROI", "Conversions"], by=["Category"])], ["Category"])
     rows = {r["Category"]: (float(r["Total Revenue"]), r["Marketing ROI"]) for r in joined.collect()}
     assert rows == {TEES: (84.0, 1.5), CAPS: (74.0, None)}
+
+
+MEASURES = ["Total Revenue", "Total Cost", "Profit Margin Pct", "Units Sold", "Avg Order Line Value"]
+
+
+@pytest.fixture(scope="module")
+def routed(view, tmp_path_factory):
+    grains = []
+    for k, by in enumerate((["Category"], ["Category", "Channel", "Order Month"])):
+        path = str(tmp_path_factory.mktemp("grains") / str(k))
+        view.stored_grain(by).write.parquet(path)
+        grains.append(view.answered_from(view.source.sparkSession.read.parquet(path)))
+    return RoutedView(view, grains)
+
+
+@pytest.mark.parametrize("by, where, grain", [
+    (["Category"], None, 0), ([], None, 0), (["Category"], {"Category": [TEES]}, 0), (["Channel"], None, 1),
+    (["Category"], {"Channel": "Web"}, 1), ([], {"Order Month": (date(2024, 1, 1), date(2024, 1, 1))}, 1),
+    (["Product"], None, None), (["Category"], {"Order Date": date(2024, 1, 1)}, None),
+    (["Category"], "category is not null", None)], ids=str)
+def test_routed_answers_equal_those_of_the_source(view, routed, by, where, grain):
+    where = F.expr(where) if isinstance(where, str) else where
+    wanted = view if grain is None else routed.grains[grain]
+    assert routed.route(MEASURES, by, where) is wanted
+    found, direct = routed.query(MEASURES, by, where), view.query(MEASURES, by, where)
+    assert found.columns == direct.columns
+    assert sorted(map(str, (tuple(r) for r in found.selectExpr(
+        *[f"cast(`{c}` as string)" for c in found.columns]).collect()))) == sorted(map(str, (
+            tuple(r) for r in direct.selectExpr(*[f"cast(`{c}` as string)" for c in direct.columns]).collect())))
+
+
+def test_only_what_can_be_aggregated_again_is_stored(view):
+    odd = MetricView(view.source, {"Category": F.col("category")}, {
+        "Revenue": Total(F.col("line_revenue")), "Orders": F.count_distinct("order_id"),
+        "Per Order": Ratio("Revenue", "Orders")})
+    stored = odd.stored_grain(["Category"])
+    assert stored.columns == ["Category", "Revenue"]
+    grain = odd.answered_from(stored)
+    assert set(grain.measures) == {"Revenue"}
+    routed = RoutedView(odd, [grain])
+    assert routed.route(["Revenue"]) is grain and routed.route(["Per Order"]) is odd
+
+
+def test_formats_limits_and_empty_sources_are_routed_alike(view, routed):
+    order = [F.col("Total Revenue").desc()]
+    found = [tuple(r) for r in routed.query(["Total Revenue"], ["Category"], order=order, limit=1, formatted=True).collect()]
+    assert found == [(TEES, "$84.00")]
+    empty = MetricView(view.source.limit(0), view.dimensions, view.measures)
+    grain = empty.answered_from(empty.stored_grain(["Category"]))
+    assert [tuple(r) for r in grain.query(MEASURES).collect()] == [tuple(r) for r in empty.query(MEASURES).collect()]

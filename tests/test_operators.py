@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shop import CAPS, MUGS, TEES, Shop
 
 from tallyhouse.operators import decision, filters, forecast, gold, kpis, quality, silver, timeseries
+from tallyhouse.operators.joins import heavy_keys, spread_join
 from tallyhouse.operators.ranking import ordered, rank_by, rank_in_ranges, top_n
 from tallyhouse.sources.star import Star
 
@@ -135,6 +136,71 @@ def test_ranks_agree_whatever_the_ranges(spark):
     assert rank_by(df.limit(0), place="v").count() == 0
 
 
+@pytest.mark.parametrize("kind, values", [
+    ("DOUBLE", [0.0, -0.0, 1e-9, 1e300, -1e300, 2.5, 2.5, 2.5000000001, float("inf"), None]),
+    ("DECIMAL(20,4)", [D("0.0001"), D("-7.5"), D("9000000000000000.0001"), D("9000000000000000.0002"), None, D("0.0001")]),
+    ("BIGINT", [2**53, 2**53 + 1, 2**53 + 2, -1, None, None, -1]),
+    ("INT", [7]), ("INT", [None])])
+def test_ranks_of_all_kinds_of_numbers(spark, kind, values):
+    df = spark.createDataFrame(list(enumerate(values)), f"id INT, v {kind}")
+    expected = {i: 1 + sum(1 for w in values if w is not None and (v is None or w > v)) for i, v in enumerate(values)}
+    assert {r.id: r.place for r in rank_by(df, place="v").collect()} == expected
+
+
+def test_a_value_of_very_many_rows_meets_in_no_rank_task(spark):
+    df = spark.range(60_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 5 ELSE id END AS v", "-id AS w")
+    ranked = rank_by(df, a="v", b="w")
+    assert ranked.columns == ["id", "v", "w", "a", "b"]
+    low = ranked.filter("v = 5").agg(F.min("a"), F.max("a"), F.count("*")).first()
+    assert low[0] == low[1] == df.filter("v > 5").count() + 1 and low[2] == df.filter("v = 5").count()
+    assert ranked.filter("b <> id + 1").count() == 0
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" not in plan and "eqNullSafe" not in plan
+
+
+# --- Joins ------------------------------------------------------------------------------------
+
+def test_heavy_keys_are_dealt_out(spark):
+    n, parts = 30_000, 12
+    facts = spark.range(n).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS x").unionByName(
+        spark.createDataFrame([(None, -1), (7, -2), (7, -2)], "k BIGINT, x BIGINT"))
+    dimension = spark.range(0, n, 2).selectExpr("id AS k", "id * 10 AS y").unionByName(
+        spark.createDataFrame([(7, 70)], "k BIGINT, y BIGINT"))
+    heavy = {r._heavy: r._slices for r in heavy_keys(facts, "k", parts).collect()}
+    assert set(heavy) == {7} and parts / 3 <= heavy[7] <= parts / 3 + 1
+    key = lambda r: (r.k, r.x, r.y)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "40"}
+    usual = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        dealt, plain = spread_join(facts, dimension, "k", parts), facts.join(dimension, "k")
+        sizes, before = ([r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()] for df in (dealt, plain))
+        assert sorted(map(key, dealt.collect())) == sorted(map(key, plain.collect()))
+        assert max(before) > n / 3 and max(sizes) < max(before) / 2
+    finally:
+        for name, value in usual.items():
+            spark.conf.set(name, value)
+    assert spread_join(facts.limit(0), dimension, "k").count() == 0
+    assert spread_join(facts, dimension.limit(0), "k").count() == 0
+
+
+def test_sales_with_heavy_keys_are_the_same(spark):
+    shop = Shop(spark)
+    parts = [(shop.items, shop.orders, shop.products)]
+    for frames in parts:
+        even, usual = silver.build_sales_evenly(*frames, parts=3), silver.build_sales(*frames)
+        assert even.columns == usual.columns
+        assert sorted(map(str, even.collect())) == sorted(map(str, usual.collect()))
+
+
+def test_complete_periods_gather_no_groups(spark):
+    sales = silver.build_sales(*(getattr(Shop(spark), t) for t in ("items", "orders", "products")))
+    for df in (timeseries.history(sales, "product_id", complete=True), timeseries.seasonality_index(sales)):
+        assert "Window" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 # --- Filters ----------------------------------------------------------------------------------
 
 def test_trailing_windows_do_not_gather_the_frame(spark):
