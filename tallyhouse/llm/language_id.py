@@ -3,8 +3,8 @@
 Features are the shares of hashed byte n-grams of the lower-cased text. One linear support vector machine
 per family, each against the rest, picks the family; within it every pair of languages has a linear support
 vector machine of its own, and the language with the most votes wins (at a tie the one with the larger sum
-of margins). All machines are trained by numpy stochastic subgradient descent and scored at once: each
-n-gram gives one number per machine.
+of margins). All machines are trained by numpy stochastic subgradient descent on the hinge loss with a
+quadratic penalty, averaged over the later steps, and scored at once: each n-gram gives one number per machine.
 
 The machines are fitted on a bounded sample: per language ``max_per_language`` rows, those with the smallest
 hash of the id. At most that many times the number of languages times ``buckets`` numbers reach the driver.
@@ -33,6 +33,9 @@ BUCKETS = 1 << 15
 SIZES = (1, 2, 3)
 MAX_PER_LANGUAGE = 500
 EPOCHS = 12
+PENALTY = 1e-4
+START = 250
+BIAS_SHARE = 1 / 800
 UNKNOWN = "und"
 
 
@@ -75,21 +78,38 @@ class Model:
         return names, score
 
 
+def subgradient_step(weights: np.ndarray, bias: float, at: np.ndarray, values: np.ndarray, sign: int, cost: float,
+                     pace: float) -> float:
+    """One step down the penalised hinge loss of a row, weights in place; returns the new bias."""
+    inside = sign * (values @ weights[at] + bias) < 1
+    weights *= 1 - pace * PENALTY
+    if inside:
+        weights[at] += pace * cost * sign * values
+        bias += pace * cost * sign * BIAS_SHARE
+    return bias
+
+
 def _machine(rows, signs: np.ndarray, buckets: int, epochs: int, random) -> tuple[np.ndarray, float]:
-    """A linear support vector machine by averaged subgradient steps; both signs weigh the same."""
+    """A linear support vector machine; both signs weigh the same.
+
+    Steps fall as 1 / (penalty * (t + start)), the usual rate for this loss; the result is the mean of the
+    weights after each step of the second half.
+    """
     weights, bias = np.zeros(buckets), 0.0
+    mean, mean_bias, averaged = np.zeros(buckets), 0.0, 0
     share = {s: max(1, (signs == s).sum()) for s in (-1, 1)}
     cost = {s: len(signs) / (2 * n) for s, n in share.items()}
-    steps, step = epochs * len(rows), 0
-    for _ in range(epochs):
+    t = 0
+    for epoch in range(epochs):
         for i in random.permutation(len(rows)):
-            (at, values), sign = rows[i], signs[i]
-            pace = 1 - step / steps
-            step += 1
-            if sign * (values @ weights[at] + bias) < 1:
-                weights[at] += pace * cost[sign] * sign * values * 40
-                bias += pace * cost[sign] * sign * 0.05
-    return weights, bias
+            at, values = rows[i]
+            bias = subgradient_step(weights, bias, at, values, signs[i], cost[signs[i]], 1 / (PENALTY * (t + START)))
+            t += 1
+            if 2 * epoch >= epochs - 1:
+                averaged += 1
+                mean += weights
+                mean_bias += bias
+    return mean / max(1, averaged), mean_bias / max(1, averaged)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, str]], families: dict[str, str] = FAMILIES,
@@ -127,7 +147,8 @@ def fit(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column:
 
     Languages are counted first; of each, the rows whose hash lies in the share of the hash range that
     should hold twice the wanted number are ranked by that hash, so the ranking has as few rows for a
-    frequent language as for a rare one.
+    frequent language as for a rare one. The shares, one row per language, of which the model has a machine
+    each, are broadcast: no row is shuffled before that filter.
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"),
                        F.col(f"`{lang_column}`").alias("lang")).filter(
@@ -136,7 +157,7 @@ def fit(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column:
     share = ids.groupBy("lang").agg((F.lit(2.0 * max_per_language) / F.count(F.lit(1))).alias("share"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
     near = F.col("place") <= (F.col("share") - 0.5) * F.lit(2.0 ** 64)
-    chosen = ids.join(share, "lang").filter(near).withColumn("rank", rank) \
+    chosen = ids.join(F.broadcast(share), "lang").filter(near).withColumn("rank", rank) \
         .filter(F.col("rank") <= max_per_language).select("id", "lang", "hash").distinct()
     # At most max_per_language rows for each language, so the texts need no shuffle.
     texts = rows.withColumn("hash", F.xxhash64("text")).join(F.broadcast(chosen), ["id", "lang", "hash"], "left_semi") \
