@@ -69,8 +69,8 @@ def faulty_forecast(recent: DataFrame, months: Sequence[date], faults: Mapping[s
         F.col("_point").cast(amount).alias("forecast_revenue_usd"),
         F.round(F.col("_point") * F.col("_low"), 2).cast(amount).alias("lower_bound_usd"),
         F.round(F.col("_point") * F.col("_high"), 2).cast(amount).alias("upper_bound_usd"),
-        F.lit("ds_prophet_v1").alias("model_name"),
-        F.lit("data_science_team").alias("generated_by"),
+        F.lit("handoff_model").alias("model_name"),
+        F.lit("forecast_desk").alias("generated_by"),
         F.lit(generated_on).alias("generated_date"),
     )
 

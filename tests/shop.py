@@ -66,6 +66,6 @@ class Shop:
             (i, f"{cat} {i}", cat, ch, date(2024, 1, 1), date(2024, 1, 31), spend, seen, clicks, bought, earned)
             for i, cat, ch, spend, earned, seen, clicks, bought in CAMPAIGNS])
         self.forecasts = frame("fact_sales_forecast", [
-            (8000 + 3 * k + m, category, FORECAST_MONTHS[m], D(p), D(lo), D(hi), "ds_prophet_v1", "data_science_team",
+            (8000 + 3 * k + m, category, FORECAST_MONTHS[m], D(p), D(lo), D(hi), "handoff_model", "forecast_desk",
              date(2025, 6, 28))
             for k, (category, months) in enumerate(FORECAST.items()) for m, (p, lo, hi) in enumerate(months)])

@@ -370,11 +370,10 @@ def test_recommendation_counts_decision_signals_only(spark):
         "category STRING, revenue INT, profit INT, margin_pct DOUBLE, units INT, growth_pct DOUBLE, marketing_roi DOUBLE")
     q4 = spark.createDataFrame([("Outerwear", 142.0), ("Drinkware", 150.0)], "category STRING, q_index DOUBLE")
     outlook = spark.createDataFrame([("Outerwear", 1.0), ("Outerwear", 3.0), ("Drinkware", 1.5)], "category STRING, forecast_revenue DOUBLE")
-    # External figures per category.
     research = spark.createDataFrame(
-        [("Outerwear", 12.1, 142.0, 68.0, 52.0, 41.0), ("T-Shirts & Tops", 4.0, 94.0, 31.0, 46.0, 29.0),
-         ("Headwear", 7.5, 128.0, 29.0, 48.0, 34.0), ("Accessories", 2.2, 102.0, 14.0, 33.0, 19.0),
-         ("Drinkware", 3.1, 119.0, 34.0, 44.0, 22.0)],
+        [("Outerwear", 11.0, 135.0, 70.0, 50.0, 40.0), ("T-Shirts & Tops", 3.0, 90.0, 30.0, 45.0, 30.0),
+         ("Headwear", 6.0, 120.0, 25.0, 47.0, 33.0), ("Accessories", 2.0, 100.0, 15.0, 30.0, 20.0),
+         ("Drinkware", 4.0, 115.0, 35.0, 44.0, 21.0)],
         "category STRING, next_quarter_growth_pct DOUBLE, q4_demand_index DOUBLE, willingness_to_pay DOUBLE, "
         "typical_margin_pct DOUBLE, repeat_rate_pct DOUBLE")
     signals = decision.decision_signals(summary, q4, outlook, research)

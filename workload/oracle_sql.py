@@ -737,5 +737,5 @@ add("triangulate", "SELECT *, internal_leader = external_leader AS agrees FROM (
 
 add("gen_bad_forecast", """
 SELECT forecast_id, category, forecast_month, forecast_revenue_usd, lower_bound_usd, upper_bound_usd,
-       'ds_prophet_v1' AS model_name, 'data_science_team' AS generated_by, DATE '2001-07-28' AS generated_date
+       'handoff_model' AS model_name, 'forecast_desk' AS generated_by, DATE '2001-07-28' AS generated_date
 FROM forecasts""")
