@@ -1,4 +1,4 @@
-"""Walking sorted Arrow batches group by group."""
+"""Walking sorted Arrow batches group by group, and names beside those of a frame."""
 
 from __future__ import annotations
 
@@ -31,3 +31,11 @@ def sorted_groups(batches, n_keys: int, at_least: int = 1) -> Iterator[pa.Table]
         held = table.slice(begin)
     if held is not None and held.num_rows:
         yield held
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores added until no column has it; Spark does not tell cases apart."""
+    lowered = {c.lower() for c in taken}
+    while name.lower() in lowered:
+        name += "_"
+    return name
