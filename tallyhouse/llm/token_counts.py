@@ -42,12 +42,13 @@ def length_histogram(lengths: DataFrame, length_column: str = "n_tokens") -> Dat
     ``n_docs`` have the length, ``docs_at_least`` it or more, ``tokens_at_least`` is the number of ids of
     those, ``kept_tokens`` what is left of all documents cut to the length, ``cut_docs`` those that lose
     something, ``quantile`` the share of documents of at most this length. An empty table gives no row.
+
+    The counts, one row per length, are stored once, so the lengths are worked out only once.
     """
-    counts = (
+    counts = stored(
         lengths.select(F.col(f"`{length_column}`").cast("bigint").alias("n_tokens")).dropna()
-        .groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
-        .withColumn("block", F.floor(F.col("n_tokens") / LENGTHS_PER_BLOCK))
-    )
+        .groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "length-counts",
+    ).withColumn("block", F.floor(F.col("n_tokens") / LENGTHS_PER_BLOCK))
     totals = counts.groupBy("block").agg(
         F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("tokens"))
     above = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
