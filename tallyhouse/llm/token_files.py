@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.pieces import PieceEncoder
 from tallyhouse.llm.text import blocks
-from tallyhouse.plans.lineage import scratch_path
+from tallyhouse.plans.lineage import qualified, scratch_path
 
 SEQUENCE_LENGTH = 2048
 SEQUENCES_PER_BATCH = 64
@@ -124,7 +124,7 @@ class Shard:
     """Reads a shard; a local file is mapped into memory, and the arrays returned are views of it."""
 
     def __init__(self, path: str):
-        files, name = fs.FileSystem.from_uri(path)
+        files, name = file_system(path)
         local = isinstance(files, fs.LocalFileSystem)
         self.source = pa.memory_map(name) if local else files.open_input_file(name)
         self.file = pa.ipc.open_file(self.source)
@@ -152,6 +152,11 @@ class Shard:
         return np.concatenate(out) if out else np.zeros(0, np.uint16)
 
 
+def file_system(uri: str):
+    """The file system and the name in it; the scheme that Hadoop has for S3 is another one here."""
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1) if uri.startswith("s3a://") else uri)
+
+
 def _write_file(files, name: str, write) -> None:
     """Write under a name of this attempt, then move to the shard's name."""
     draft = f"{name}.{uuid.uuid4().hex}.part"
@@ -168,10 +173,12 @@ def write_shards(docs: DataFrame, path: str, folder: str | None = None, id_colum
     A null text is empty, and every document gets an end id. Rows with a null id are refused by an error,
     since they have no place in the order. Rows of one id are ordered by text; equal rows are kept. A shard
     holds a range of ids with about ``shard_bytes`` of text. Other columns are left out.
+
+    ``folder`` is where Spark says it is, with or without scheme; it has to be one that all machines see.
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-shards")
-    folder = folder if "://" in folder else "file://" + os.path.abspath(folder)
+    folder = qualified(spark, folder)
     rows = docs.select(
         F.when(F.col(f"`{id_column}`").isNull(), F.raise_error(F.lit("a document without id has no place")))
         .otherwise(F.col(f"`{id_column}`")).cast("bigint").alias("id"),
@@ -183,7 +190,7 @@ def write_shards(docs: DataFrame, path: str, folder: str | None = None, id_colum
         encoder = load_file_encoder(path)
         writer = None
         doc_ids, starts = array("q"), array("q")
-        files, base = fs.FileSystem.from_uri(folder)
+        files, base = file_system(folder)
 
         def encode_all(sink):
             nonlocal writer
@@ -251,5 +258,5 @@ def read_documents(manifest: DataFrame) -> DataFrame:
 
 
 def _open(uri: str):
-    files, name = fs.FileSystem.from_uri(uri)
+    files, name = file_system(uri)
     return files.open_input_file(name)

@@ -105,6 +105,17 @@ def test_documents_are_encoded_and_decoded(spark, frame, odd_rows, reference):
     assert byte_bpe.encode_documents(frame([]), RANKS).count() == 0
 
 
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}"])
+def test_files_are_where_spark_has_the_folder(spark, frame, tmp_path, form):
+    folder = form.format(tmp_path / "shards")
+    manifest = token_files.write_shards(frame([(1, "a"), (2, "b")]), JSON, folder)
+    shards = [r.shard for r in manifest.collect()]
+    assert shards and all(s.startswith(f"file://{tmp_path}/shards/") for s in shards)
+    assert all((tmp_path / "shards" / s.rsplit("/", 1)[1]).is_file() for s in shards)
+    assert spark.read.format("binaryFile").load(f"{folder}/*.arrow").count() == 2 * len(shards)
+    assert token_files.read_documents(token_files.read_manifest(spark, folder)).count() == 2
+
+
 @pytest.mark.parametrize("length, per_batch", [(8, 2), (2048, 64)])
 def test_files_hold_all_ids_in_order(spark, frame, odd_rows, tokenizer, tmp_path, length, per_batch):
     rows = [(i, t) for i, t in odd_rows if i is not None]
