@@ -25,7 +25,9 @@ def history(sales: DataFrame, group: str, frequency: str = "month", value: str =
     sums = sales.groupBy(period_start(day, frequency).alias(name), group).agg(
         F.sum(value).alias("revenue"), F.max(day).alias("_day"))
     if complete:
-        sums = sums.filter(period_end(F.col(name), frequency) <= sums.agg(F.max("_day")).scalar())
+        # The revenue is asked for as well, so that both need the same sums and Spark makes them once.
+        newest = sums.agg(F.struct(F.max("_day").alias("day"), F.sum("revenue"))).scalar().getField("day")
+        sums = sums.filter(period_end(F.col(name), frequency) <= newest)
     return sums.select(name, group, "revenue")
 
 
@@ -65,7 +67,8 @@ def seasonality_index(sales: DataFrame, quarter: int = 4, by: str = "category")
     day, start = F.col("order_date"), F.col("_quarter")
     quarters = sales.groupBy(by, quarter_of(day).alias("_quarter")).agg(
         F.sum("line_revenue").alias("_revenue"), F.min(day).alias("_first"), F.max(day).alias("_last"))
-    span = quarters.agg(F.struct(F.min("_first").alias("first"), F.max("_last").alias("last"))).scalar()
+    # The revenue is asked for as well, so that both need the same sums and Spark makes them once.
+    span = quarters.agg(F.struct(F.min("_first").alias("first"), F.max("_last").alias("last"), F.sum("_revenue"))).scalar()
     full = quarters.withColumn("_span", span).filter(
         (start >= F.col("_span.first")) & (period_end(start, "quarter") <= F.col("_span.last")))
     wanted = F.when(F.quarter("_quarter") == quarter, F.col("_revenue"))
