@@ -163,10 +163,13 @@ def test_no_task_gathers_a_frequent_anchor(spark, frame, monkeypatch):
     assert max(gathered) <= 60
 
 
-@pytest.mark.parametrize("match", [5, 8, 20, 50])
-def test_refinement_sorts_equal_strings_together(match):
+@pytest.mark.parametrize("batch", [1, 50, 1 << 15])
+@pytest.mark.parametrize("match", [1, 5, 8, 9, 20, 50])
+def test_refinement_sorts_equal_strings_together(match, batch, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BATCH", batch)
     draw = random.Random(9)
     texts = [bytes(draw.choice(b"ab") for _ in range(draw.randrange(0, 90))) + b"tail" * draw.randrange(9) for _ in range(30)]
+    texts += [b"", b"\0" * 70, b"a" * 300, texts[0] + texts[1]]
     owner, place, bucket = suffix_dedup.refine(texts, match)
     strings = [texts[o][p:p + match] for o, p in zip(owner, place)]
     assert all(len(s) == match for s in strings) and len(strings) == sum(max(0, len(t) - match + 1) for t in texts)
@@ -176,6 +179,11 @@ def test_refinement_sorts_equal_strings_together(match):
     assert len(together) == len(set(strings))
 
 
+def test_refinement_of_texts_without_a_whole_string():
+    for texts in ([], [b""], [b"short", b"er"]):
+        assert [len(x) for x in suffix_dedup.refine(texts, 50)] == [0, 0, 0]
+
+
 def test_leaks_with_edits_are_found_and_clean_documents_stay(spark, frame, odd_rows):
     draw = random.Random(10)
     word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 9)))
