@@ -9,11 +9,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyhouse.llm.text import mix
 
 FILTER_BITS = 23
-_PARTS = 4
+# Bits in a bitmap of Spark's.
+_PART = 1 << 15
 
 
 def _slot(ids: np.ndarray) -> np.ndarray:
@@ -21,19 +23,22 @@ def _slot(ids: np.ndarray) -> np.ndarray:
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
-    """Bits for every id of a one-column frame; a null counts as 0."""
-    def fill(batches):
-        bits = np.zeros(1 << FILTER_BITS, bool)
+    """Bits for every id of a one-column frame; a null counts as 0.
+
+    Tasks set the bits of their ids in bitmaps of ``_PART`` bits each, which are joined part by part."""
+    def place(batches):
         for batch in batches:
-            bits[_slot(batch.column(0).fill_null(0).to_numpy())] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+            slot = np.unique(_slot(batch.column(0).fill_null(0).to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array((slot // _PART).astype(np.int32)), pa.array(slot % _PART)],
+                                             ["part", "bit"])
 
-    out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for row in ids.repartition(_PARTS).mapInArrow(fill, "bits binary").collect():
-        out |= np.frombuffer(row.bits, np.uint8)
-    return out
+    out = np.zeros((1 << FILTER_BITS) // _PART * (_PART >> 3), np.uint8).reshape(-1, _PART >> 3)
+    bitmaps = ids.mapInArrow(place, "part int, bit bigint").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    for row in bitmaps.collect():
+        out[row.part] = np.frombuffer(row.bits, np.uint8)
+    return out.reshape(-1)
 
 
 def may_hold(bits: np.ndarray, ids: pa.Array) -> np.ndarray:
     slot = _slot(ids.fill_null(0).to_numpy())
-    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1

@@ -9,7 +9,7 @@ from brute import (
     components, cut_characters, edits, least_edits, plain, repeat_row, repeated_bytes, shingle_set)
 
 from tallyhouse.llm import components as graph
-from tallyhouse.llm import decontaminate, jaccard_join, suffix_dedup
+from tallyhouse.llm import decontaminate, jaccard_join, prefilter, suffix_dedup
 from tallyhouse.llm.text import as_block
 
 
@@ -163,6 +163,15 @@ def test_no_task_gathers_a_frequent_anchor(spark, frame, monkeypatch):
     assert max(gathered) <= 60
 
 
+def test_id_filter_holds_every_id_and_few_others(spark):
+    held = [0, 1, -5, 1 << 40, (1 << 63) - 1, *range(1000, 40_000, 3)]
+    bits = prefilter.id_filter(spark.createDataFrame([(i,) for i in [*held, None, 1]], "id bigint").repartition(5))
+    assert prefilter.may_hold(bits, pa.array([*held, None])).all()
+    assert prefilter.may_hold(bits, pa.array(range(100_000, 200_000))).mean() < 0.01
+    empty = prefilter.id_filter(spark.createDataFrame([], "id bigint"))
+    assert not prefilter.may_hold(empty, pa.array(held)).any()
+
+
 @pytest.mark.parametrize("batch", [1, 50, 1 << 15])
 @pytest.mark.parametrize("match", [1, 5, 8, 9, 20, 50])
 def test_refinement_sorts_equal_strings_together(match, batch, monkeypatch):
