@@ -77,11 +77,15 @@ def latest_per_key(df: DataFrame, key: str, *cursor: str, within: tuple[str, ...
     Written as an aggregate, not a window: versions of one key are reduced before the shuffle, so
     a key that holds a large share of all rows never meets in one task. Equal cursors are decided
     by the remaining columns, which makes the result independent of row order. ``within`` names columns
-    whose values are told apart as well.
+    whose values are told apart as well. Every column is shuffled once, and the rows leave by ``key``, so that
+    an aggregate by it needs no further shuffle.
     """
-    newest = F.max(F.struct(*[F.col(c).alias(f"_at{i}") for i, c in enumerate(cursor)],
-                            F.struct(*df.columns).alias("_row")))
-    return df.groupBy(key, *within).agg(newest.alias("_newest")).select("_newest._row.*")
+    keys = (key, *within)
+    first = [c for c in dict.fromkeys(cursor) if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    newest = F.max(F.struct(*[F.col(c) for c in (*first, *rest)] or [F.lit(True)]))
+    return df.groupBy(*keys).agg(newest.alias("_newest")).select(
+        *[F.col(c) if c in keys else F.col(f"_newest.{c}") for c in df.columns])
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, key: str, cursor: str) -> DataFrame:

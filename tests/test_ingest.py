@@ -101,6 +101,19 @@ def test_upsert_is_idempotent_and_ignores_row_order(spark, start, batch):
     assert rows(once) == sorted(((k, v[0], v[2]) for k, v in expected.items()), key=repr)
 
 
+def test_the_newest_versions_are_shuffled_once_and_leave_by_their_key(spark, capsys):
+    data = [(1, 1, "a"), (1, 2, "b"), (1, 2, None), (None, None, "n"), (None, None, "m"), (2, None, "x"), (2, 1, None)]
+    newest = latest_per_key(spark.createDataFrame(data, VERSION), "id", "at")
+    assert rows(newest) == [(1, 2, "b"), (2, 1, None), (None, None, "n")]
+    keys = latest_per_key(spark.createDataFrame(data, VERSION).select("id"), "id", "id")
+    assert rows(keys) == [(1,), (2,), (None,)]
+    counted = newest.groupBy("id").count()
+    assert rows(counted) == [(1, 1), (2, 1), (None, 1)]
+    capsys.readouterr()
+    counted.explain()
+    assert capsys.readouterr().out.count("hashpartitioning") == 1
+
+
 def order(i, day, status="COMPLETED", at="10:00:00"):
     return (i, 1, day, dt.datetime.fromisoformat(f"{day} {at}"), "Web", status, None)
 
