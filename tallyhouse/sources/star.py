@@ -38,6 +38,7 @@ RECENT_SINCE = date(2001, 5, 1)
 FORECAST_MONTHS = (date(2001, 8, 1), date(2001, 9, 1), date(2001, 10, 1))
 GENERATED_ON = date(2001, 7, 28)
 FORECAST_BASE = 8000
+LINES_PER_TASK = 500_000
 FAULTS = {
     "ECONOMY": Fault(factor=0.1, low=0.95, high=1.05),
     "LARGE": Fault(factor=8.0, low=1.05, high=1.15),
@@ -87,6 +88,7 @@ class Star:
     spark: SparkSession
     directory: str
     _tables: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
+    _counts: dict[str, int] = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
         """A given table; its footers are read once per star."""
@@ -156,16 +158,38 @@ class Star:
     def lines(self) -> DataFrame:
         return with_orders(self.product_lines, self.orders)
 
+    @property
+    def _kept_orders(self) -> DataFrame:
+        """Orders that are not cancelled; the source code of the others is left out at the scan."""
+        cancelled = next(code for code, name in STATUS.items() if name == CANCELLED)
+        return exclude_status(self._orders(f"o_orderstatus <> '{cancelled}'"), CANCELLED)
+
     @property
     def sales(self) -> DataFrame:
-        """Lines without cancelled orders; their source code is left out at the scan of the orders.
+        """Lines without cancelled orders. Orders come first, while lines are narrow and before their prices are
+        worked out; products, the smaller table, come last."""
+        return with_amounts(self._priced(self._raw_lines.join(self._kept_orders, "order_id")))
 
-        Orders come first, while lines are narrow and before their prices are worked out; products, the
-        smaller table, come last.
+    @property
+    def sales_by_order(self) -> DataFrame:
+        """``sales`` for results that hold a row per order in memory, such as a count of different orders.
+
+        Partitions that are joined up by their bytes hold millions of narrow lines, each of which becomes a
+        wider row there. Here orders come last, and both sides of that join are dealt out into parts of about
+        ``LINES_PER_TASK`` lines, so the memory of a task stays as the table grows. Smaller tables are left to
+        Spark.
         """
-        cancelled = next(code for code, name in STATUS.items() if name == CANCELLED)
-        orders = exclude_status(self._orders(f"o_orderstatus <> '{cancelled}'"), CANCELLED)
-        return with_amounts(self._priced(self._raw_lines.join(orders, "order_id")))
+        parts = -(-self._n_lines() // LINES_PER_TASK)
+        if parts <= self.spark.sparkContext.defaultParallelism:
+            return self.sales
+        return with_orders(self.product_lines.repartition(parts, "order_id"),
+                           self._kept_orders.repartition(parts, "order_id"))
+
+    def _n_lines(self) -> int:
+        """Counted from the footers, once per star."""
+        if "lineitem" not in self._counts:
+            self._counts["lineitem"] = self.table("lineitem").count()
+        return self._counts["lineitem"]
 
     @property
     def campaigns(self) -> DataFrame:

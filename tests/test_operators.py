@@ -68,6 +68,21 @@ def test_orders_per_category_do_not_add_up(sales):
     assert kpis.shop_overview(sales).first().orders == 3
 
 
+def test_tasks_that_count_orders_hold_a_bounded_number_of_lines(spark, monkeypatch):
+    monkeypatch.setattr("tallyhouse.sources.star.LINES_PER_TASK", 300)
+    star = Star(spark, "/root/testdata/sf0.001")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = star.sales_by_order
+        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(per_task) > lines / 300 / 2 and max(r["count"] for r in per_task) < 600
+        found, expected = (gold.build_daily_revenue(s) for s in (joined, star.sales))
+        assert sorted(found.collect()) == sorted(expected.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rough_peek_matches_sales(shop, sales):
     rows = by(gold.rough_peek(shop.items, shop.orders, shop.products))
     assert {k: (v["gross_revenue_usd"], v["units_sold"]) for k, v in rows.items()} == {TEES: (84, 3), CAPS: (74, 4)}

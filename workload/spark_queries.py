@@ -399,7 +399,7 @@ def spring_orders(s: Star) -> DataFrame:
 
 @query
 def last_90_days(s: Star) -> DataFrame:
-    return filters.last_n_days(gold.build_daily_revenue(s.sales), "order_date", 90)
+    return filters.last_n_days(gold.build_daily_revenue(s.sales_by_order), "order_date", 90)
 
 
 @query
@@ -418,7 +418,7 @@ def category_performance(s: Star) -> DataFrame:
 
 @query
 def daily_revenue(s: Star) -> DataFrame:
-    return gold.build_daily_revenue(s.sales)
+    return gold.build_daily_revenue(s.sales_by_order)
 
 
 @query
@@ -820,7 +820,7 @@ def reconcile_gold(s: Star) -> DataFrame:
 @query
 def reconcile_daily(s: Star) -> DataFrame:
     """Rounded daily revenue added up, against the category totals."""
-    daily = gold.build_daily_revenue(s.sales).groupBy("category").agg(F.sum("daily_revenue").alias("revenue"))
+    daily = gold.build_daily_revenue(s.sales_by_order).groupBy("category").agg(F.sum("daily_revenue").alias("revenue"))
     totals = gold.sales_totals(s.sales, "category").select(
         "category", money(F.col("total_revenue")).alias("revenue"))
     return quality.reconcile(daily, totals, "category", "revenue")
