@@ -331,7 +331,7 @@ def refreshed_order_counts(s: Star) -> DataFrame:
 def stored_daily_revenue(s: Star) -> DataFrame:
     """Daily revenue written to files and read back."""
     path = scratch_path(s.spark, "daily")
-    gold.build_daily_revenue(s.sales).write.parquet(path)
+    gold.build_daily_revenue(s.sales_by_order).write.parquet(path)
     return s.spark.read.parquet(path)
 
 
