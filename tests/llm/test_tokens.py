@@ -54,6 +54,33 @@ def test_the_end_token_in_a_text_is_ordinary_text(tokenizer):
     assert size == 50257
 
 
+class NoPasses:
+    """A tokenizer that refuses to run all its steps over a text."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def __getattr__(self, name):
+        if name.startswith("encode"):
+            raise AssertionError("a pass through all steps")
+        return getattr(self.tokenizer, name)
+
+
+def test_a_new_piece_is_given_to_the_model_alone(tokenizer):
+    encode = token_files._piece_encoder(NoPasses(tokenizer))
+    for piece in [chr(c) for c in range(0x250)] + [" unheardofword", " 1234567890", "漢字漢字", "😀", "\n\n \t", " …—«»", "\xad", ""]:
+        assert encode(piece) == little(tokenizer.encode(piece, add_special_tokens=False).ids)
+
+
+def test_a_tokenizer_with_further_steps_runs_them():
+    from tokenizers import normalizers
+
+    lowering = Tokenizer.from_file(JSON)
+    lowering.normalizer = normalizers.Lowercase()
+    encode = token_files._piece_encoder(lowering)
+    assert encode("Word") == encode("word") == little(lowering.encode("word", add_special_tokens=False).ids)
+
+
 def test_pieces_that_are_not_kept_change_nothing():
     texts = ["some words and some words", "other words " * 40, "x" * 500, ""]
     encode = lambda piece: little([len(piece)])
