@@ -163,6 +163,46 @@ def test_no_task_gathers_a_frequent_anchor(spark, frame, monkeypatch):
     assert max(gathered) <= 60
 
 
+def test_texts_are_read_once_for_the_bytes_of_frequent_and_other_anchors(frame, monkeypatch):
+    rows, asked, with_bytes = passages(14), [], suffix_dedup._with_bytes
+    monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", 2)
+    monkeypatch.setattr(suffix_dedup, "_with_bytes", lambda *a: asked.append(a) or with_bytes(*a))
+    found = in_order(map(tuple, suffix_dedup.repeat_counts(frame(rows)).collect()))
+    assert found == in_order([(i, *repeat_row(t, gone)) for (i, t), gone in zip(rows, repeated_bytes(rows))])
+    assert len(asked) == 1
+
+
+@pytest.mark.parametrize("match", [1, 9, 50])
+def test_only_strings_of_several_ids_are_refined(match):
+    draw = random.Random(15)
+    texts = [bytes(draw.choice(b"ab") for _ in range(draw.randrange(70))) + b"tail" * draw.randrange(16) for _ in range(40)]
+    texts += [b"", texts[0] + texts[1], b"z" * 90, b"own" * 40]
+    ids = np.array([i // 3 for i in range(40)] + [90, 91, 92, 92])
+    owners = {}
+    for i, text in zip(ids.tolist(), texts):
+        for p in range(len(text) - match + 1):
+            owners.setdefault(text[p:p + match], set()).add(i)
+    expected = [(k, p) for k, text in enumerate(texts) for p in range(len(text) - match + 1)
+                if len(owners[text[p:p + match]]) > 1]
+    owner, begin, parts = suffix_dedup._shared(as_block(pa.array(texts, pa.binary())), ids, match)
+    assert [texts[k][b:b + len(part)] for k, b, part in zip(owner, begin, parts)] == parts
+    assert [(k, b + p) for k, b, part in zip(owner.tolist(), begin.tolist(), parts)
+            for p in range(len(part) - match + 1)] == expected
+    assert [len(x) for x in suffix_dedup._shared(as_block(pa.array([], pa.binary())), ids[:0], match)] == [0, 0, 0]
+
+
+def test_kinds_have_their_least_id_whatever_the_order_of_rows():
+    draw = np.random.default_rng(16)
+    anchor, mark = (draw.integers(0, n, 3000).astype(np.uint64) for n in (200, 4))
+    ids = draw.integers(-50, 50, 3000)
+    order, least = suffix_dedup._first_of_kind(anchor, mark, ids)
+    assert sorted(order.tolist()) == list(range(3000)) and (np.diff(anchor[order].astype(np.int64)) >= 0).all()
+    expected = {}
+    for key, i in zip(zip(anchor.tolist(), mark.tolist()), ids.tolist()):
+        expected[key] = min(i, expected.get(key, i))
+    assert least.tolist() == [expected[key] for key in zip(anchor[order].tolist(), mark[order].tolist())]
+
+
 def test_id_filter_holds_every_id_and_few_others(spark):
     held = [0, 1, -5, 1 << 40, (1 << 63) - 1, *range(1000, 40_000, 3)]
     bits = prefilter.id_filter(spark.createDataFrame([(i,) for i in [*held, None, 1]], "id bigint").repartition(5))
