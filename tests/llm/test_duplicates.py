@@ -191,6 +191,29 @@ def test_only_strings_of_several_ids_are_refined(match):
     assert [len(x) for x in suffix_dedup._shared(as_block(pa.array([], pa.binary())), ids[:0], match)] == [0, 0, 0]
 
 
+def test_only_segments_that_may_share_a_string_send_their_bytes():
+    draw = random.Random(17)
+    letters = lambda n: bytes(draw.choice(b"abcdefgh") for _ in range(n))
+    passages = [letters(n) for n in range(30, 75)]
+    texts = [letters(40) + passage + letters(40) for passage in passages for _ in range(3)]
+    texts += [b"ab" * 40, letters(9) + b"ab" * 35, letters(20) * 4, b"c" * 70, texts[0][:60] + b"c" * 55]
+    block, strings = as_block(pa.array(texts, pa.binary())), {}
+    found = list(zip(*map(np.ndarray.tolist, suffix_dedup.segments(block))))
+    for doc, start, size, anchor, _, _ in found:
+        for p in range(start, start + size):
+            strings.setdefault((anchor, texts[doc][p:p + 50]), set()).add(doc)
+    by_anchor = sorted(found, key=lambda row: row[3])
+    doc, _, _, anchor, _, sides = map(np.array, zip(*by_anchor))
+    asked = suffix_dedup._beside(anchor, sides.astype(np.uint64), doc)
+    apart = 0
+    for (doc, start, size, anchor, _, _), kept in zip(by_anchor, asked.tolist()):
+        shared = any(len(strings[anchor, texts[doc][p:p + 50]]) > 1 for p in range(start, start + size))
+        assert kept or not shared
+        apart += not kept and sum(row[3] == anchor for row in by_anchor) > 1
+    # Passages of 20 to 40 bytes have an anchor in common and no string.
+    assert apart > 20
+
+
 def test_kinds_have_their_least_id_whatever_the_order_of_rows():
     draw = np.random.default_rng(16)
     anchor, mark = (draw.integers(0, n, 3000).astype(np.uint64) for n in (200, 4))
